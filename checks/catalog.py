@@ -83,8 +83,8 @@ def _(spark, d):
 
 @query(
     "extract_page_fields",
-    r"""SELECT page_id, replace(regexp_extract(html, '<title>([^<]*)', 1), '&amp;', '&') AS title,
-    replace(regexp_extract(html, '<h1>([^<]*)', 1), '&amp;', '&') AS heading,
+    r"""SELECT page_id, trim(replace(regexp_extract(html, '<title>([^<]*)', 1), '&amp;', '&')) AS title,
+    trim(replace(regexp_extract(html, '<h1>([^<]*)', 1), '&amp;', '&')) AS heading,
     regexp_extract(html, '<html[^>]*lang="([^"]*)"', 1) AS lang,
     trim(replace(regexp_extract(html, '<div class="ad">([^<]*)', 1), '&amp;', '&')) AS ad FROM pages""",
 )

@@ -6,6 +6,7 @@
 import argparse
 import math
 import os
+import signal
 import time
 
 import duckdb
@@ -70,6 +71,7 @@ def main() -> None:
 
     parser = argparse.ArgumentParser()
     parser.add_argument("--data", default="/root/testdata/sf0.01")
+    parser.add_argument("--limit", type=int, default=90, help="seconds per query")
     parser.add_argument("names", nargs="*")
     args = parser.parse_args()
     spark: SparkSession = build_session(
@@ -79,8 +81,14 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     connection = connect(args.data)
     failed = 0
+
+    def stop(*_):
+        raise TimeoutError("over the time limit")
+
+    signal.signal(signal.SIGALRM, stop)
     for name in args.names or catalog.QUERIES:
         started = time.time()
+        signal.alarm(args.limit)
         try:
             frame = catalog.QUERIES[name](spark, args.data)
             if name in catalog.SQL:
@@ -90,6 +98,9 @@ def main() -> None:
                 found = [] if count else ["no rows"]
         except Exception as error:  # noqa: BLE001 - a report lists every failure
             found = [f"{type(error).__name__}: {str(error)[:600]}"]
+        signal.alarm(0)
+        if any("TimeoutError" in f for f in found):
+            spark.sparkContext.cancelAllJobs()
         failed += bool(found)
         print(f"{'ok  ' if not found else 'FAIL'} {time.time() - started:6.2f}s {name} {' | '.join(found)}", flush=True)
     print(f"{failed} failed")

@@ -143,11 +143,12 @@ def status_log(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def listing_pages(spark: SparkSession, folder: str) -> DataFrame:
-    return raw(spark, folder).selectExpr(*_columns(_PAGE_RULES))
+    # Pages come in many files; the derived ones are spread by hand.
+    return raw(spark, folder).repartition("listing_id").selectExpr(*_columns(_PAGE_RULES))
 
 
 def detail_pages(spark: SparkSession, folder: str) -> DataFrame:
-    return details(spark, folder).selectExpr(*_columns(_DETAIL_PAGE_RULES))
+    return details(spark, folder).repartition("url").selectExpr(*_columns(_DETAIL_PAGE_RULES))
 
 
 def widened(df: DataFrame) -> DataFrame:

@@ -32,32 +32,57 @@ def _opening(tag: str, mark: str) -> str:
     return rf"<{tag}\b[^>]*{mark}"
 
 
+def _bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it is used inside lambdas."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def contents(html: Column, tag: str, mark: str = "") -> Column:
     """Inner HTML of every matching element, in page order; an unclosed one runs to the end."""
-    pieces = F.split(html, rf"(?=<{tag}\b|</{tag}\s*>)")
-    places = F.sequence(F.lit(1), F.size(pieces))
-    starts = F.filter(places, lambda i: F.get(pieces, i - 1).rlike(f"^{_opening(tag, mark)}"))
-    return F.transform(starts, lambda i: _balanced(F.slice(pieces, i, F.size(pieces)), tag))
+
+    def matching(pieces: Column) -> Column:
+        places = F.sequence(F.lit(1), F.size(pieces))
+        starts = F.filter(places, lambda i: F.get(pieces, i - 1).rlike(f"^{_opening(tag, mark)}"))
+        rest_from = lambda i: F.slice(pieces, i, F.size(pieces))
+        whole = F.transform(starts, lambda i: _bind(rest_from(i), lambda rest: _balanced(rest, tag, depth=0)))
+        return F.transform(whole, lambda x: F.regexp_replace(x, rf"^<{tag}\b[^>]*>", ""))
+
+    return _bind(F.split(html, rf"(?=<{tag}\b|</{tag}\s*>)"), matching)
+
+
+def element(html: Column, tag: str, mark: str = "", nth: int = 1) -> Column:
+    """Inner HTML of the n-th matching element, empty when there is none."""
+    close = f"</{tag}>"
+
+    def inner(rest: Column) -> Column:
+        near = F.substring_index(rest, close, 1)
+        nests = near.contains(f"<{tag}") | near.contains(f"</{tag}")
+        pieces = F.split(rest, rf"(?=<{tag}\b|</{tag}\s*>)")
+        return F.when(~nests, near).otherwise(_bind(pieces, lambda p: _balanced(p, tag, depth=1)))
+
+    return _bind(F.regexp_extract(html, rf"(?s)\A(?:.*?{_opening(tag, mark)}[^>]*>){{{nth}}}(.*)", 1), inner)
 
 
-def _balanced(pieces: Column, tag: str) -> Column:
-    """What lies between the first piece's opening tag and the closing tag that balances it."""
-    kept = F.aggregate(
+def _balanced(pieces: Column, tag: str, depth: int) -> Column:
+    """The pieces before the closing tag that ends the element they are in, ``depth`` tags deep at first."""
+    taken = F.aggregate(
         pieces,
-        F.struct(F.lit(0).alias("depth"), F.lit(0).alias("taken"), F.lit(False).alias("closed")),
+        F.struct(F.lit(depth).alias("depth"), F.lit(0).alias("taken"), F.lit(False).alias("closed")),
         lambda seen, piece: _advance(seen, piece, tag),
+        lambda seen: seen["taken"],
     )
-    inner = F.array_join(F.slice(pieces, F.lit(1), kept["taken"]), "")
-    return F.regexp_replace(inner, rf"^<{tag}\b[^>]*>", "")
+    return F.array_join(F.slice(pieces, F.lit(1), taken), "")
 
 
 def _advance(seen: Column, piece: Column, tag: str) -> Column:
-    depth = seen["depth"] + F.when(piece.startswith(f"</{tag}"), -1).when(piece.startswith(f"<{tag}"), 1).otherwise(0)
-    closed = seen["closed"] | (depth == 0)
-    return F.struct(
-        depth.alias("depth"),
-        (seen["taken"] + F.when(closed, 0).otherwise(1)).alias("taken"),
-        closed.alias("closed"),
+    step = F.when(piece.startswith(f"</{tag}"), -1).when(piece.startswith(f"<{tag}"), 1).otherwise(0)
+    return _bind(
+        seen["depth"] + step,
+        lambda depth: F.struct(
+            depth.alias("depth"),
+            (seen["taken"] + F.when(seen["closed"] | (depth == 0), 0).otherwise(1)).alias("taken"),
+            (seen["closed"] | (depth == 0)).alias("closed"),
+        ),
     )
 
 
@@ -72,7 +97,7 @@ def visible_text(inner: Column) -> Column:
 
 def element_text(tag: str, mark: str = "", nth: int = 1) -> FieldRule:
     """Rule: visible text of the n-th matching element, empty when there is none."""
-    return lambda html: F.coalesce(visible_text(F.get(contents(html, tag, mark), F.lit(nth - 1))), F.lit(""))
+    return lambda html: F.coalesce(visible_text(element(html, tag, mark, nth)), F.lit(""))
 
 
 def pattern_text(pattern: str) -> FieldRule:
@@ -82,9 +107,8 @@ def pattern_text(pattern: str) -> FieldRule:
 
 def option_text(option_class: str) -> FieldRule:
     """Rule: the value span inside a labelled option."""
-    option = lambda html: F.get(contents(html, "div", has_class(option_class)), F.lit(0))
     value = element_text("span", has_class(fixed.OPTION_VALUE_CLASS))
-    return lambda html: value(option(html))
+    return lambda html: value(element(html, "div", has_class(option_class)))
 
 
 def listing_rules() -> dict[str, FieldRule]:
