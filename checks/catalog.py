@@ -277,19 +277,19 @@ def _(spark, d):
     return v.widened(filters.filter_price_range(v.clean(spark, d)).select("listing_id", "price_per_m2"))
 
 
-@query("filter_location", "SELECT listing_id, district FROM clean WHERE city_province = 'ASIA' AND district = 'NATION_8'", "clean")
+@query("filter_location", "SELECT listing_id, district FROM clean WHERE city_province = 'ASIA' AND district = 'NATION_12'", "clean")
 def _(spark, d):
-    return filters.filter_location(v.clean(spark, d), "ASIA", "NATION_8").select("listing_id", "district")
+    return filters.filter_location(v.clean(spark, d), "ASIA", "NATION_12").select("listing_id", "district")
 
 
 @query(
     "filter_similar",
-    """SELECT listing_id, area_m2 FROM clean WHERE city_province = 'ASIA' AND district = 'NATION_8'
+    """SELECT listing_id, area_m2 FROM clean WHERE city_province = 'ASIA' AND district = 'NATION_12'
     AND area_m2 > 100.0 * 0.7::DOUBLE AND area_m2 < 100.0 * 1.3::DOUBLE""",
     "clean",
 )
 def _(spark, d):
-    return v.widened(filters.filter_similar(v.clean(spark, d), "ASIA", "NATION_8", 100.0).select("listing_id", "area_m2"))
+    return v.widened(filters.filter_similar(v.clean(spark, d), "ASIA", "NATION_12", 100.0).select("listing_id", "area_m2"))
 
 
 @query(
@@ -791,8 +791,7 @@ def _(spark, d):
 @query(
     "corr_matrix",
     " UNION ALL ".join(
-        f"""SELECT '{a}' AS "row", '{b}' AS "column", round({1.0 if a == b else f'corr({a}, {b})'}::DOUBLE, 8) AS corr FROM clean{' LIMIT 1' if False else ''}"""
-        + (" GROUP BY ALL" if a == b else "")
+        f"""SELECT '{a}' AS "row", '{b}' AS "column", round({f'CASE WHEN max({a}) > min({a}) THEN 1.0 END' if a == b else f'corr({a}, {b})'}::DOUBLE, 8) AS corr FROM clean"""
         for a in NUM7
         for b in NUM7
     ),

@@ -177,11 +177,11 @@ def fallback_estimate(
     overall = totals.agg(mean).scalar()
     tier = (
         F.when(F.col("n_similar") >= enough, 1).when(F.col("n2") >= enough, 2).when(F.col("n3") > 0, 3)
-        .when(overall.isNotNull(), 4).otherwise(5)
+        .when(F.col("mean4").isNotNull(), 4).otherwise(5)
     )
     value = (
         F.when(F.col("tier") == 1, F.col("avg_similar")).when(F.col("tier") == 2, F.col("mean2"))
-        .when(F.col("tier") == 3, F.col("mean3")).when(F.col("tier") == 4, overall).otherwise(F.lit(default))
+        .when(F.col("tier") == 3, F.col("mean3")).when(F.col("tier") == 4, F.col("mean4")).otherwise(F.lit(default))
     )
     return (
         _with_area(subjects)
@@ -189,6 +189,7 @@ def fallback_estimate(
         .join(tier1, [*narrow, "area"], "left")
         .join(in_place, list(PLACE), "left")
         .join(in_city, "city_province", "left")
+        .withColumn("mean4", overall)
         .withColumn("tier", tier)
         .select(subject_key, "tier", value.alias("estimate"))
     )

@@ -1,48 +1,48 @@
 """Tables behind distribution charts."""
 
+import math
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelframe.functions import numbers
 from parcelframe.operators import ranking
 from parcelframe.operators.filters import trim_p99_joint, trim_p99_sequential
-from parcelframe.operators.quantiles import exact_quantiles, quantile_limits
+from parcelframe.operators.quantiles import exact_quantiles, quantile_values
 
 PRICE = "price_per_m2"
 
 
-def _auto_bin_count(df: DataFrame, value: str) -> Column:
-    """The larger of the Sturges and the Freedman-Diaconis bin counts, as a scalar."""
-    quartiles = quantile_limits(df, value, {"p25": 0.25, "p75": 0.75})
-    x = F.col(value).cast("double")
-    seen = df.agg(F.count(x).alias("n"), (F.max(x) - F.min(x)).alias("span"), (quartiles["p75"] - quartiles["p25"]).alias("iqr"))
-    by_size = F.log2("n") + 1
-    by_spread = F.when(F.col("iqr") > 0, F.col("span") / (2 * F.col("iqr") * F.pow("n", F.lit(-1 / 3))))
-    return seen.select(F.greatest(F.lit(1), F.ceil(F.greatest(by_size, by_spread))).cast("int")).scalar()
+def _auto_bins(df: DataFrame, value: str, n: int, span: float) -> int:
+    """The larger of the Sturges and the Freedman-Diaconis bin counts."""
+    quartiles = quantile_values(df, value, {"p25": 0.25, "p75": 0.75})
+    spread = quartiles["p75"] - quartiles["p25"]
+    by_spread = span / (2 * spread * n ** (-1 / 3)) if spread > 0 else 0
+    return max(1, math.ceil(max(math.log2(n) + 1, by_spread)))
 
 
 def histogram(df: DataFrame, value: str = PRICE, bins: int | None = 50, log: bool = False) -> DataFrame:
     """Counts in equal bins from the smallest to the largest value, empty bins included.
 
     Without a bin count the number follows from size and spread. The last bin includes its end.
+    The limits are found first, by one job that returns three numbers.
     """
     x = F.col(value).cast("double")
-    if log:
-        df, value = df.select(numbers.log_price(x).alias("x")), "x"
-        x = F.col("x")
-    df = df.select(x.alias("x")).filter(F.col("x").isNotNull())
-    count = _auto_bin_count(df, "x") if bins is None else F.lit(bins)
-    frame = df.agg(F.min("x").alias("low"), F.max("x").alias("high")).select(F.struct("low", "high")).scalar()
-    width = (frame["high"] - frame["low"]) / count
-    place = F.when(width > 0, F.least(F.floor((F.col("x") - frame["low"]) / width), count - 1)).otherwise(F.lit(0))
+    df = df.select((numbers.log_price(x) if log else x).alias("x")).filter(F.col("x").isNotNull())
+    low, high, n = df.agg(F.min("x"), F.max("x"), F.count("*")).first()
+    if not n:
+        return df.sparkSession.createDataFrame([], "bin int, low double, high double, count bigint")
+    if bins is None:
+        bins = _auto_bins(df, "x", n, high - low)
+    width = (high - low) / bins
+    place = F.least(F.floor((F.col("x") - low) / width), F.lit(bins - 1)) if width > 0 else F.lit(0)
     filled = df.groupBy(place.cast("int").alias("bin")).agg(F.count("*").alias("count"))
-    every = df.sparkSession.range(1).select(F.explode(F.sequence(F.lit(0), count.cast("int") - 1)).alias("bin"))
+    every = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
     return every.join(filled, "bin", "left").select(
         "bin",
-        (frame["low"] + F.col("bin") * width).alias("low"),
-        (frame["low"] + (F.col("bin") + 1) * width).alias("high"),
+        (low + F.col("bin") * width).alias("low"),
+        (low + (F.col("bin") + 1) * width).alias("high"),
         F.coalesce("count", F.lit(0)).cast("bigint").alias("count"),
     )
 
@@ -56,29 +56,24 @@ def density(df: DataFrame, value: str = PRICE, points: int = 200, log: bool = Fa
     """Gaussian kernel density on an even grid from the smallest to the largest value.
 
     The bandwidth is the sample standard deviation times n^(-1/5). Rows are first reduced to counted
-    distinct values, then every value adds its weight to the fixed number of grid points.
+    distinct values, then every value adds its weight to the fixed number of grid points. Without any
+    spread there is no density and the result is empty.
     """
     x = F.col(value).cast("double")
     rows = df.select((numbers.log_price(x) if log else x).alias("x")).filter(F.col("x").isNotNull())
-    frame = rows.agg(
-        F.min("x").alias("low"),
-        F.max("x").alias("high"),
-        F.count("*").alias("n"),
-        (F.stddev_samp("x") * F.pow(F.count("*"), F.lit(-0.2))).alias("width"),
-    )
-    frame = frame.select(F.struct("low", "high", "n", "width")).scalar()
+    low, high, n, deviation = rows.agg(F.min("x"), F.max("x"), F.count("*"), F.stddev_samp("x")).first()
+    if not deviation:
+        return df.sparkSession.createDataFrame([], "point int, x double, density double")
+    width = deviation * n**-0.2
+    at = low + F.col("point") * (high - low) / (points - 1)
     weights = rows.groupBy("x").agg(F.count("*").alias("weight"))
-    step = (frame["high"] - frame["low"]) / (points - 1)
-    distance = (frame["low"] + F.col("point") * step - F.col("x")) / frame["width"]
     summed = (
         weights.select("x", "weight", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"))
         .groupBy("point")
-        .agg(F.sum(F.col("weight") * F.exp(-distance * distance / 2)).alias("mass"))
-    )
-    scale = frame["n"] * frame["width"] * F.sqrt(2 * F.pi())
-    return summed.select(
-        "point", (frame["low"] + F.col("point") * step).alias("x"), (F.col("mass") / scale).alias("density")
+        .agg(F.sum(F.col("weight") * F.exp(-F.pow((at - F.col("x")) / width, F.lit(2)) / 2)).alias("mass"))
     )
+    scale = n * width * math.sqrt(2 * math.pi)
+    return summed.select("point", at.alias("x"), (F.col("mass") / scale).alias("density"))
 
 
 def boxplot_by(df: DataFrame, key: str = "city_province", value: str = PRICE, top: int = 10) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelframe import fixed
-from parcelframe.operators.quantiles import quantile_limits
+from parcelframe.operators.quantiles import quantile_values
 
 
 def filter_price_present(df: DataFrame, price: str = "price") -> DataFrame:
@@ -27,13 +27,11 @@ def filter_price_range(
     df: DataFrame, value: str = "price_per_m2", low: float | None = None, high: float | None = None
 ) -> DataFrame:
     """Rows inside a range, both ends included; an open end defaults to the lower or upper quartile."""
-    bounds = (None, None)
     if low is None or high is None:
-        limits = quantile_limits(df, value, {"p25": 0.25, "p75": 0.75})
-        bounds = (limits["p25"], limits["p75"])
-    start = bounds[0] if low is None else F.lit(low)
-    end = bounds[1] if high is None else F.lit(high)
-    return df.filter(F.col(value).cast("double").between(start, end))
+        quartiles = quantile_values(df, value, {"p25": 0.25, "p75": 0.75})
+        low = quartiles["p25"] if low is None else low
+        high = quartiles["p75"] if high is None else high
+    return df.filter(F.col(value).cast("double").between(F.lit(low), F.lit(high)))
 
 
 def filter_location(df: DataFrame, city: str | None = None, district: str | None = None) -> DataFrame:
@@ -60,9 +58,9 @@ def filter_similar(
 
 def trim_p99_joint(df: DataFrame, columns: Sequence[str] = ("price_per_m2", "area_m2"), prob: float = 0.99) -> DataFrame:
     """Rows strictly below the quantile of every column, all quantiles taken from the same table."""
-    below = [F.col(c).cast("double") < quantile_limits(df, c, {"cut": prob})["cut"] for c in columns]
-    for condition in below:
-        df = df.filter(condition)
+    cuts = {c: quantile_values(df, c, {"cut": prob})["cut"] for c in columns}
+    for c, cut in cuts.items():
+        df = df.filter(F.col(c).cast("double") < F.lit(cut))
     return df
 
 
@@ -71,7 +69,7 @@ def trim_p99_sequential(
 ) -> DataFrame:
     """As above, but each quantile is taken from what the filters before it left over."""
     for c in columns:
-        df = df.filter(F.col(c).cast("double") < quantile_limits(df, c, {"cut": prob})["cut"])
+        df = df.filter(F.col(c).cast("double") < F.lit(quantile_values(df, c, {"cut": prob})["cut"]))
     return df
 
 

@@ -114,17 +114,21 @@ def _holding(placed: DataFrame, by) -> DataFrame:
     )
 
 
-def quantile_limits(df: DataFrame, value: str, probs: Mapping[str, float]) -> Column:
-    """The quantiles of a whole column as one scalar struct, to be used inside filters."""
-    return exact_quantiles(df, value, probs).select(F.struct(*probs).alias("limits")).scalar()
+def quantile_values(df: DataFrame, value: str, probs: Mapping[str, float]) -> dict[str, float | None]:
+    """The quantiles of a whole column as plain numbers, so that filters on them reach the scan.
+
+    Runs a job over that one column; a handful of numbers reach the driver.
+    """
+    return exact_quantiles(df, value, probs).first().asDict()
 
 
-def exact_medians(df: DataFrame, columns: Sequence[str], missing: float = -1) -> DataFrame:
-    """One row with the exact median of each column, the missing sentinel left out."""
+def exact_medians(df: DataFrame, columns: Sequence[str], missing: float = -1) -> dict[str, float | None]:
+    """The exact median of each column, the missing sentinel left out, all columns in one job."""
     named = [F.struct(F.lit(c).alias("column"), F.col(c).cast("float").alias("value")) for c in columns]
-    long = df.select(F.explode(F.array(*named)).alias("cell")).select("cell.*").filter(F.col("value") != missing)
-    medians = exact_quantiles(long, "value", {"median": 0.5}, keys=["column"])
-    return medians.agg(*[F.max(F.when(F.col("column") == c, F.col("median"))).alias(c) for c in columns])
+    long = df.select(F.inline(F.array(*named))).filter(F.col("value") != missing)
+    rows = exact_quantiles(long, "value", {"median": 0.5}, keys=["column"]).collect()
+    found = {row["column"]: row["median"] for row in rows}
+    return {c: found.get(c) for c in columns}
 
 
 def approx_medians(df: DataFrame, columns: Sequence[str], missing: float = -1, error: float = 0.01) -> dict[str, float]:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from parcelframe import fixed
 from parcelframe.functions import numbers
 from parcelframe.operators.filters import contains_ignoring_case
-from parcelframe.operators.quantiles import exact_quantiles, quantile_limits
+from parcelframe.operators.quantiles import exact_quantiles, quantile_values
 
 PRICE = "price_per_m2"
 
@@ -53,7 +53,7 @@ def price_summary(df: DataFrame, value: str = PRICE) -> DataFrame:
         F.min(_double(value)).alias("min"),
         F.count(value).alias("count"),
     )
-    return basic.withColumn("median", quantile_limits(df, value, {"p50": 0.5})["p50"])
+    return basic.withColumn("median", F.lit(quantile_values(df, value, {"p50": 0.5})["p50"]))
 
 
 def mean_by(
@@ -151,10 +151,10 @@ def price_quantiles(df: DataFrame, value: str = PRICE, accuracy: int | None = No
 
 def trimmed_price_range(df: DataFrame, value: str = PRICE) -> DataFrame:
     """Largest value below p99 minus smallest value above p01."""
-    cut = quantile_limits(df, value, {"p01": 0.01, "p99": 0.99})
+    cut = quantile_values(df, value, {"p01": 0.01, "p99": 0.99})
     price = _double(value)
     return df.agg(
-        (F.max(F.when(price < cut["p99"], price)) - F.min(F.when(price > cut["p01"], price))).alias("price_range")
+        (F.max(F.when(price < F.lit(cut["p99"]), price)) - F.min(F.when(price > F.lit(cut["p01"]), price))).alias("price_range")
     )
 
 

@@ -76,10 +76,9 @@ def standardized(df: DataFrame, columns: Sequence[str] = fixed.NUMERIC_FEATURES,
     """Plain-column form of the scaler: ``<c>_scaled`` has unit sample deviation."""
     x = {c: F.col(c).cast("double") for c in columns}
     aggregates = [F.avg(x[c]).alias(f"{c}_mean") for c in columns] + [F.stddev_samp(x[c]).alias(f"{c}_std") for c in columns]
-    found = df.agg(*aggregates)
-    moments = found.select(F.struct(*found.columns)).scalar()
+    moments = df.agg(*aggregates).first().asDict()
     scaled = {}
     for c in columns:
-        shifted = x[c] - moments[f"{c}_mean"] if centered else x[c]
-        scaled[f"{c}_scaled"] = F.when(moments[f"{c}_std"] > 0, shifted / moments[f"{c}_std"]).otherwise(F.lit(0.0))
+        mean, deviation = (moments[f"{c}_mean"] if centered else 0.0), moments[f"{c}_std"]
+        scaled[f"{c}_scaled"] = (x[c] - F.lit(mean)) / deviation if deviation else F.lit(0.0)
     return df.withColumns(scaled)

@@ -8,7 +8,7 @@ from parcelframe import fixed
 from parcelframe.functions import numbers
 from parcelframe.operators import columns as cols
 from parcelframe.operators.comparables import fallback_estimate
-from parcelframe.operators.quantiles import quantile_limits
+from parcelframe.operators.quantiles import quantile_values
 from parcelframe.plans.features import FeaturePreset
 
 
@@ -65,5 +65,6 @@ def prediction_interval(
 ) -> DataFrame:
     """Adds ``lower`` and ``upper``: the prediction plus and minus the holdout's residual quantile."""
     residual: Column = F.abs(F.col(actual).cast("double") - F.col(prediction))
-    reach = quantile_limits(holdout.select(residual.alias("residual")), "residual", {"reach": level})["reach"]
+    found = quantile_values(holdout.select(residual.alias("residual")), "residual", {"reach": level})
+    reach = F.lit(found["reach"])
     return predictions.withColumns({"lower": F.col(prediction) - reach, "upper": F.col(prediction) + reach})
