@@ -1036,7 +1036,7 @@ _INDEX_SQL = """indexed AS (SELECT district, CAST(row_number() OVER (ORDER BY n
 )
 def _(spark, d):
     df = v.clean(spark, d)
-    return features.string_indexers(["district"])[0].fit(df).transform(df).select("listing_id", "district_index")
+    return features.string_indexer(["district"]).fit(df).transform(df).select("listing_id", "district_index")
 
 
 @query(
@@ -1049,8 +1049,8 @@ def _(spark, d):
     from pyspark.ml.functions import vector_to_array
 
     df = v.clean(spark, d)
-    indexed = features.string_indexers(["district"])[0].fit(df).transform(df)
-    encoded = features.one_hot_encoders(["district"])[0].fit(indexed).transform(indexed)
+    indexed = features.string_indexer(["district"]).fit(df).transform(df)
+    encoded = features.one_hot_encoder(["district"]).fit(indexed).transform(indexed)
     hot = F.array_position(vector_to_array("district_vec"), 1.0) - 1
     return encoded.select("listing_id", hot.cast("bigint").alias("hot_slot"))
 

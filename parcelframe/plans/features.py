@@ -23,6 +23,10 @@ class FeaturePreset:
     categorical: Sequence[str] = fixed.CATEGORICAL_FEATURES
     numeric: Sequence[str] = fixed.NUMERIC_FEATURES
 
+    @property
+    def inputs(self) -> list[str]:
+        return [*self.categorical, *self.numeric, *self.flag_columns]
+
     @property
     def flag_columns(self) -> list[str]:
         return [f"{c}_missing_flag" for c in self.numeric] if self.flags else []
@@ -32,14 +36,16 @@ LOG_FULL = FeaturePreset(label="price_log", log_label=True, flags=True, centered
 RAW_QUICK = FeaturePreset(label="price_per_m2", log_label=False, flags=False, centered=False, invalid="skip")
 
 
-def string_indexers(categorical: Sequence[str]) -> list[StringIndexer]:
-    """Index by falling frequency; null and unseen texts get one extra index."""
-    return [StringIndexer(inputCol=c, outputCol=f"{c}_index", handleInvalid="keep") for c in categorical]
+def string_indexer(categorical: Sequence[str]) -> StringIndexer:
+    """Index by falling frequency, all columns in one pass; null and unseen texts get one extra index."""
+    return StringIndexer(
+        inputCols=list(categorical), outputCols=[f"{c}_index" for c in categorical], handleInvalid="keep"
+    )
 
 
-def one_hot_encoders(categorical: Sequence[str]) -> list[OneHotEncoder]:
+def one_hot_encoder(categorical: Sequence[str]) -> OneHotEncoder:
     """Sparse indicator vectors; the extra index is all zeros."""
-    return [OneHotEncoder(inputCol=f"{c}_index", outputCol=f"{c}_vec") for c in categorical]
+    return OneHotEncoder(inputCols=[f"{c}_index" for c in categorical], outputCols=[f"{c}_vec" for c in categorical])
 
 
 def assembler(preset: FeaturePreset) -> VectorAssembler:
@@ -53,7 +59,7 @@ def scaler(preset: FeaturePreset) -> StandardScaler:
 
 
 def feature_stages(preset: FeaturePreset) -> list:
-    return [*string_indexers(preset.categorical), *one_hot_encoders(preset.categorical), assembler(preset), scaler(preset)]
+    return [string_indexer(preset.categorical), one_hot_encoder(preset.categorical), assembler(preset), scaler(preset)]
 
 
 def fit_features(train: DataFrame, preset: FeaturePreset) -> PipelineModel:

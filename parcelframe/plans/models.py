@@ -51,22 +51,20 @@ def train_models(
 ) -> dict[str, PipelineModel]:
     """One complete model (features and regressor) per name; the features are fitted once.
 
-    The shared training frame is kept with its sparse vectors; scaling is applied on the way into each
-    regressor, because centred vectors are dense.
+    What is kept for the repeated passes are the narrow input columns. The feature vectors, dense once
+    they are centred, are made again on the way into each regressor.
     """
     _use_shared_checkpoints(train)
-    prepared = features.fit_features(train, preset)
-    *to_vector, scaling = prepared.stages
-    vectors = PipelineModel(to_vector).transform(train).select("features", preset.label)
-    vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
+    inputs = train.select(*preset.inputs, preset.label).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        scaled = scaling.transform(vectors)
+        prepared = features.fit_features(inputs, preset)
+        scaled = prepared.transform(inputs).select("scaled_features", preset.label)
         return {
             name: PipelineModel([*prepared.stages, regressor(name, preset, chosen).fit(scaled)])
             for name, chosen in settings.items()
         }
     finally:
-        vectors.unpersist()
+        inputs.unpersist()
 
 
 def predictions_long(models: Mapping[str, PipelineModel], test: DataFrame, keep: Sequence[str]) -> DataFrame:
@@ -106,11 +104,13 @@ def train_and_choose(
 ) -> tuple[str, dict[str, PipelineModel], DataFrame]:
     """(best model's name, all models, metrics table)."""
     models = train_models(train, preset, settings)
-    predicted = predictions_long(models, test, ["price_per_m2"])
-    metrics = regression_metrics(predicted, log_label=preset.log_label)
+    held_out = test.select(*{*preset.inputs, "price_per_m2"}).persist(StorageLevel.MEMORY_AND_DISK)
+    metrics = regression_metrics(
+        predictions_long(models, held_out, ["price_per_m2"]), log_label=preset.log_label
+    )
     # Four numbers per model: this is the only result of the data that the choice has to see.
-    rows = metrics.collect()
-    metrics = train.sparkSession.createDataFrame(rows, metrics.schema)
+    metrics = train.sparkSession.createDataFrame(metrics.collect(), metrics.schema)
+    held_out.unpersist()
     return select_best(metrics).first()["model"], models, metrics
 
 
@@ -150,12 +150,12 @@ def tune(
         trainRatio=0.8,
         seed=SEED,
     )
-    prepared = features.fit_features(train, preset)
-    scaled = prepared.transform(train).select("scaled_features", preset.label).persist(StorageLevel.MEMORY_AND_DISK)
+    inputs = train.select(*preset.inputs, preset.label).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        found = search.fit(scaled)
+        prepared = features.fit_features(inputs, preset)
+        found = search.fit(prepared.transform(inputs).select("scaled_features", preset.label))
     finally:
-        scaled.unpersist()
+        inputs.unpersist()
     tried = [
         (", ".join(f"{p.name}={v}" for p, v in sorted(m.items(), key=lambda x: x[0].name)), float(rmse))
         for m, rmse in zip(maps, found.validationMetrics, strict=True)
