@@ -339,8 +339,8 @@ _TOP_CITIES = """top_cities AS (SELECT city_province FROM clean WHERE city_provi
 )
 def _(spark, d):
     df = v.clean(spark, d)
-    top = stats.median_by(df, "city_province", top=3)
-    return ranking.keep_top_groups(df, top, "city_province").select("listing_id", "city_province")
+    medians = stats.median_by(df, "city_province")
+    return ranking.keep_top_groups(df, medians, "median_price", "city_province", 3).select("listing_id", "city_province")
 
 
 _LIMIT_CASES = ", ".join(
@@ -612,7 +612,8 @@ def _(spark, d):
 )
 def _(spark, d):
     df = v.clean(spark, d)
-    return ranking.keep_top_groups(df, stats.count_by(df, "city_province", top=2), "city_province").select("listing_id", "city_province")
+    counts = stats.count_by(df, "city_province")
+    return ranking.keep_top_groups(df, counts, "count", "city_province", 2).select("listing_id", "city_province")
 
 
 # Map positions for the derived places; one name matches nothing.

@@ -113,6 +113,12 @@ def raw_from_orders(orders: DataFrame, spark: SparkSession, folder: str) -> Data
     return orders.join(place, F.col("o_custkey") == F.col("c_custkey")).selectExpr(*_columns(_RAW_RULES))
 
 
+def _spread(df: DataFrame, key: str, source: DataFrame) -> DataFrame:
+    """Rows spread over the cores when their source has too few files to do so by itself."""
+    few = len(source.inputFiles()) < df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(key) if few else df
+
+
 def raw(spark: SparkSession, folder: str) -> DataFrame:
     return raw_from_orders(table(spark, folder, "orders"), spark, folder)
 
@@ -143,12 +149,13 @@ def status_log(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def listing_pages(spark: SparkSession, folder: str) -> DataFrame:
-    # Pages come in many files; the derived ones are spread by hand.
-    return raw(spark, folder).repartition("listing_id").selectExpr(*_columns(_PAGE_RULES))
+    listed = raw(spark, folder)
+    return _spread(listed, "listing_id", table(spark, folder, "orders")).selectExpr(*_columns(_PAGE_RULES))
 
 
 def detail_pages(spark: SparkSession, folder: str) -> DataFrame:
-    return details(spark, folder).repartition("url").selectExpr(*_columns(_DETAIL_PAGE_RULES))
+    found = details(spark, folder)
+    return _spread(found, "url", found).selectExpr(*_columns(_DETAIL_PAGE_RULES))
 
 
 def widened(df: DataFrame) -> DataFrame:

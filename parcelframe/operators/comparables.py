@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from parcelframe import fixed
+from parcelframe.session import stored
 
 PLACE = ("city_province", "district")
 PRICE = "price_per_m2"
@@ -168,8 +169,10 @@ def fallback_estimate(
     price = F.col(PRICE).cast("double")
     narrow = [*PLACE, "category"]
     tier1 = similar_stats(subjects, listings, narrow)
-    # City and overall means are built from the place totals, so the listings are read once for all three.
+    # City and overall means are built from the place totals, so the listings are read once for all
+    # three; stored, their size decides whether they are broadcast to the subjects.
     totals = listings.groupBy(*PLACE).agg(F.count(price).alias("n"), F.sum(price).alias("amount"))
+    totals = stored(totals, "place-totals")
     mean = F.sum("amount") / F.sum("n")
     in_place = totals.dropna(subset=list(PLACE)).select(*PLACE, F.col("n").alias("n2"), (F.col("amount") / F.col("n")).alias("mean2"))
     in_city = totals.filter(F.col("city_province").isNotNull()).groupBy("city_province")

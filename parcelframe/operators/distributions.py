@@ -85,7 +85,7 @@ def boxplot_by(df: DataFrame, key: str = "city_province", value: str = PRICE, to
     inside = x.between(F.col("q1") - reach, F.col("q3") + reach)
     return (
         df.filter(x.isNotNull())
-        .join(boxes, key)
+        .join(F.broadcast(boxes), key)
         .groupBy(key, "q1", "median", "q3")
         .agg(
             F.min(F.when(inside, x)).alias("whisker_low"),

@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from parcelframe.session import stored
+
 # Bins per e-fold of the absolute value, and an offset that keeps every finite double's bin above zero.
 _BINS_PER_EFOLD = 512
 _BIN_OFFSET = 400_000
@@ -49,14 +51,18 @@ def exact_quantiles(
         rows = rows.withColumn("_all", F.lit(0))
     rows = rows.dropna(subset=[*by, "_value"]).withColumn("_bin", _log_bin(F.col("_value")))
 
-    wanted = _wanted_bins(_counted(rows, by), by, probs.values())
+    # Without keys there are at most two bins per probability. With keys the number of groups is open,
+    # so the bins are stored and their size decides how they are joined; the rows are not shuffled
+    # on the chance that they might be many.
+    place = (lambda bins: stored(bins, "quantile-bins")) if keys else F.broadcast
+    wanted = place(_wanted_bins(_counted(rows, by), by, probs.values()))
     for _ in range(refinements):
         rows = (
             rows.join(wanted, [*by, "_bin"])
             .withColumn("_bin", _slice_bin(F.col("_value")))
             .withColumn("_parent", F.floor(F.col("_bin") / _SLICES))
         )
-        wanted = _narrowed(_counted(rows, by, "_parent", "_before", "_ranks"), by)
+        wanted = place(_narrowed(_counted(rows, by, "_parent", "_before", "_ranks"), by))
         rows = rows.select(*by, "_value", "_bin")
     values = (
         rows.join(wanted.select(*by, "_bin", "_before", "_ranks"), [*by, "_bin"])

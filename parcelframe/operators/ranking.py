@@ -11,9 +11,9 @@ def top_k_groups(groups: DataFrame, by: str, key: str, k: int = 10) -> DataFrame
     return groups.orderBy(F.desc(by), key).limit(k)
 
 
-def keep_top_groups(df: DataFrame, top: DataFrame, key: str) -> DataFrame:
-    """Rows whose key is among the groups of ``top``."""
-    return df.join(top.select(key), key, "left_semi")
+def keep_top_groups(df: DataFrame, groups: DataFrame, by: str, key: str, k: int = 10) -> DataFrame:
+    """Rows whose key is among the k highest groups; those k keys are broadcast."""
+    return df.join(F.broadcast(top_k_groups(groups, by, key, k).select(key)), key, "left_semi")
 
 
 def sorted_distinct(df: DataFrame, column: str) -> DataFrame:

@@ -3,7 +3,7 @@
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app_name: str = "parcelframe", master: str | None = None, **conf: str) -> SparkSession:
@@ -33,3 +33,14 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
         shared = tempfile.mkdtemp(prefix="parcelframe-")
         spark.conf.set("spark.checkpoint.dir", shared)
     return f"{shared.rstrip('/')}/parcelframe/{purpose}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """The table written to the shared folder and read back.
+
+    This cuts the lineage, and the planner then knows the size: it broadcasts the table only while it
+    is below the session's own limit, and joins it by sorting otherwise.
+    """
+    path = work_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
