@@ -827,9 +827,8 @@ def _(spark, d):
 
 @query("approx_medians")
 def _(spark, d):
-    df = v.clean(spark, d)
-    known = [F.nullif(F.col(c).cast("double"), F.lit(-1.0)) for c in NUM]
-    return df.agg(*[F.percentile_approx(x, 0.5, 100).alias(c) for c, x in zip(NUM, known, strict=True)])
+    found = quantiles.approx_medians(v.clean(spark, d), NUM)
+    return spark.createDataFrame(list(found.items()), "column string, median double")
 
 
 @query(

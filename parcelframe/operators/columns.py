@@ -26,6 +26,13 @@ def dropna_subset(df: DataFrame, columns: Iterable[str] = ("price", "area")) ->
     return df.dropna(subset=list(columns))
 
 
+def present(df: DataFrame, columns: Iterable[str]) -> DataFrame:
+    """Rows without a null in the columns, as conditions that the scan understands."""
+    for c in columns:
+        df = df.filter(F.col(c).isNotNull())
+    return df
+
+
 def fill_numeric_sentinel(df: DataFrame, columns: Iterable[str] = fixed.COUNT_COLUMNS) -> DataFrame:
     """Null becomes -1; the columns keep their type, text included."""
     kinds = {f.name: f.dataType for f in df.schema}

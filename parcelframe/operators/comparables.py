@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from parcelframe import fixed
+from parcelframe.operators.columns import present
 from parcelframe.session import stored
 
 PLACE = ("city_province", "district")
@@ -34,20 +35,21 @@ _EXACT = T.DecimalType(24, 3)
 def _subjects_at(subjects: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Distinct places and positive areas asked for."""
     area = F.col(AREA).cast("double")
-    return subjects.filter(area > 0).dropna(subset=list(keys)).select(*keys, area.alias("area")).distinct()
+    return present(subjects, keys).filter(area > 0).select(*keys, area.alias("area")).distinct()
 
 
 def _listings_at(listings: DataFrame, keys: Sequence[str]) -> DataFrame:
     area = F.col(AREA).cast("double")
-    return listings.filter((area > 0) & F.col(PRICE).isNotNull()).dropna(subset=list(keys)).withColumn("area", area)
+    return present(listings, [*keys, PRICE]).filter(area > 0).withColumn("area", area)
 
 
 def _running_totals(events: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
     """Replaces each measure by its total over all events of the same keys up to and including the row.
 
     Events are ordered by (at, turn). Totals within an area bin are added to those of earlier bins.
+    The events, already reduced to distinct areas, are stored: they are read twice, their source once.
     """
-    binned = events.withColumn("_bin", F.floor(F.ln("at") * _BINS_PER_EFOLD))
+    binned = stored(events.withColumn("_bin", F.floor(F.ln("at") * _BINS_PER_EFOLD)), "area-events")
     earlier = Window.partitionBy(*keys).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
     per_bin = binned.groupBy(*keys, "_bin").agg(*[F.sum(m).alias(f"_{m}") for m in measures])
     before = per_bin.select(*keys, "_bin", *[F.sum(f"_{m}").over(earlier).alias(f"_{m}") for m in measures])
@@ -174,7 +176,7 @@ def fallback_estimate(
     totals = listings.groupBy(*PLACE).agg(F.count(price).alias("n"), F.sum(price).alias("amount"))
     totals = stored(totals, "place-totals")
     mean = F.sum("amount") / F.sum("n")
-    in_place = totals.dropna(subset=list(PLACE)).select(*PLACE, F.col("n").alias("n2"), (F.col("amount") / F.col("n")).alias("mean2"))
+    in_place = present(totals, PLACE).select(*PLACE, F.col("n").alias("n2"), (F.col("amount") / F.col("n")).alias("mean2"))
     in_city = totals.filter(F.col("city_province").isNotNull()).groupBy("city_province")
     in_city = in_city.agg(F.sum("n").alias("n3"), mean.alias("mean3"))
     overall = totals.agg(mean).scalar()

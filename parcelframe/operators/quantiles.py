@@ -7,6 +7,7 @@ column has some thousand bins per group and at most about 2**15 distinct values
 Columns of doubles get further passes that cut the chosen bins into linear slices.
 """
 
+import sys
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -23,7 +24,8 @@ _SLICES = 4096
 
 def _log_bin(value: Column) -> Column:
     """An integer that never falls as the value rises."""
-    size = F.floor(F.ln(F.abs(value)) * _BINS_PER_EFOLD) + _BIN_OFFSET
+    finite = F.least(F.abs(value), F.lit(sys.float_info.max))
+    size = F.floor(F.ln(finite) * _BINS_PER_EFOLD) + _BIN_OFFSET
     return F.when(value == 0, F.lit(0)).otherwise(F.signum(value).cast("bigint") * size)
 
 
@@ -82,10 +84,10 @@ def exact_quantiles(
 # A wanted rank, counted from 0, falls on the _count rows that end before row _end.
 _HERE = "{0} >= _end - _count AND {0} < _end"
 _RANKS_HERE = f"filter(_ranks, r -> ({_HERE.format('r.low')}) OR ({_HERE.format('r.high')}))"
-_INTERPOLATED = (
-    "max(IF(_rank.slot = {slot} AND _is_low, _value, NULL)) + max(IF(_rank.slot = {slot}, _rank.weight, NULL)) * "
-    "(max(IF(_rank.slot = {slot} AND _is_high, _value, NULL)) - max(IF(_rank.slot = {slot} AND _is_low, _value, NULL)))"
-)
+_LOW = "max(IF(_rank.slot = {slot} AND _is_low, _value, NULL))"
+_HIGH = "max(IF(_rank.slot = {slot} AND _is_high, _value, NULL))"
+_WEIGHT = "max(IF(_rank.slot = {slot}, _rank.weight, NULL))"
+_INTERPOLATED = f"{_LOW} + IF({_WEIGHT} > 0, {_WEIGHT} * ({_HIGH} - {_LOW}), 0D)"
 
 
 def _counted(rows: DataFrame, by, *extra) -> DataFrame:

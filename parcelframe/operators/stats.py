@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from parcelframe import fixed
 from parcelframe.functions import numbers
+from parcelframe.operators.columns import numeric_columns, present
 from parcelframe.operators.filters import contains_ignoring_case
 from parcelframe.operators.quantiles import exact_quantiles, quantile_values
 
@@ -61,7 +62,7 @@ def mean_by(
 ) -> DataFrame:
     """Mean per group, highest first, ties by key; optionally only the first ``top`` groups."""
     keys = [keys] if isinstance(keys, str) else list(keys)
-    groups = df.dropna(subset=keys).groupBy(*keys).agg(F.avg(_double(value)).alias(name))
+    groups = present(df, keys).groupBy(*keys).agg(F.avg(_double(value)).alias(name))
     ordered = groups.orderBy(F.desc(name), *keys)
     return ordered if top is None else ordered.limit(top)
 
@@ -110,7 +111,8 @@ def distinct_options(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def districts_by_city(df: DataFrame) -> DataFrame:
     """Sorted distinct (city, district) pairs, the second choice that depends on the first."""
-    return df.select("city_province", "district").dropna().distinct().orderBy("city_province", "district")
+    pair = ["city_province", "district"]
+    return present(df, pair).select(*pair).distinct().orderBy(*pair)
 
 
 def pair_corr(df: DataFrame, left: str = PRICE, right: str = "area_m2") -> DataFrame:
@@ -206,7 +208,7 @@ def range_selection_summary(df: DataFrame, low: Column | float, high: Column | f
 
 def neighborhood_min_avg_max(df: DataFrame, value: str = PRICE) -> DataFrame:
     return (
-        df.dropna(subset=["city_province", "district"])
+        present(df, ["city_province", "district"])
         .groupBy("city_province", "district")
         .agg(
             F.min(_double(value)).alias("min_price"),
@@ -217,8 +219,6 @@ def neighborhood_min_avg_max(df: DataFrame, value: str = PRICE) -> DataFrame:
 
 
 def feature_overview(df: DataFrame) -> DataFrame:
-    from parcelframe.operators.columns import numeric_columns
-
     return df.agg(
         F.avg(_double("area_m2")).alias("avg_area"),
         F.avg(_double("bedroom_num")).alias("avg_bedrooms"),

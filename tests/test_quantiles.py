@@ -53,3 +53,8 @@ def test_medians_leave_the_sentinel_out(frame):
     near = quantiles.approx_medians(df, ["i"])["i"]
     rank = (known <= near).mean(), (known < near).mean()
     assert rank[1] - 0.01 <= 0.5 <= rank[0] + 0.01
+
+
+def test_infinite_and_missing_values(spark):
+    df = spark.createDataFrame([(x,) for x in (1.0, 2.0, float("inf"), float("nan"), None, float("-inf"), 3.0)], "x float")
+    assert quantiles.quantile_values(df, "x", {"low": 0.0, "mid": 0.5, "next": 0.25}) == {"low": float("-inf"), "mid": 2.0, "next": 1.0}
