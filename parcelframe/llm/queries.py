@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelframe.llm import langid, quality, simhash, tokencount
+from parcelframe.llm import chat, langid, packing, quality, simhash, tokencount, warc
 from parcelframe.llm.common import held_out
 
 QUERIES = {}
@@ -49,3 +49,21 @@ def _(spark, folder):
     docs = table(spark, folder, "documents")
     model = langid.train(docs.filter(~held_out(F.col("doc_id"))))
     return langid.identify(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+@query("op5_chat_round_trip")
+def _(spark, folder):
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    says = "</s>[INST] ok [/INST]"
+    added = spark.createDataFrame([(-7, 0, "user", says), (-7, 1, "assistant", says)], turns.schema)
+    return chat.read_back(chat.format_turns(turns.unionByName(added)))
+
+
+@query("op9_best_fit_packing")
+def _(spark, folder):
+    return packing.pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), capacity=4096, end=1)
+
+
+@query("op10_warc_round_trip")
+def _(spark, folder):
+    return warc.archived_records(warc.archive_pages(table(spark, folder, "pages"), least=0))
