@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelframe.llm import chat, langid, linedup, packing, quality, simhash, tokencount, warc
+from parcelframe.llm import chat, decontaminate, langid, linedup, packing, quality, simhash, tokencount, warc
 from parcelframe.llm.common import held_out
 
 QUERIES = {}
@@ -74,3 +74,8 @@ def _(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text")
     n = F.coalesce(F.size("lines"), F.lit(0))
     return linedup.remove_shared(docs, lines_col="lines").select("doc_id", "text", n.alias("n_removed"), "lines")
+
+
+@query("op1_template_leaks")
+def _(spark, folder):
+    return decontaminate.find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
