@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelframe.llm import chat, decontaminate, langid, linedup, packing, quality, simhash, tokencount, warc
+from parcelframe.llm import chat, decontaminate, langid, linedup, packing, quality, simhash, sketch, tokencount, warc
 from parcelframe.llm.common import held_out
 
 QUERIES = {}
@@ -79,3 +79,8 @@ def _(spark, folder):
 @query("op1_template_leaks")
 def _(spark, folder):
     return decontaminate.find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op7_invertible_sketch")
+def _(spark, folder):
+    return sketch.fingerprints(table(spark, folder, "documents"))
