@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import combinations
 
 import numpy as np
@@ -18,6 +19,7 @@ from parcelframe.session import stored
 SEED = 42
 ALL = (1 << 64) - 1
 STEP = 1 << 14
+FREE = 12
 
 
 def fingerprint(text: str | None, size: int = 3) -> int:
@@ -53,6 +55,7 @@ def masks(radius: int) -> list[int]:
     return [a | b for a, b in combinations(blocks, 2)]
 
 
+@lru_cache(maxsize=1 << 16)
 def finer(mask: int, radius: int) -> list[int]:
     """The mask with one of radius + 1 parts of its free bits added; one part must be free of differences."""
     free = [i for i in range(64) if not mask >> i & 1]
@@ -187,16 +190,17 @@ def near_edges(prints: DataFrame, radius: int = 3, largest: int = 2048) -> DataF
     Two such fingerprints agree on at least one mask of two blocks; rows meet by (mask, masked value). A bucket of
     more than ``largest`` fingerprints is not gathered: its rows are dealt out again with a part of their free bits
     added to the mask, which again must agree in at least one way, until the buckets are small. As fingerprints are
-    distinct, a bucket with few free bits is small by itself. Within a bucket the edges form a spanning forest, so
+    distinct, a bucket with FREE or fewer free bits has at most 2 ** FREE rows and is not dealt out further. Within a bucket the edges form a spanning forest, so
     their number is below that of the rows.
     """
-    level = masks(radius)
-    rows = prints.select("fp", F.explode(F.array(*[F.lit(_signed(m)) for m in level])).alias("mask"))
+    level = [_signed(m) for m in masks(radius)]
+    rows = prints.select("fp", F.explode(F.array(*[F.lit(m) for m in level])).alias("mask"))
     rows = rows.select("mask", F.col("mask").bitwiseAND(F.col("fp")).alias("value"), "fp")
     found = None
     while True:
         sizes = rows.groupBy("mask", "value").count()
-        hot = stored(sizes.filter(F.col("count") > largest).select("mask", "value"), "hot-buckets")
+        wide = F.bit_count(F.bitwise_not("mask")) > FREE
+        hot = stored(sizes.filter((F.col("count") > largest) & wide).select("mask", "value"), "hot-buckets")
         crowded = not hot.isEmpty()
         calm = rows.join(hot, ["mask", "value"], "left_anti") if crowded else rows
         dealt = calm.repartition("mask", "value").sortWithinPartitions("mask", "value")
@@ -204,11 +208,24 @@ def near_edges(prints: DataFrame, radius: int = 3, largest: int = 2048) -> DataF
         found = edges if found is None else found.unionByName(edges)
         if not crowded:
             return found.distinct()
-        parts = {m: finer(m & ALL, radius) for m in level}
-        table = F.create_map(*[x for m, fine in parts.items() for x in (F.lit(_signed(m)), F.array(*[F.lit(_signed(f)) for f in fine]))])
-        level = sorted({f for fine in parts.values() for f in fine})
-        rows = rows.join(hot, ["mask", "value"], "left_semi").select("fp", F.explode(table[F.col("mask")]).alias("mask"))
-        rows = stored(rows.select("mask", F.col("mask").bitwiseAND(F.col("fp")).alias("value"), "fp"), "hot-rows")
+        rows = rows.join(hot, ["mask", "value"], "left_semi").select("mask", "fp")
+        rows = map_arrow(rows, _dealt_again(radius), "mask long, value long, fp long").distinct()
+        rows = stored(rows, "hot-rows")
+
+
+def _dealt_again(radius: int):
+    """Each row under all finer masks of its mask."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            mask, fp = batch["mask"].to_numpy(), batch["fp"].to_numpy()
+            for own in np.unique(mask):
+                mine = fp[mask == own]
+                for fine in map(_signed, finer(int(own) & ALL, radius)):
+                    fine = np.full(len(mine), fine, np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(fine), pa.array(fine & mine), pa.array(mine)], names=["mask", "value", "fp"])
+
+    return run
 
 
 def fingerprint_column(text: Column, size: int = 3) -> Column:
