@@ -158,9 +158,9 @@ def find_leaks(
 ) -> DataFrame:
     """(doc_id, item_id, matched, windows, share, consistency, kind) of the items found in documents.
 
-    An item is found if ``least`` or more of its different template windows occur in the document and, for the
-    windows that meet, ``least`` or more of its slots have one value each throughout the document. ``kind`` is
-    "exact" if all matched slots keep their values (or there are none), else "changed". Items with fewer than five
+    An item is found if ``least`` or more of its template windows occur together in the document and, for the windows
+    that meet there, ``least`` or more of its slot values are replaced by one value each. ``kind`` is "exact" if all
+    matched slots keep their values (or there are none), else "changed"; of several copies the most alike counts. Items with fewer than five
     words, or without a window of two plain words, are never found. Null ids and texts take no part. Repeated rows
     of a document count as one document of that id, and likewise for items.
     """
@@ -177,21 +177,43 @@ def find_leaks(
     texts = pick(docs, id=id_col, text=text_col).withColumn("id", F.col("id").cast("long"))
     seen = windows(texts, "doc_id", bitmap)
     own = known.select("item_id", "hash", F.col("at").alias("item_at"), F.col("slots").alias("item_slots"), F.col("of").alias("windows"))
-    met = stored(seen.select("doc_id", "hash", "slots").join(own, "hash"), "met-windows")
-    counted = met.groupBy("doc_id", "item_id").agg(F.count_distinct("item_at").alias("matched"), F.max("windows").alias("windows"))
-    near = counted.filter(F.col("matched") >= F.lit(least) * F.col("windows"))
-    slots = met.join(near.select("doc_id", "item_id"), ["doc_id", "item_id"], "left_semi").select(
-        "doc_id", "item_id", F.explode(F.arrays_zip("item_slots", "slots")).alias("slot")
+    met = stored(seen.select("doc_id", "hash", "at", "slots").join(own, "hash").drop("hash"), "met-windows")
+    counted = met.groupBy("doc_id", "item_id").agg(F.count_distinct("item_at").alias("n"), F.max("windows").alias("of"))
+    near = counted.filter(F.col("n") >= F.lit(least) * F.col("of")).select("doc_id", "item_id")
+    found = _aligned(met.join(near, ["doc_id", "item_id"], "left_semi"))
+    found = found.filter((F.col("share") >= least) & (F.col("consistency") >= least))
+    best = found.groupBy("doc_id", "item_id").agg(F.max(F.struct("kept", "consistency", "share", "matched", "windows")).alias("best"))
+    kind = F.when(F.col("best.kept"), "exact").otherwise("changed").alias("kind")
+    return best.select("doc_id", "item_id", "best.matched", "best.windows", "best.share", "best.consistency", kind)
+
+
+def _aligned(met: DataFrame) -> DataFrame:
+    """Each place where most of an item may stand in a document, with what its slots say.
+
+    Windows that meet are told apart by their diagonal, the place in the document less that in the item. Stretches of
+    about the item's length, in two grids half a stretch apart, hold the diagonals of every copy, which differ by less
+    than half a stretch, and not those of two copies. In a stretch the diagonal with most windows leads; those near
+    it belong to the copy, one for each place of the item.
+    """
+    place = ["doc_id", "item_id", "grid", "stretch"]
+    long = F.greatest(F.lit(8), F.col("windows"))
+    rows = met.withColumn("diagonal", F.col("at") - F.col("item_at")).withColumn("grid", F.explode(F.array(F.lit(0), F.lit(1))))
+    rows = rows.withColumn("stretch", F.floor((F.col("diagonal") + F.col("grid") * long / 2) / long))
+    on = rows.groupBy(*place, "diagonal").agg(F.count_distinct("item_at").alias("n"))
+    leads = on.groupBy(*place).agg(F.max_by("diagonal", F.struct("n", -F.col("diagonal"))).alias("lead"))
+    off = F.abs(F.col("diagonal") - F.col("lead"))
+    rows = rows.join(leads, place).filter(off <= long / 4)
+    one = rows.groupBy(*place, "item_at").agg(
+        F.min_by(F.struct("item_slots", "slots"), F.struct(off, "diagonal")).alias("slot"), F.max("windows").alias("windows")
     )
-    slots = slots.filter("slot.item_slots <> 0").groupBy("doc_id", "item_id", F.col("slot.item_slots").alias("value"))
-    slots = slots.agg((F.min("slot.slots") == F.max("slot.slots")).alias("one"), F.bool_and(F.col("slot.slots") == F.col("slot.item_slots")).alias("kept"))
-    slots = slots.groupBy("doc_id", "item_id").agg(F.avg(F.col("one").cast("double")).alias("consistency"), F.bool_and("kept").alias("kept"))
-    found = near.join(slots, ["doc_id", "item_id"], "left").select(
-        "doc_id", "item_id", "matched", "windows", (F.col("matched") / F.col("windows")).alias("share"),
-        F.coalesce("consistency", F.lit(1.0)).alias("consistency"),
-        F.when(F.coalesce("kept", F.lit(True)), "exact").otherwise("changed").alias("kind"),
-    )
-    return found.filter(F.col("consistency") >= least)
+    copies = one.groupBy(*place).agg(F.count("*").alias("matched"), F.max("windows").alias("windows"))
+    pairs = one.select(*place, F.explode(F.arrays_zip(F.col("slot.item_slots").alias("mine"), F.col("slot.slots").alias("theirs"))).alias("s"))
+    values = pairs.select(*place, F.col("s.mine").alias("mine"), F.col("s.theirs").alias("theirs")).filter("mine <> 0").groupBy(*place, "mine")
+    values = values.agg((F.min("theirs") == F.max("theirs")).alias("one"), F.bool_and(F.col("theirs") == F.col("mine")).alias("same"))
+    values = values.groupBy(*place).agg(F.avg(F.col("one").cast("double")).alias("consistency"), F.bool_and("same").alias("kept"))
+    told = copies.join(values, place, "left")
+    share = F.col("matched") / F.col("windows")
+    return told.select("doc_id", "item_id", "matched", "windows", share.alias("share"), F.coalesce("consistency", F.lit(1.0)).alias("consistency"), F.coalesce("kept", F.lit(True)).alias("kept"))
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, *, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

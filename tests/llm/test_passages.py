@@ -70,7 +70,7 @@ def test_no_line_is_lost(spark, data):
     docs = spark.read.parquet(f"{data}/documents.parquet")
     before = {x.strip() for r in docs.collect() for x in (r.text or "").split("\n")}
     found = QUERIES["op2_line_alignment"](spark, data).collect()
-    assert before == {x.strip() for r in found for x in r.text.split("\n")} | {""} & before
+    assert before - {""} == {x.strip() for r in found for x in r.text.split("\n")} - {""}
     anchors = defaultdict(set)
     for r in found:
         hashes, words, _ = linedup.line_table(r.text)
@@ -127,6 +127,8 @@ def test_inconsistent_replacement_is_no_leak(spark):
     items = spark.createDataFrame([(1, item)], "item_id long, text string")
     got = decontaminate.find_leaks(frame(spark, [(1, mixed), (2, even)]), items).collect()
     assert [(r.doc_id, r.kind) for r in got] == [(2, "changed")]
+    both = decontaminate.find_leaks(frame(spark, [(3, mixed + ". " + even), (4, even + " x. " + item)]), items).collect()
+    assert {(r.doc_id, r.kind) for r in both} == {(3, "changed"), (4, "exact")}
 
 
 def test_leaks_of_the_given_tables_hold_every_exact_passage(spark):
