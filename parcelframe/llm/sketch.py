@@ -140,7 +140,7 @@ KEY = ["nil", "id", "seal"]
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     rows = pick(docs, doc_id=id_col, text=text_col)
     text = F.coalesce("text", F.lit(""))
-    return rows.select(F.col("doc_id").isNotNull().alias("nil"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0).cast("long")).alias("id"), F.xxhash64(text).alias("seal"), "doc_id", text.alias("text"))
+    return rows.select(F.col("doc_id").isNotNull().alias("nil"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0).cast("long")).alias("id"), F.xxhash64(text).alias("seal"), text.alias("text"))
 
 
 def _following(rows: DataFrame) -> DataFrame:
@@ -181,7 +181,8 @@ def edited_texts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     lent = rows.join(lends, KEY).select(*[F.col(f"to_{k}").alias(k) for k in KEY], F.substring(F.col("text"), F.lit(1), F.col("wanted")).alias("lent"))
     joined = rows.join(own, KEY).join(lent, KEY)
     kept = F.substring(F.col("text"), F.lit(1), F.col("n") - cut)
-    return joined.select("doc_id", F.col("n").cast("long").alias("n_chars"), "text", F.concat(kept, F.col("lent")).alias("edited"), "pos", "next_pos", "copies")
+    # Both joins read the same columns of the texts, so that these are shuffled once.
+    return joined.select(F.when(F.col("nil"), F.col("id")).alias("doc_id"), F.col("n").cast("long").alias("n_chars"), "text", F.concat(kept, F.col("lent")).alias("edited"), "pos", "next_pos", "copies")
 
 
 def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -193,9 +194,7 @@ def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     """
     texts = edited_texts(docs, id_col=id_col, text_col=text_col)
     made = texts.select("doc_id", "n_chars", "pos", "next_pos", "copies", F.sha2("edited", 256).alias("edited_sha256"), digests(F.col("text")).alias("keys"), digests(F.col("edited")).alias("edited_keys"))
-    made = stored(made, "digests")
-    cells = made.select("pos", "next_pos", "keys", "edited_keys", sketch(F.col("keys")).alias("cells"), sketch(F.col("edited_keys")).alias("edited_cells"))
-    cells = stored(cells, "sketches")
+    made = cells = stored(made.withColumns({"cells": sketch(F.col("keys")), "edited_cells": sketch(F.col("edited_keys"))}), "sketches")
     edited = cells.select(F.col("pos").alias("pair"), F.col("keys").alias("a_keys"), F.col("edited_keys").alias("b_keys"), F.col("cells").alias("a"), F.col("edited_cells").alias("b"))
     after = cells.select(F.col("pos").alias("next_pos"), F.col("keys").alias("b_keys"), F.col("cells").alias("b"))
     follow = cells.select(F.col("pos").alias("pair"), "next_pos", F.col("keys").alias("a_keys"), F.col("cells").alias("a")).join(after, "next_pos")
