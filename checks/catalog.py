@@ -12,7 +12,7 @@ from parcelframe.functions import numbers, text
 from parcelframe.operators import columns as cols
 from parcelframe.operators import comparables, distributions, filters, quantiles, ranking, stats, worklist
 from parcelframe.plans import cleaning, features, models, scoring
-from parcelframe.session import work_folder
+from parcelframe.session import stored, work_folder
 from parcelframe.sources import listings, pages, sinks
 from parcelframe.streaming import ingest
 
@@ -60,11 +60,11 @@ def _(spark, d):
     return v.widened(listings.read_clean(spark, path))
 
 
-@query("scan_storage", "SELECT link, price, area FROM raw", "raw")
+@query("scan_storage", f"SELECT {RAW_COLUMNS} FROM raw", "raw")
 def _(spark, d):
     path = work_folder(spark, "storage-csv")
     sinks.write_table(v.raw_texts(spark, d), path)
-    return listings.read_storage(spark, path).select("link", "price", "area")
+    return listings.read_storage(spark, path)
 
 
 @query(
@@ -825,10 +825,15 @@ def _(spark, d):
     return _rounded(stats.price_quantiles(v.clean(spark, d)), p01=3, p25=3, p75=3, p99=3)
 
 
-@query("approx_medians")
+@query("approx_medians", f"SELECT unnest({NUM!r}) AS column, true AS near")
 def _(spark, d):
-    found = quantiles.approx_medians(v.clean(spark, d), NUM)
-    return spark.createDataFrame(list(found.items()), "column string, median double")
+    """Whether each approximate median lies within one percent of the rank one half."""
+    df = v.clean(spark, d)
+    found = quantiles.approx_medians(df, NUM)
+    known = {c: F.when(F.col(c) != -1, F.col(c).cast("double")) for c in NUM}
+    share = lambda c, test: F.count(F.when(test, 1)) / F.count(known[c])
+    near = [((share(c, known[c] < found[c]) <= 0.51) & (share(c, known[c] <= found[c]) >= 0.49)).alias(c) for c in NUM]
+    return df.agg(*near).unpivot([], NUM, "column", "near")
 
 
 @query(
@@ -1014,12 +1019,12 @@ def _(spark, d):
 
 @query(
     "train_test_split",
-    "SELECT listing_id, CASE WHEN CAST('0x' || substr(md5(CAST(listing_id AS VARCHAR)), 1, 8) AS BIGINT) % 100 < 80 THEN 'train' ELSE 'test' END AS part FROM clean",
+    "SELECT listing_id, CASE WHEN CAST('0x' || substr(md5(CAST(listing_id AS VARCHAR)), 1, 8) AS BIGINT) < 3435973837 THEN 'train' ELSE 'test' END AS part FROM clean",
     "clean",
 )
 def _(spark, d):
-    train, test = ranking.train_test_split(v.clean(spark, d), "listing_id")
-    return train.select("listing_id", F.lit("train").alias("part")).unionByName(test.select("listing_id", F.lit("test").alias("part")))
+    part = F.when(ranking.in_train("listing_id"), "train").otherwise("test")
+    return v.clean(spark, d).select("listing_id", part.alias("part"))
 
 
 # --- models ------------------------------------------------------------------------------------------------
@@ -1068,7 +1073,7 @@ _SLOT_SUM = " + ".join(f"{c}_missing_flag + {c}" for c in NUM) + " + 4 + CASE WH
 def _(spark, d):
     from pyspark.ml.functions import vector_to_array
 
-    frame = v.model_frame(spark, d)
+    frame = v.clean(spark, d)
     prepared = features.fit_features(frame, features.LOG_FULL)
     slots = vector_to_array(F.col("features"))
     total = F.aggregate(slots, F.lit(0.0), lambda acc, x: acc + x)
@@ -1106,37 +1111,59 @@ def _(spark, d):
     return prepared.transform(frame).select("listing_id", *[x.alias(c) for c, x in tail.items()])
 
 
-# Budgets of the registered training runs; the full settings are in parcelframe.plans.models.
-TRIAL_SETTINGS = {
-    "linear": models.FULL_SETTINGS["linear"],
-    "tree": models.FULL_SETTINGS["tree"],
-    "forest": {"numTrees": 10, "maxDepth": 6, "seed": models.SEED},
-    "boosted": {"maxIter": 3, "maxDepth": 4, "seed": models.SEED},
-}
+def _labelled(spark, d) -> DataFrame:
+    """Cleaned listings with the label; unknown numbers are still -1, as the models fill them."""
+    return stored(v.clean(spark, d).withColumn("price_log", numbers.log_price(F.col("price_per_m2").cast("double"))), "labelled")
 
 
 def _parts(spark, d):
-    return ranking.train_test_split(v.model_frame(spark, d), "listing_id")
+    return ranking.train_test_split(_labelled(spark, d), "listing_id")
+
+
+_METRIC_NAMES = ("RMSE", "MSE", "MAE", "R2")
+
+
+def _sound_sql(*names: str) -> str:
+    rows = ", ".join(f"('{n}', '{m}')" for n in names for m in _METRIC_NAMES)
+    return f"SELECT model, metric, true AS sound FROM (VALUES {rows}) AS t(model, metric)"
+
+
+def _sound(metrics: DataFrame) -> DataFrame:
+    """Whether each metric is possible, and the model better than the mean of all prices."""
+    value = F.col("value")
+    return metrics.select("model", "metric", F.coalesce((value > 0) & ~F.isnan(value) & ((F.col("metric") != "R2") | (value <= 1)), F.lit(False)).alias("sound"))
 
 
 def _trained(name: str) -> None:
-    @query(f"train_{'gbt' if name == 'boosted' else name}")
+    @query(f"train_{'gbt' if name == 'boosted' else name}", _sound_sql(name))
     def _(spark, d):
         train, test = _parts(spark, d)
-        fitted = models.train_models(train, features.LOG_FULL, {name: TRIAL_SETTINGS[name]})
-        return models.regression_metrics(models.predictions_long(fitted, test, ["price_per_m2"]))
+        fitted = models.train_models(train, features.LOG_FULL, {name: models.FULL_SETTINGS[name]})
+        return _sound(models.regression_metrics(models.predictions_long(fitted, test, ["price_per_m2"])))
 
 
-for _name in TRIAL_SETTINGS:
+for _name in models.FULL_SETTINGS:
     _trained(_name)
 
 
-@query("train_gbt_quick")
+@query("train_gbt_quick", _sound_sql("quick"))
 def _(spark, d):
     train, test = _parts(spark, d)
-    fitted = {"quick": models.train_one(train, features.RAW_QUICK, "boosted", {"maxIter": 3, "seed": models.SEED})}
+    fitted = {"quick": models.train_one(train, features.RAW_QUICK, "boosted", models.QUICK_BOOSTED)}
     predicted = models.predictions_long(fitted, test, ["price_per_m2"])
-    return models.regression_metrics(predicted, log_label=False).filter(F.col("metric").isin("RMSE", "R2"))
+    return _sound(models.regression_metrics(predicted, log_label=False))
+
+
+@query(
+    "train_and_choose",
+    f"SELECT model, count(*) AS metrics, true AS sound, true AS agrees FROM ({_sound_sql('linear', 'tree', 'forest', 'boosted')}) GROUP BY 1",
+)
+def _(spark, d):
+    train, test = _parts(spark, d)
+    best, _all, metrics = models.train_and_choose(train, test, features.LOG_FULL)
+    top = metrics.filter("metric = 'R2'").agg(F.max_by("model", "value").alias("top"))
+    by_model = _sound(metrics).groupBy("model").agg(F.count("*").alias("metrics"), F.bool_and("sound").alias("sound"))
+    return by_model.join(top.select((F.col("top") == best).alias("agrees")), F.lit(True))
 
 
 # Predictions that need no model: the label, shifted by the listing's key.
@@ -1175,28 +1202,61 @@ def _(spark, d):
     return _rounded(models.select_best(models.regression_metrics(_predicted(spark, d))), r2=6)
 
 
-@query("feature_importance")
+@query(
+    "feature_importance",
+    f"""SELECT slot, true AS held FROM (VALUES {", ".join(f"('{c}_filled'), ('{c}_unknown')" for c in NUM)}) AS t(slot) UNION ALL
+    SELECT 'sum', true UNION ALL SELECT 'rest', true""",
+    "clean",
+)
 def _(spark, d):
+    """Every numeric slot is named, no importance is negative and all add up to one."""
     train, _test = _parts(spark, d)
-    fitted = models.train_models(train, features.LOG_FULL, {"tree": TRIAL_SETTINGS["tree"]})["tree"]
-    return models.feature_importance(fitted, fitted.transform(train))
+    fitted = models.train_models(train, features.LOG_FULL, {"tree": models.FULL_SETTINGS["tree"]})["tree"]
+    table = models.feature_importance(fitted, fitted.transform(train), top=1_000_000)
+    number = [f"{c}_{end}" for c in NUM for end in ("filled", "unknown")]
+    named = table.filter(F.col("feature").isin(number)).select(F.col("feature").alias("slot"), (F.col("importance") >= 0).alias("held"))
+    total = table.agg((F.abs(F.sum("importance") - 1) < 1e-9).alias("held")).select(F.lit("sum").alias("slot"), "held")
+    rest = table.filter(~F.col("feature").isin(number)).agg((F.min("importance") >= 0).alias("held")).select(F.lit("rest").alias("slot"), "held")
+    return named.unionByName(total).unionByName(rest)
+
+
+# A label that is an exact function of the filled numbers, so that every prediction is known.
+_KNOWN_LABEL = "2 + 0.01 * area_m2 + 0.25 * bedroom_num + 0.125 * floor_num"
+
 
+def _known(spark, d) -> DataFrame:
+    """Listings with the known label, made of the filled numbers, beside their unfilled numbers."""
+    filled = v.model_frame(spark, d).select("listing_id", F.expr(_KNOWN_LABEL).alias("price_log"))
+    plain = v.clean(spark, d)
+    return stored(plain.join(filled, "listing_id"), "known-label")
 
-@query("score_batch")
+
+@query(
+    "score_batch",
+    f"SELECT listing_id, true AS as_known FROM (SELECT listing_id, {_KNOWN_LABEL} AS price_log FROM model_frame) WHERE price_log IS NOT NULL",
+    "model_frame",
+)
 def _(spark, d):
-    train, test = _parts(spark, d)
-    fitted = models.train_models(train, features.LOG_FULL, {"linear": TRIAL_SETTINGS["linear"]})["linear"]
-    scored = scoring.score_batch(test, fitted, features.LOG_FULL, ["listing_id", "area_m2"])
-    return scoring.with_total_price(scored)
+    """As many rows out as in; the linear model finds the label, with its own medians for -1, null and absent numbers."""
+    known = _known(spark, d)
+    fitted = models.train_models(known, features.LOG_FULL, {"linear": models.FULL_SETTINGS["linear"]})["linear"]
+    unknown = {c: F.when((F.col(c) == -1) & (F.col("listing_id") % 2 == 0), None).otherwise(F.col(c)) for c in NUM}
+    scored = scoring.score_batch(known.withColumns(unknown), fitted, features.LOG_FULL, ["listing_id", "price_log"])
+    guess = F.log1p("predicted_price_per_m2")
+    return scored.select("listing_id", (F.abs(guess - F.col("price_log")) < 0.02).alias("as_known"))
 
 
-@query("save_and_load_model")
+@query("save_and_load_model", "SELECT listing_id, true AS same FROM clean", "clean")
 def _(spark, d):
-    train, test = _parts(spark, d)
-    fitted = models.train_models(train, features.LOG_FULL, {"tree": TRIAL_SETTINGS["tree"]})["tree"]
+    """The loaded model scores subjects with -1 and null as the kept one scores the imputed batch."""
+    frame = _labelled(spark, d)
+    fitted = models.train_models(frame, features.LOG_FULL, {"tree": models.FULL_SETTINGS["tree"]})["tree"]
     path = work_folder(spark, "model")
     models.save_model(fitted, path)
-    return scoring.score_batch(test, models.load_model(path), features.LOG_FULL, ["listing_id"])
+    unknown = {c: F.when(F.col(c) == -1, None).otherwise(F.col(c)) for c in NUM[::2]}
+    again = scoring.score_batch(frame.withColumns(unknown), models.load_model(path), features.LOG_FULL, ["listing_id"])
+    first = scoring.score_batch(frame, fitted, features.LOG_FULL, ["listing_id"]).withColumnRenamed("predicted_price_per_m2", "first")
+    return again.join(first, "listing_id").select("listing_id", (F.col("predicted_price_per_m2") == F.col("first")).alias("same"))
 
 
 @query(
@@ -1213,10 +1273,11 @@ def _(spark, d):
     return scoring.score_with_fallback(predicted, _subjects(df), df, "listing_id")
 
 
-@query("tune")
+@query("tune", "SELECT setting, true AS sound FROM (VALUES ('maxDepth=2'), ('maxDepth=5'), ('maxDepth=10')) AS t(setting)")
 def _(spark, d):
     train, _test = _parts(spark, d)
-    return models.tune(train, features.LOG_FULL, "tree", {"maxDepth": [2, 5]})[1]
+    tried = models.tune(train, features.LOG_FULL, "tree", {"maxDepth": [2, 5, 10]})[1]
+    return tried.select("setting", (F.col("rmse") > 0).alias("sound"))
 
 
 @query(
@@ -1250,16 +1311,16 @@ def _(spark, d):
     return v.widened(spark.read.parquet(out).drop("posting_ts"))
 
 
-@query("stream_score")
+@query("stream_score", "SELECT listing_id, true AS same FROM clean", "clean")
 def _(spark, d):
-    clean = v.clean(spark, d)
-    frame = cleaning.prepare_model_frame(clean)
-    fitted = models.train_models(frame, features.LOG_FULL, {"tree": TRIAL_SETTINGS["tree"]})["tree"]
-    arriving = cols.missing_flags(ingest.stream_clean(_raw_stream(spark, d)))
-    scored = ingest.stream_score(arriving, fitted, features.LOG_FULL, ["listing_id"])
+    """A stream's scores are those of the batch."""
+    frame = _labelled(spark, d)
+    fitted = models.train_models(frame, features.LOG_FULL, {"tree": models.FULL_SETTINGS["tree"]})["tree"]
+    scored = ingest.stream_score(ingest.stream_clean(_raw_stream(spark, d)), fitted, features.LOG_FULL, ["listing_id"])
     out = work_folder(spark, "stream-score")
     ingest.append_available(scored, out, work_folder(spark, "progress")).awaitTermination()
-    return spark.read.parquet(out)
+    batch = scoring.score_batch(frame, fitted, features.LOG_FULL, ["listing_id"]).withColumnRenamed("predicted_price_per_m2", "batch")
+    return spark.read.parquet(out).join(batch, "listing_id").select("listing_id", (F.col("predicted_price_per_m2") == F.col("batch")).alias("same"))
 
 
 @query("stream_price_trend", "SELECT CAST(month(posting_ts) AS INTEGER) AS posting_month, avg(price_per_m2) AS avg_price FROM clean GROUP BY 1", "clean")

@@ -71,7 +71,7 @@ def main() -> None:
 
     parser = argparse.ArgumentParser()
     parser.add_argument("--data", default="/root/testdata/sf0.01")
-    parser.add_argument("--limit", type=int, default=90, help="seconds per query")
+    parser.add_argument("--limit", type=int, default=1800, help="seconds per query")
     parser.add_argument("names", nargs="*")
     args = parser.parse_args()
     spark: SparkSession = build_session(

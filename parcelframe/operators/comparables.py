@@ -3,20 +3,20 @@
 A subject's comparables share its place and have an area strictly inside a band around its own. No
 subject is ever paired with all listings of its place:
 
-* counts and means come from running totals over the distinct areas of a place, read at both ends of
-  the band;
+* counts and means add up the area bins inside the band and the parts of the two bins its ends fall into; nothing
+  is subtracted, so sums of doubles keep their precision whatever the size of the prices;
 * the nearest few come from the handful of distinct areas next to the subject's own, found by their
   ordinal in the place.
 
-Results are worked out once per distinct (place, area) and joined back to the subjects. Running totals
-are split by logarithmic area bin, so a place that holds most of the table is spread over many tasks.
+Results are worked out once per distinct (place, area) and joined back to the subjects. Everything is split by
+logarithmic area bin, so a place that holds most of the table is spread over many tasks.
 """
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from parcelframe import fixed
 from parcelframe.operators.columns import present
@@ -28,19 +28,17 @@ AREA = "area_m2"
 
 # Bins per e-fold of the area.
 _BINS_PER_EFOLD = 64
-# Prices are summed exactly, so that differences of running totals stay exact.
-_EXACT = T.DecimalType(24, 3)
 
 
 def _subjects_at(subjects: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Distinct places and positive areas asked for."""
     area = F.col(AREA).cast("double")
-    return present(subjects, keys).filter(area > 0).select(*keys, area.alias("area")).distinct()
+    return present(subjects, keys).filter((area > 0) & ~F.isnan(area)).select(*keys, area.alias("area")).distinct()
 
 
 def _listings_at(listings: DataFrame, keys: Sequence[str]) -> DataFrame:
     area = F.col(AREA).cast("double")
-    return present(listings, [*keys, PRICE]).filter(area > 0).withColumn("area", area)
+    return present(listings, [*keys, PRICE]).filter((area > 0) & ~F.isnan(area)).withColumn("area", area)
 
 
 def _running_totals(events: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
@@ -67,12 +65,14 @@ def similar_stats(
 ) -> DataFrame:
     """Per distinct (keys, area) of the subjects: number and mean price of the comparable listings."""
     keys = list(keys)
-    none = F.lit(0).cast(_EXACT)
+    # So fine that the two ends of a band never share a bin.
+    fine = max(_BINS_PER_EFOLD, math.ceil(3 / math.log(share[1] / share[0])))
+    bin_of = lambda area: F.floor(F.ln(area) * fine)
     points = (
         _listings_at(listings, keys)
         .groupBy(*keys, "area")
-        .agg(F.count("*").alias("n"), F.sum(F.col(PRICE).cast("double").cast(T.DecimalType(18, 3))).alias("amount"))
-        .select(*keys, F.col("area").alias("at"), F.lit(1).alias("turn"), "n", F.col("amount").cast(_EXACT).alias("amount"), F.lit(None).cast("double").alias("area"))
+        .agg(F.count("*").alias("n"), F.sum(F.col(PRICE).cast("double")).alias("amount"))
+        .select(*keys, F.col("area").alias("at"), F.lit(1).alias("turn"), "n", "amount", F.lit(None).cast("double").alias("area"))
     )
     # The lower end is read after the listings of that very area, the upper end before them.
     low = F.struct((F.col("area") * share[0]).alias("at"), F.lit(2).alias("turn"))
@@ -80,16 +80,22 @@ def similar_stats(
     ends = (
         _subjects_at(subjects, keys)
         .withColumn("end", F.explode(F.array(low, high)))
-        .select(*keys, "end.at", "end.turn", F.lit(0).cast("bigint").alias("n"), none.alias("amount"), "area")
+        .select(*keys, "end.at", "end.turn", F.lit(0).cast("bigint").alias("n"), F.lit(0.0).alias("amount"), "area")
     )
-    read = _running_totals(points.unionByName(ends), keys, ("n", "amount")).filter(F.col("area").isNotNull())
-    signed = F.when(F.col("turn") == 0, 1).otherwise(-1)
+    # Reduced to distinct areas; read twice, while the source is read once.
+    events = stored(points.unionByName(ends).withColumn("bin", bin_of(F.col("at"))), "area-events")
+    order = Window.partitionBy(*keys, "bin").orderBy("at", "turn")
+    before, after = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(1, Window.unboundedFollowing)
+    part = {m: F.when(F.col("turn") == 0, F.sum(m).over(before)).when(F.col("turn") == 2, F.sum(m).over(after)) for m in ("n", "amount")}
+    parts = events.withColumns(part).filter(F.col("area").isNotNull()).select(*keys, "area", "n", "amount")
+    whole = events.filter("turn = 1").groupBy(*keys, "bin").agg(F.sum("n").alias("n"), F.sum("amount").alias("amount"))
+    inner = F.sequence(bin_of(F.col("area") * share[0]) + 1, bin_of(F.col("area") * share[1]) - 1)
+    inside = events.filter("turn = 0").select(*keys, "area", F.explode(inner).alias("bin")).join(whole, [*keys, "bin"])
     return (
-        read.groupBy(*keys, "area")
-        .agg(F.sum(F.col("n") * signed).alias("n_similar"), F.sum(F.col("amount") * signed).alias("_amount"))
-        .withColumn(
-            "avg_similar", F.when(F.col("n_similar") > 0, F.col("_amount").cast("double") / F.col("n_similar"))
-        )
+        parts.unionByName(inside.select(*keys, "area", "n", "amount"))
+        .groupBy(*keys, "area")
+        .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_similar"), F.sum("amount").alias("_amount"))
+        .withColumn("avg_similar", F.when(F.col("n_similar") > 0, F.col("_amount") / F.col("n_similar")))
         .drop("_amount")
     )
 

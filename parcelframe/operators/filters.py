@@ -14,7 +14,8 @@ def filter_price_present(df: DataFrame, price: str = "price") -> DataFrame:
 
 
 def filter_area_positive(df: DataFrame, area: str = "area") -> DataFrame:
-    return df.filter(F.col(area) > 0)
+    """Rows with a positive area; NaN, which Spark orders above all numbers, is none."""
+    return df.filter((F.col(area) > 0) & ~F.isnan(F.col(area).cast("double")))
 
 
 def filter_price_per_m2_band(

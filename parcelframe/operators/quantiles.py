@@ -41,11 +41,12 @@ def exact_quantiles(
     """One row per group with a column per named probability, linearly interpolated.
 
     Null values and groups with a null key are ignored. Without keys there is exactly one row, with
-    nulls when nothing was counted.
+    nulls when nothing was counted. Values are worked with as doubles: integers beyond 2**53 and decimals of more
+    than 15 digits are rounded to the nearest one.
     """
     kind = df.schema[value].dataType
     if refinements is None:
-        refinements = 2 if isinstance(kind, T.DoubleType | T.DecimalType) else 0
+        refinements = 2 if isinstance(kind, T.DoubleType | T.DecimalType | T.LongType) else 0
     keys = list(keys)
     by = keys or ["_all"]
     rows = df.select(*[F.col(k) for k in keys], F.col(value).cast("double").alias("_value"))
@@ -131,10 +132,17 @@ def quantile_values(df: DataFrame, value: str, probs: Mapping[str, float]) -> di
 
 
 def exact_medians(df: DataFrame, columns: Sequence[str], missing: float = -1) -> dict[str, float | None]:
-    """The exact median of each column, the missing sentinel left out, all columns in one job."""
-    named = [F.struct(F.lit(c).alias("column"), F.col(c).cast("float").alias("value")) for c in columns]
+    """The exact median of each column, the missing sentinel, nulls and NaN left out.
+
+    All columns go through one job as doubles, which hold every 32-bit value; refinements are made only if some
+    column has more than 32 bits. Integers are exact up to 2**53.
+    """
+    value = lambda c: F.col(c).cast("double")
+    named = [F.struct(F.lit(c).alias("column"), F.nanvl(value(c), F.lit(None)).alias("value")) for c in columns]
     long = df.select(F.inline(F.array(*named))).filter(F.col("value") != missing)
-    rows = exact_quantiles(long, "value", {"median": 0.5}, keys=["column"]).collect()
+    narrow = T.FloatType | T.IntegerType | T.ShortType | T.ByteType
+    refinements = 0 if all(isinstance(df.schema[c].dataType, narrow) for c in columns) else 2
+    rows = exact_quantiles(long, "value", {"median": 0.5}, keys=["column"], refinements=refinements).collect()
     found = {row["column"]: row["median"] for row in rows}
     return {c: found.get(c) for c in columns}
 

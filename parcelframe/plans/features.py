@@ -4,36 +4,60 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelframe import fixed
+from parcelframe.operators.quantiles import exact_medians
 
 
 @dataclass(frozen=True)
 class FeaturePreset:
-    """How features and label are made. ``log_label`` tells scoring to undo the logarithm."""
+    """How features and label are made. ``log_label`` tells scoring to undo the logarithm.
+
+    Every preset keeps every row: a number that is null, NaN or -1 is unknown. With ``imputed`` it becomes the
+    column's median, found when the features are fitted and held by the model; otherwise it is -1, as in the
+    cleaned tables. With ``flags`` the model itself marks unknown numbers.
+    """
 
     label: str
     log_label: bool
     flags: bool
     centered: bool
-    invalid: str
+    imputed: bool
     categorical: Sequence[str] = fixed.CATEGORICAL_FEATURES
     numeric: Sequence[str] = fixed.NUMERIC_FEATURES
 
     @property
     def inputs(self) -> list[str]:
-        return [*self.categorical, *self.numeric, *self.flag_columns]
+        return [*self.categorical, *self.numeric]
+
+    @property
+    def filled_columns(self) -> list[str]:
+        return [f"{c}_filled" for c in self.numeric]
 
     @property
     def flag_columns(self) -> list[str]:
-        return [f"{c}_missing_flag" for c in self.numeric] if self.flags else []
+        return [f"{c}_unknown" for c in self.numeric] if self.flags else []
+
 
+LOG_FULL = FeaturePreset(label="price_log", log_label=True, flags=True, centered=True, imputed=True)
+RAW_QUICK = FeaturePreset(label="price_per_m2", log_label=False, flags=False, centered=False, imputed=False)
 
-LOG_FULL = FeaturePreset(label="price_log", log_label=True, flags=True, centered=True, invalid="skip")
-RAW_QUICK = FeaturePreset(label="price_per_m2", log_label=False, flags=False, centered=False, invalid="skip")
+
+def fill_stage(medians: dict[str, float | None], preset: FeaturePreset) -> SQLTransformer:
+    """Adds ``<c>_filled`` and, if asked for, ``<c>_unknown`` of every numeric column; the values are part of the stage."""
+    added = []
+    for c in preset.numeric:
+        unknown = f"coalesce(isnan(CAST(`{c}` AS DOUBLE)) OR CAST(`{c}` AS DOUBLE) = {float(fixed.MISSING_NUMBER)!r}D, true)"
+        # A column without any known value has no median; then all its rows are alike.
+        median = medians.get(c) if preset.imputed else fixed.MISSING_NUMBER
+        filled = 0.0 if median is None else float(median)
+        added.append(f"CASE WHEN {unknown} THEN {filled!r}D ELSE CAST(`{c}` AS DOUBLE) END AS `{c}_filled`")
+        if preset.flags:
+            added.append(f"CAST({unknown} AS INT) AS `{c}_unknown`")
+    return SQLTransformer(statement=f"SELECT *, {', '.join(added)} FROM __THIS__")
 
 
 def string_indexer(categorical: Sequence[str]) -> StringIndexer:
@@ -49,8 +73,9 @@ def one_hot_encoder(categorical: Sequence[str]) -> OneHotEncoder:
 
 
 def assembler(preset: FeaturePreset) -> VectorAssembler:
-    inputs = [f"{c}_vec" for c in preset.categorical] + list(preset.numeric) + preset.flag_columns
-    return VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid=preset.invalid)
+    """All slots as one vector. Nothing can be missing here, so a null is an error and never drops a row."""
+    inputs = [f"{c}_vec" for c in preset.categorical] + preset.filled_columns + preset.flag_columns
+    return VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="error")
 
 
 def scaler(preset: FeaturePreset) -> StandardScaler:
@@ -58,17 +83,16 @@ def scaler(preset: FeaturePreset) -> StandardScaler:
     return StandardScaler(inputCol="features", outputCol="scaled_features", withStd=True, withMean=preset.centered)
 
 
-def feature_stages(preset: FeaturePreset) -> list:
-    return [string_indexer(preset.categorical), one_hot_encoder(preset.categorical), assembler(preset), scaler(preset)]
-
-
-def fit_features(train: DataFrame, preset: FeaturePreset) -> PipelineModel:
-    return Pipeline(stages=feature_stages(preset)).fit(train)
+def feature_stages(preset: FeaturePreset, medians: dict[str, float | None]) -> list:
+    return [
+        fill_stage(medians, preset), string_indexer(preset.categorical), one_hot_encoder(preset.categorical), assembler(preset), scaler(preset)
+    ]
 
 
-def usable_rows(df: DataFrame, preset: FeaturePreset) -> DataFrame:
-    """Rows the assembler keeps: none of the numeric inputs is null."""
-    return df.dropna(subset=[*preset.numeric, *preset.flag_columns])
+def fit_features(train: DataFrame, preset: FeaturePreset, fit_on: DataFrame | None = None) -> PipelineModel:
+    """The fitted feature stages, medians included. ``fit_on`` takes the medians from another table than ``train``."""
+    medians = exact_medians(train if fit_on is None else fit_on, preset.numeric) if preset.imputed else {}
+    return Pipeline(stages=feature_stages(preset, medians)).fit(train)
 
 
 def slot_names(transformed: DataFrame, column: str = "features") -> list[str]:

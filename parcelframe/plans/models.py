@@ -4,7 +4,7 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
@@ -46,18 +46,27 @@ def _use_shared_checkpoints(df: DataFrame) -> None:
         context.setCheckpointDir(work_folder(df.sparkSession, "training"))
 
 
+def labelled(df: DataFrame, preset: FeaturePreset) -> DataFrame:
+    """The rows a model can learn from: those with a label. Their number against the table's tells what is left out."""
+    label = F.col(preset.label).cast("double")
+    return df.filter(label.isNotNull() & ~F.isnan(label))
+
+
 def train_models(
-    train: DataFrame, preset: FeaturePreset, settings: Mapping[str, Mapping] = FULL_SETTINGS
+    train: DataFrame, preset: FeaturePreset, settings: Mapping[str, Mapping] = FULL_SETTINGS, fit_on: DataFrame | None = None
 ) -> dict[str, PipelineModel]:
     """One complete model (features and regressor) per name; the features are fitted once.
 
+    Rows without a label are not learned from; every other row is. Medians are those of the training rows, or of
+    ``fit_on``.
+
     What is kept for the repeated passes are the narrow input columns. The feature vectors, dense once
     they are centred, are made again on the way into each regressor.
     """
     _use_shared_checkpoints(train)
-    inputs = train.select(*preset.inputs, preset.label).persist(StorageLevel.MEMORY_AND_DISK)
+    inputs = labelled(train, preset).select(*preset.inputs, preset.label).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        prepared = features.fit_features(inputs, preset)
+        prepared = features.fit_features(inputs, preset, fit_on)
         scaled = prepared.transform(inputs).select("scaled_features", preset.label)
         return {
             name: PipelineModel([*prepared.stages, regressor(name, preset, chosen).fit(scaled)])
@@ -135,12 +144,16 @@ def feature_importance(model: PipelineModel, transformed: DataFrame, top: int =
 
 
 def tune(
-    train: DataFrame, preset: FeaturePreset, name: str = "boosted", grid: Mapping[str, Sequence] | None = None
+    train: DataFrame, preset: FeaturePreset, name: str, grid: Mapping[str, Sequence], settings: Mapping | None = None
 ) -> tuple[PipelineModel, DataFrame]:
-    """Search a parameter grid on a held-out part; (best model, tried settings with their RMSE)."""
-    estimator = regressor(name, preset, QUICK_BOOSTED if name == "boosted" else None)
+    """Search a parameter grid on a held-out part; (best model, tried settings with their RMSE).
+
+    What the grid does not vary comes from ``settings``, by default the model's full ones.
+    """
+    _use_shared_checkpoints(train)
+    estimator = regressor(name, preset, settings)
     builder = ParamGridBuilder()
-    for parameter, values in (grid or {"maxDepth": [3, 5]}).items():
+    for parameter, values in grid.items():
         builder = builder.addGrid(estimator.getParam(parameter), list(values))
     maps = builder.build()
     search = TrainValidationSplit(
@@ -150,7 +163,7 @@ def tune(
         trainRatio=0.8,
         seed=SEED,
     )
-    inputs = train.select(*preset.inputs, preset.label).persist(StorageLevel.MEMORY_AND_DISK)
+    inputs = labelled(train, preset).select(*preset.inputs, preset.label).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         prepared = features.fit_features(inputs, preset)
         found = search.fit(prepared.transform(inputs).select("scaled_features", preset.label))
@@ -165,6 +178,5 @@ def tune(
 
 
 def train_one(train: DataFrame, preset: FeaturePreset, name: str, settings: Mapping | None = None) -> PipelineModel:
-    """One model as a single pipeline fit."""
-    _use_shared_checkpoints(train)
-    return Pipeline(stages=[*features.feature_stages(preset), regressor(name, preset, settings)]).fit(train)
+    """One model; its narrow inputs are kept for the passes of all stages."""
+    return train_models(train, preset, {name: FULL_SETTINGS[name] if settings is None else settings})[name]

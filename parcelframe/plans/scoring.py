@@ -13,13 +13,12 @@ from parcelframe.plans.features import FeaturePreset
 
 
 def score_batch(subjects: DataFrame, model: PipelineModel, preset: FeaturePreset, keep=()) -> DataFrame:
-    """Predicted price per square metre for a batch or a stream of subjects.
+    """Predicted price per square metre for a batch or a stream of subjects, one row for each subject.
 
-    Missing counts count as unknown, absent flag columns as 0.
+    The model fills unknown numbers (null, NaN or -1, and columns that the subjects lack) as it did in training.
     """
-    present = [c for c in fixed.COUNT_COLUMNS if c in subjects.columns]
-    ready = cols.fill_numeric_sentinel(subjects, present) if present else subjects
-    ready = cols.add_placeholders(ready, {c: 0 for c in preset.flag_columns})
+    ready = cols.add_placeholders(subjects, {c: fixed.MISSING_NUMBER for c in preset.numeric})
+    ready = cols.add_placeholders(ready, {c: F.lit(None).cast("string") for c in preset.categorical})
     scored = model.transform(ready)
     price = F.col("prediction")
     if preset.log_label:
@@ -48,7 +47,7 @@ def score_with_fallback(
 ) -> DataFrame:
     """Final price per subject: the prediction, else the tiered estimate, else the default.
 
-    ``predicted`` may lack subjects, as rows with unusable values are skipped by the model.
+    ``predicted`` may lack subjects or predictions.
     """
     estimate = fallback_estimate(subjects, listings, subject_key)
     final = F.coalesce(F.col(prediction), F.col("estimate"), F.lit(fixed.DEFAULT_PRICE_PER_M2))

@@ -23,16 +23,34 @@ def build_session(app_name: str = "parcelframe", master: str | None = None, **co
     return builder.getOrCreate()
 
 
+_IN_USE: dict[str, list[str]] = {}
+
+
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder path below the shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only where that setting is absent, as in local tests, a temporary folder stands in for it.
+    Without that setting only a local session gets a temporary folder; executors on other machines would not see it.
+    ``release`` deletes what was handed out.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         shared = tempfile.mkdtemp(prefix="parcelframe-")
         spark.conf.set("spark.checkpoint.dir", shared)
-    return f"{shared.rstrip('/')}/parcelframe/{purpose}-{uuid.uuid4().hex}"
+    path = f"{shared.rstrip('/')}/parcelframe/{purpose}-{uuid.uuid4().hex}"
+    _IN_USE.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release(spark: SparkSession) -> int:
+    """Deletes the work folders of this application; tables that still read them must be finished. Returns their number."""
+    paths = _IN_USE.pop(spark.sparkContext.applicationId, [])
+    jvm = spark.sparkContext._jvm
+    for path in paths:
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+    return len(paths)
 
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:

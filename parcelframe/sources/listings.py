@@ -7,16 +7,31 @@ from pyspark.sql import types as T
 from parcelframe import schemas
 
 # pandas and Spark both double a quote inside a quoted field when told so.
-_CSV = {"header": "true", "encoding": "UTF-8", "multiLine": "true", "escape": '"'}
+_CSV = {"header": "true", "encoding": "UTF-8", "escape": '"'}
 
 
-def read_listings(spark: SparkSession, path: str) -> DataFrame:
+def _options(many_lines: bool) -> dict[str, str]:
+    """A file whose fields may hold line ends cannot be split: it is read by one task. Others are read in parts."""
+    return {**_CSV, "multiLine": str(many_lines).lower()}
+
+
+def _by_name(spark: SparkSession, path: str, schema: T.StructType, many_lines: bool) -> DataFrame:
+    """Columns are taken by the header's names, in any order; those that the files lack are null, others are left out.
+
+    Files of one call must have the same header: it is compared for each of them, and a difference fails.
+    """
+    header = spark.read.options(**_options(many_lines)).csv(path).schema
+    found = spark.read.schema(header).options(**_options(many_lines), enforceSchema="false").csv(path)
+    return found.select(*[(F.col(f"`{f.name}`") if f.name in found.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema])
+
+
+def read_listings(spark: SparkSession, path: str, many_lines: bool = False) -> DataFrame:
     """Headered CSV of scraped listings, every column text, blank fields null."""
-    return spark.read.schema(schemas.LISTINGS_RAW).options(**_CSV).csv(path)
+    return _by_name(spark, path, schemas.LISTINGS_RAW, many_lines)
 
 
-def read_details(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.LISTING_DETAILS).options(**_CSV).csv(path)
+def read_details(spark: SparkSession, path: str, many_lines: bool = False) -> DataFrame:
+    return _by_name(spark, path, schemas.LISTING_DETAILS, many_lines)
 
 
 def read_clean(
@@ -26,18 +41,18 @@ def read_clean(
     if fmt == "parquet":
         return spark.read.schema(schema).parquet(path)
     if fmt == "csv":
-        return spark.read.schema(schema).options(**{**_CSV, "multiLine": "false"}).csv(path)
+        return _by_name(spark, path, schema, many_lines=False)
     raise ValueError(f"unsupported format {fmt!r}")
 
 
-def read_storage(spark: SparkSession, path: str) -> DataFrame:
+def read_storage(spark: SparkSession, path: str, many_lines: bool = False) -> DataFrame:
     """Headered CSV from a distributed file system, columns as text named by the header."""
-    return spark.read.options(**_CSV).csv(path)
+    return spark.read.options(**_options(many_lines)).csv(path)
 
 
-def read_inferred(spark: SparkSession, path: str) -> DataFrame:
+def read_inferred(spark: SparkSession, path: str, many_lines: bool = False) -> DataFrame:
     """Headered CSV with inferred types; one extra pass over the data, meant for unknown files."""
-    return spark.read.options(**{**_CSV, "inferSchema": "true"}).csv(path)
+    return spark.read.options(**_options(many_lines), inferSchema="true").csv(path)
 
 
 def rows_to_frame(spark: SparkSession, rows, schema: T.StructType = schemas.SUBJECTS) -> DataFrame:

@@ -19,11 +19,12 @@ def stream_files(
     fmt: str = "parquet",
     name_filter: str | None = None,
     files_per_batch: int | None = None,
+    many_lines: bool = False,
 ) -> DataFrame:
-    """New files of a folder as a stream."""
+    """New files of a folder as a stream. A CSV file whose header differs from the schema fails."""
     reader = spark.readStream.schema(schema).format(fmt)
     if fmt == "csv":
-        reader = reader.options(header="true", escape='"', multiLine="true")
+        reader = reader.options(header="true", escape='"', multiLine=str(many_lines).lower(), enforceSchema="false")
     if name_filter:
         reader = reader.option("pathGlobFilter", name_filter)
     if files_per_batch:
