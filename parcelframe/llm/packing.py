@@ -6,6 +6,8 @@ A plan speaks of ranks within a length, so documents find their places in Spark
 
 from __future__ import annotations
 
+import os
+import re
 import uuid
 import zlib
 from bisect import bisect_left, insort
@@ -14,6 +16,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -21,55 +25,80 @@ from tokenizers import Tokenizer
 from parcelframe.llm.common import map_arrow, pick
 from parcelframe.session import stored
 
-MARK = "<|startoftext|>"
+#: The vocabulary's split pattern.
+SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+#: Words of these characters are in composed form already, and lower-casing them does not depend on their neighbours.
+PLAIN = re.compile("[\x21-\x7e\u00a1-\u024f]+\\Z")
 
 
 class WordEncoder:
-    """Token ids of a text as the vocabulary's own library gives them, with remembered words.
+    """Token ids of texts as the vocabulary's own library gives them, with remembered words and parts of words.
 
     The vocabulary drops white space and never joins across it, so a text's ids are those of its words one after
-    another. Words that are not remembered are encoded together, parted by a special token. ``room`` bounds the
-    remembered words; forgetting changes the time only.
+    another, and a word's ids those of the parts it is split into. Every part's last token, and no other, ends a
+    word; so unknown parts are encoded together and told apart by these tokens. ``room`` bounds what is remembered;
+    forgetting changes the time only.
     """
 
-    def __init__(self, vocabulary: str, room: int = 1_000_000):
+    def __init__(self, vocabulary: str, room: int = 1_300_000):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.library = Tokenizer.from_str(vocabulary)
-        self.mark = self.library.token_to_id(MARK)
-        self.specials = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        names = self.library.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(names.values()) + 1, bool)
+        self.ends[[i for name, i in names.items() if name.endswith("</w>")]] = True
+        specials = [re.escape(t.content) for t in self.library.get_added_tokens_decoder().values()]
+        # Special strings, and separators beyond plain white space: such texts are encoded as a whole.
+        self.odd = re.compile("|".join(["[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]", *specials]))
         self.words: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
         self.room = room
 
     def whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def _learn_parts(self, parts: list[str]) -> None:
+        for k in range(0, len(parts), 8192):
+            some = parts[k : k + 8192]
+            ids = np.array(self.library.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) == len(some) and cuts[-1] == len(ids):
+                data, stops = ids.tobytes(), (cuts * 4).tolist()
+                for part, start, stop in zip(some, [0, *stops], stops, strict=False):
+                    self.parts[part] = data[start:stop]
+            else:
+                self.parts |= {part: self.whole(part) for part in some}
+
     def _learn(self, words: list[str]) -> None:
-        known = self.words
-        if len(known) + len(words) > self.room:
-            known.clear()
-        for k in range(0, len(words), 4096):
-            part = words[k : k + 4096]
-            found = self.library.encode_batch_fast([MARK.join(part)], add_special_tokens=False)[0].ids
-            ids = np.array(found, "<u4")
-            cuts = np.flatnonzero(ids == self.mark)
-            pieces = np.split(ids, cuts)
-            known[part[0]] = pieces[0].tobytes()
-            for word, piece in zip(part[1:], pieces[1:], strict=True):
-                known[word] = piece[1:].tobytes()
-
-    def __call__(self, texts: list[str]) -> Iterator[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit numbers."""
-        split = [None if self._odd(t) else t.split() for t in texts]
-        missing = {w for words in split if words for w in words if w not in self.words}
-        if missing:
-            if len(self.words) + len(missing) > self.room:
-                missing = {w for words in split if words for w in words}
-            self._learn(sorted(missing))
-        for text, words in zip(texts, split, strict=True):
-            yield self.whole(text) if words is None else b"".join(map(self.words.__getitem__, words))
-
-    def _odd(self, text: str) -> bool:
-        """Special strings, and separators that Python splits at but the vocabulary does not."""
-        return any(s in text for s in self.specials) or any(c in text for c in "\x1c\x1d\x1e\x1f")
+        split = [(w, SPLIT.findall(w.lower()) if PLAIN.match(w) else None) for w in words]
+        missing = {p for _, parts in split if parts for p in parts if p not in self.parts}
+        if len(self.parts) + len(missing) > self.room:
+            self.parts.clear()
+            missing = {p for _, parts in split if parts for p in parts}
+        self._learn_parts(list(missing))
+        if len(self.words) + len(words) > self.room:
+            self.words.clear()
+        known = self.parts.__getitem__
+        for word, parts in split:
+            self.words[word] = self.whole(word) if parts is None else b"".join(map(known, parts))
+
+    def __call__(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """The ids of each text. Equal words of all the texts are looked up once."""
+        odd = [bool(self.odd.search(t)) for t in texts]
+        lists = pc.ascii_split_whitespace(pa.array(["" if o else t for t, o in zip(texts, odd, strict=True)], pa.large_string()))
+        coded = lists.flatten().dictionary_encode()
+        distinct, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        found = [self.words.get(w) for w in distinct]
+        if unknown := [w for w, ids in zip(distinct, found, strict=True) if ids is None]:
+            self._learn(unknown)
+            found = [self.words[w] if ids is None else ids for w, ids in zip(distinct, found, strict=True)]
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        starts = np.cumsum(sizes) - sizes
+        ids = np.frombuffer(b"".join(found), "<u4")
+        stops = np.r_[0, np.cumsum(sizes[codes])]
+        place = np.repeat(starts[codes] - stops[:-1], sizes[codes]) + np.arange(stops[-1])
+        all_ids, bounds = ids[place], stops[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
+        for i, text in enumerate(texts):
+            yield np.frombuffer(self.whole(text), "<u4") if odd[i] else all_ids[bounds[i] : bounds[i + 1]]
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -84,7 +113,7 @@ def pieces(
     """
     with open(vocabulary, encoding="utf-8") as file:
         shared = docs.sparkSession.sparkContext.broadcast(file.read())
-    key, tail = str(uuid.uuid4()), np.array([end], "<u4").tobytes()
+    key, tail = str(uuid.uuid4()), np.array([end], "<u4")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if key not in _ENCODERS:
@@ -92,15 +121,15 @@ def pieces(
             _ENCODERS[key] = WordEncoder(shared.value)
         encode = _ENCODERS[key]
         for big in batches:
-            for k in range(0, big.num_rows, 256):
-                batch = big.slice(k, 256)
+            for k in range(0, big.num_rows, 1024):
+                batch = big.slice(k, 1024)
                 texts = [x or "" for x in batch["text"].to_pylist()]
                 rows = []
                 for doc, ids in zip(batch["doc_id"].to_pylist(), encode(texts), strict=True):
-                    ids += tail
-                    for number, at in enumerate(range(0, len(ids), 4 * capacity)):
-                        own = ids[at : at + 4 * capacity]
-                        rows.append((doc, number, at // 4, len(own) // 4, zlib.crc32(own)))
+                    ids = np.r_[ids, tail]
+                    for number, at in enumerate(range(0, len(ids), capacity)):
+                        own = ids[at : at + capacity]
+                        rows.append((doc, number, at, len(own), zlib.crc32(own.tobytes())))
                 kinds = (batch.schema.field("doc_id").type, pa.int32(), pa.int64(), pa.int64(), pa.int64())
                 columns = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "piece", "start", "length", "ids_crc32"])
@@ -289,9 +318,10 @@ def ranked(rows: DataFrame) -> DataFrame:
     """Adds the rank (from 0) of each row within its length, by id and piece; no length meets in one task.
 
     Rows are dealt out by ranges of (length, id, piece), counted per range and length, and numbered within both.
+    They are stored first: ranges are found by a pass of their own, which would encode every text twice.
     """
     order = ["length", "doc_id", "piece", "start", "ids_crc32"]
-    dealt = stored(rows.repartitionByRange(*order).withColumn("part", F.spark_partition_id()), "pieces")
+    dealt = stored(stored(rows, "pieces").repartitionByRange(*order).withColumn("part", F.spark_partition_id()), "dealt-pieces")
     counts = dealt.groupBy("length", "part").agg(F.count("*").alias("n"))
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.select("length", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
