@@ -150,7 +150,8 @@ def _following(rows: DataFrame) -> DataFrame:
     of all takes the first of all.
     """
     order = rows.groupBy(*KEY).agg(F.max(F.char_length("text")).alias("n"), F.count("*").alias("copies"))
-    order = stored(order.repartitionByRange(*KEY).withColumn("part", F.spark_partition_id()), "order")
+    # Stored first, as the ranges are found by a pass of their own.
+    order = stored(stored(order, "order").repartitionByRange(*KEY).withColumn("part", F.spark_partition_id()), "order")
     within = Window.partitionBy("part").orderBy(*KEY)
     pos = F.shiftleft(F.col("part").cast("long"), 40) + F.row_number().over(within)
     order = order.withColumn("pos", pos)
