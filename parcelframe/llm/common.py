@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from parcelframe.session import package_on_workers
+
 
 def col(name: str) -> Column:
     """A column by its exact name, dots and blanks included."""
@@ -36,15 +37,6 @@ def bounded_sample(df: DataFrame, key: Column, limit: int) -> DataFrame:
     return df.filter(F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(1 << 30)) < F.lit(int((1 << 30) * limit / total)))
 
 
-def package_on_workers() -> None:
-    """Lets Python workers import this package from the driver's place; clusters that ship it otherwise ignore that."""
-    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-    environment = SparkSession.active().sparkContext.environment
-    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
-    if root not in paths:
-        environment["PYTHONPATH"] = os.pathsep.join(p for p in [root, *paths] if p)
-
-
 def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     package_on_workers()
     return df.mapInArrow(fn, schema)
