@@ -105,7 +105,7 @@ def _(spark, d):
     CROSS JOIN LATERAL (SELECT unnest(range(1, len(links) + 1)) AS i)""",
 )
 def _(spark, d):
-    return pages.extract_links(v.table(spark, d, "pages"), tag="li", mark="", keep=["page_id", "url"])
+    return pages.extract_links(v.table(spark, d, "pages"), path=[("li", "")], keep=["page_id", "url"])
 
 
 @query(

@@ -63,7 +63,9 @@ _STATUS_RULES = {
 # A stored listing page and a stored detail page; a null field leaves its element out.
 _PAGE_RULES = {
     "listing_id": "listing_id",
-    "html": "concat('<html><body><h1 class=\"big head-title\">', title, '</h1>', "
+    # With what a page may hold besides: comments, stray marks outside of their parents, upper case and single quotes.
+    "html": "concat('<html><body><!-- <h1 class=\"head-title\">old</h1> --><div class=\"infor-note\">stray</div>', "
+    "'<div class=\"opt opt-duong\"><p><span class=\"value-item\">deep</span></p></div><H1 CLASS=\\'big head-title\\'>', title, '</H1>', "
     "coalesce(concat('<div style=\"float:left; width:87%; padding-left: 5px;\">', location, '</div>'), ''), "
     "'<div class=\"col-item\"><div class=\"infor-note\">a</div><div class=\"infor-data\">b</div></div>', "
     "'<div class=\"col-item\">', coalesce(concat('<div class=\"infor-note\"><b>', price, '</b></div>'), ''), "
@@ -84,7 +86,8 @@ _DETAIL_PAGE_RULES = {
     "ts": "ts",
     "seq": "seq",
     "part": "part",
-    "html": "concat('<html><body><div class=\"description-content\"><div>', description, '</div> more &amp; more</div>', "
+    "html": "concat('<html><body><!-- <div class=\"posting-date\">old</div> --><div class=\"features\"><p><li>stray</li></p></div>', "
+    "'<DIV class=\\'description-content\\'><div>', description, '</div> more &#38; more</DIV><div class=\"carousel\"><img src=\"logo.jpg\"></div>', "
     "'<div class=\"posting-date\">', posting_date, '</div><div class=\"contact-name\">', contact_name, '</div>', "
     "coalesce(concat('<div class=\"contact-phone\">', contact_phone, '</div>'), ''), '<div class=\"features\"><ul>', "
     "CASE WHEN features = '' THEN '' ELSE concat('<li>', replace(features, '|', '</li><li>'), '</li>') END, '</ul></div>', "
@@ -113,12 +116,6 @@ def raw_from_orders(orders: DataFrame, spark: SparkSession, folder: str) -> Data
     return orders.join(place, F.col("o_custkey") == F.col("c_custkey")).selectExpr(*_columns(_RAW_RULES))
 
 
-def _spread(df: DataFrame, key: str, source: DataFrame) -> DataFrame:
-    """Rows spread over the cores when their source has too few files to do so by itself."""
-    few = len(source.inputFiles()) < df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(key) if few else df
-
-
 def raw(spark: SparkSession, folder: str) -> DataFrame:
     return raw_from_orders(table(spark, folder, "orders"), spark, folder)
 
@@ -149,13 +146,11 @@ def status_log(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def listing_pages(spark: SparkSession, folder: str) -> DataFrame:
-    listed = raw(spark, folder)
-    return _spread(listed, "listing_id", table(spark, folder, "orders")).selectExpr(*_columns(_PAGE_RULES))
+    return raw(spark, folder).repartition("listing_id").selectExpr(*_columns(_PAGE_RULES))
 
 
 def detail_pages(spark: SparkSession, folder: str) -> DataFrame:
-    found = details(spark, folder)
-    return _spread(found, "url", found).selectExpr(*_columns(_DETAIL_PAGE_RULES))
+    return details(spark, folder).repartition("url").selectExpr(*_columns(_DETAIL_PAGE_RULES))
 
 
 def widened(df: DataFrame) -> DataFrame:

@@ -84,6 +84,8 @@ LISTING_PAGE_FIELDS = {
     "price": ("div", "infor-note", 2),
     "area": ("div", "infor-data", 2),
 }
+# Class of the element that the field's element must be a child of.
+LISTING_PAGE_PARENTS = {"price": "col-item", "area": "col-item"}
 LISTING_LOCATION_STYLE = "float:left; width:87%; padding-left: 5px;"
 LISTING_OPTION_CLASSES = {
     "category": "opt-mattien",
@@ -96,6 +98,7 @@ LISTING_OPTION_CLASSES = {
     "liability": "opt-phaply",
 }
 OPTION_VALUE_CLASS = "value-item"
+INDEX_LIST_CLASS = "property-list"
 INDEX_ITEM_CLASS = "row-item"
 DETAIL_PAGE_FIELDS = {
     "description": "description-content",

@@ -1,5 +1,6 @@
 """Session settings and the shared work folder."""
 
+import os
 import tempfile
 import uuid
 
@@ -23,6 +24,15 @@ def build_session(app_name: str = "parcelframe", master: str | None = None, **co
     return builder.getOrCreate()
 
 
+def package_on_workers() -> None:
+    """Lets Python workers import this package from the driver's place; clusters that ship it otherwise ignore that."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    environment = SparkSession.active().sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join(p for p in [root, *paths] if p)
+
+
 _IN_USE: dict[str, list[str]] = {}
 
 

@@ -1,103 +1,154 @@
-"""Listing fields from stored web pages, as JVM-side expressions over an HTML column.
+"""Listing fields from stored web pages.
 
-An element is found by its tag and an attribute mark. Its content runs to the closing tag that
-balances the opening one, so elements of the same tag may nest in it.
+A rule is a short path: its first step may be anywhere in the page, each further one is a child of the one before.
+A page is parsed once for all rules of a call, row by row in Arrow batches, by the standard library's HTML parser:
+comments and scripts are no elements, tags and attributes are found in any case and with either quote, and all
+entities are decoded.
 """
 
-import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
+from html.parser import HTMLParser
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelframe import fixed
+from parcelframe.session import package_on_workers
+
+Mark = tuple[str, str] | str
+Step = tuple[str, Mark]
+
+_VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
+_HIDDEN = frozenset(("script", "style"))
+# A new one of these ends an open one beside it.
+_SIBLINGS = frozenset(("li", "p", "option", "tr", "td", "th"))
+_LISTS = frozenset(("ul", "ol", "select", "table", "div"))
+
+
+def has_class(fragment: str) -> Mark:
+    """Mark: the class attribute contains ``fragment``."""
+    return ("class", fragment)
+
+
+def has_style(style: str) -> Mark:
+    return ("style", style)
+
+
+class Element:
+    """``inside`` is kept for the page itself: its elements by tag, in page order."""
+
+    __slots__ = ("tag", "attributes", "parent", "parts", "inside")
+
+    def __init__(self, tag: str, attributes: dict[str, str | None], parent: "Element | None"):
+        self.tag, self.attributes, self.parent, self.parts, self.inside = tag, attributes, parent, [], None
 
-FieldRule = Callable[[Column], Column]
+    def fits(self, step: Step) -> bool:
+        tag, mark = step
+        return self.tag == tag and (not mark or mark[1] in (self.attributes.get(mark[0]) or ""))
 
-# Entities of text content; the ampersand comes last so that nothing is decoded twice.
-_ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
-_HREF = r'<a\b[^>]*href="([^"]*)"'
+    def below(self) -> Iterator["Element"]:
+        """All elements inside, in page order, without recursion: pages may nest deeply."""
+        waiting = [x for x in reversed(self.parts) if isinstance(x, Element)]
+        while waiting:
+            found = waiting.pop()
+            yield found
+            waiting += [x for x in reversed(found.parts) if isinstance(x, Element)]
 
+    def find(self, path: Sequence[Step]) -> list["Element"]:
+        *before, last = path
+        found = []
+        for element in self.below() if self.inside is None else self.inside.get(last[0], ()):
+            at = element if element.fits(last) else None
+            for step in reversed(before):
+                at = at and at.parent
+                if at is None or not at.fits(step):
+                    at = None
+                    break
+            if at is not None:
+                found.append(element)
+        return found
 
-def has_class(fragment: str) -> str:
-    """Attribute mark: the class attribute contains ``fragment``."""
-    return f'class="[^"]*{re.escape(fragment)}[^"]*"'
+    def text(self) -> str:
+        """Visible text with outer blanks trimmed."""
+        found, waiting = [], [self]
+        while waiting:
+            part = waiting.pop()
+            if isinstance(part, str):
+                found.append(part)
+            elif part.tag == "br":
+                found.append("\n")
+            elif part.tag not in _HIDDEN:
+                waiting += reversed(part.parts)
+        return "".join(found).replace("\xa0", " ").strip()
 
 
-def has_style(style: str) -> str:
-    return f'style="[^"]*{re.escape(style)}[^"]*"'
+class _Parser(HTMLParser):
+    """Builds the elements of a page; an element that is not closed runs to the end of what it is in."""
 
+    def __init__(self, html: str):
+        super().__init__(convert_charrefs=True)
+        self.root = self.now = Element("", {}, None)
+        self.root.inside = {}
+        self.feed(html)
+        self.close()
 
-def _opening(tag: str, mark: str) -> str:
-    return rf"<{tag}\b[^>]*{mark}"
+    def handle_starttag(self, tag, attributes):
+        if tag in _SIBLINGS:
+            at = self.now
+            while at.parent and at.tag != tag and at.tag not in _LISTS:
+                at = at.parent
+            if at.tag == tag:
+                self.now = at.parent
+        made = self._add(tag, attributes)
+        if tag not in _VOID:
+            self.now = made
 
+    def handle_startendtag(self, tag, attributes):
+        self._add(tag, attributes)
 
-def _bind(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with the value computed once, however often it is used inside lambdas."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
+    def _add(self, tag, attributes) -> Element:
+        made = Element(tag, dict(reversed(attributes)), self.now)
+        self.now.parts.append(made)
+        self.root.inside.setdefault(tag, []).append(made)
+        return made
 
+    def handle_endtag(self, tag):
+        at = self.now
+        while at.parent and at.tag != tag:
+            at = at.parent
+        if at.parent:
+            self.now = at.parent
 
-def contents(html: Column, tag: str, mark: str = "") -> Column:
-    """Inner HTML of every matching element, in page order; an unclosed one runs to the end."""
+    def handle_data(self, data):
+        self.now.parts.append(data)
 
-    def matching(pieces: Column) -> Column:
-        places = F.sequence(F.lit(1), F.size(pieces))
-        starts = F.filter(places, lambda i: F.get(pieces, i - 1).rlike(f"^{_opening(tag, mark)}"))
-        rest_from = lambda i: F.slice(pieces, i, F.size(pieces))
-        whole = F.transform(starts, lambda i: _bind(rest_from(i), lambda rest: _balanced(rest, tag, depth=0)))
-        return F.transform(whole, lambda x: F.regexp_replace(x, rf"^<{tag}\b[^>]*>", ""))
 
-    return _bind(F.split(html, rf"(?=<{tag}\b|</{tag}\s*>)"), matching)
+def parse(html: str | None) -> Element:
+    return _Parser(html or "").root
 
 
-def element(html: Column, tag: str, mark: str = "", nth: int = 1) -> Column:
-    """Inner HTML of the n-th matching element, empty when there is none."""
-    close = f"</{tag}>"
+@dataclass(frozen=True)
+class PathText:
+    """Visible text of the n-th element at a path, empty when there is none."""
 
-    def inner(rest: Column) -> Column:
-        near = F.substring_index(rest, close, 1)
-        nests = near.contains(f"<{tag}") | near.contains(f"</{tag}")
-        pieces = F.split(rest, rf"(?=<{tag}\b|</{tag}\s*>)")
-        return F.when(~nests, near).otherwise(_bind(pieces, lambda p: _balanced(p, tag, depth=1)))
+    path: tuple[Step, ...]
+    nth: int = 1
 
-    return _bind(F.regexp_extract(html, rf"(?s)\A(?:.*?{_opening(tag, mark)}[^>]*>){{{nth}}}(.*)", 1), inner)
-
-
-def _balanced(pieces: Column, tag: str, depth: int) -> Column:
-    """The pieces before the closing tag that ends the element they are in, ``depth`` tags deep at first."""
-    taken = F.aggregate(
-        pieces,
-        F.struct(F.lit(depth).alias("depth"), F.lit(0).alias("taken"), F.lit(False).alias("closed")),
-        lambda seen, piece: _advance(seen, piece, tag),
-        lambda seen: seen["taken"],
-    )
-    return F.array_join(F.slice(pieces, F.lit(1), taken), "")
-
-
-def _advance(seen: Column, piece: Column, tag: str) -> Column:
-    step = F.when(piece.startswith(f"</{tag}"), -1).when(piece.startswith(f"<{tag}"), 1).otherwise(0)
-    return _bind(
-        seen["depth"] + step,
-        lambda depth: F.struct(
-            depth.alias("depth"),
-            (seen["taken"] + F.when(seen["closed"] | (depth == 0), 0).otherwise(1)).alias("taken"),
-            (seen["closed"] | (depth == 0)).alias("closed"),
-        ),
-    )
-
-
-def visible_text(inner: Column) -> Column:
-    """Text of inner HTML: tags removed, entities decoded, outer blanks trimmed."""
-    text = F.regexp_replace(inner, r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->", "")
-    text = F.regexp_replace(F.regexp_replace(text, r"(?i)<br\s*/?>", "\n"), r"<[^>]*>", "")
-    for entity, char in _ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return F.trim(text)
-
-
-def element_text(tag: str, mark: str = "", nth: int = 1) -> FieldRule:
-    """Rule: visible text of the n-th matching element, empty when there is none."""
-    return lambda html: F.coalesce(visible_text(element(html, tag, mark, nth)), F.lit(""))
+    def of(self, page: Element) -> str:
+        found = page.find(self.path)
+        return found[self.nth - 1].text() if len(found) >= self.nth else ""
+
+
+FieldRule = PathText | Callable[[Column], Column]
+
+
+def element_text(tag: str, mark: Mark = "", nth: int = 1) -> PathText:
+    return PathText(((tag, mark),), nth)
+
+
+def path_text(*path: Step, nth: int = 1) -> PathText:
+    return PathText(path, nth)
 
 
 def pattern_text(pattern: str) -> FieldRule:
@@ -105,59 +156,68 @@ def pattern_text(pattern: str) -> FieldRule:
     return lambda html: F.coalesce(F.regexp_extract(html, pattern, 1), F.lit(""))
 
 
-def option_text(option_class: str) -> FieldRule:
-    """Rule: the value span inside a labelled option."""
-    value = element_text("span", has_class(fixed.OPTION_VALUE_CLASS))
-    return lambda html: value(element(html, "div", has_class(option_class)))
-
-
 def listing_rules() -> dict[str, FieldRule]:
-    rules = {
-        name: element_text(tag, has_class(mark), nth) for name, (tag, mark, nth) in fixed.LISTING_PAGE_FIELDS.items()
-    }
+    rules: dict[str, FieldRule] = {}
+    for name, (tag, mark, nth) in fixed.LISTING_PAGE_FIELDS.items():
+        inside = [("div", has_class(fixed.LISTING_PAGE_PARENTS[name]))] if name in fixed.LISTING_PAGE_PARENTS else []
+        rules[name] = path_text(*inside, (tag, has_class(mark)), nth=nth)
     rules["location"] = element_text("div", has_style(fixed.LISTING_LOCATION_STYLE))
-    rules.update({name: option_text(mark) for name, mark in fixed.LISTING_OPTION_CLASSES.items()})
+    value = ("span", has_class(fixed.OPTION_VALUE_CLASS))
+    rules |= {name: path_text(("div", has_class(mark)), value) for name, mark in fixed.LISTING_OPTION_CLASSES.items()}
     return rules
 
 
+def _parsed(use: Callable[[Element], object], html: str, kind: str) -> Column:
+    package_on_workers()
+    return F.udf(lambda page: use(parse(page)), kind, useArrow=True)(F.col(html))
+
+
 def extract_fields(df: DataFrame, html: str = "html", rules: dict[str, FieldRule] | None = None, keep=()) -> DataFrame:
     """One text column per rule; a missing field is the empty text."""
     rules = rules or listing_rules()
-    return df.select(*keep, *[rule(F.col(html)).alias(name) for name, rule in rules.items()])
+    paths = {name: rule for name, rule in rules.items() if isinstance(rule, PathText)}
+    texts = list(paths.values())
+    found = df.withColumn("_texts", _parsed(lambda page: [rule.of(page) for rule in texts], html, "array<string>"))
+    at = {name: F.col("_texts")[i] for i, name in enumerate(paths)}
+    return found.select(*keep, *[(at[name] if name in at else rule(F.col(html))).alias(name) for name, rule in rules.items()])
 
 
-def extract_links(df: DataFrame, html: str = "html", tag: str = "div", mark: str | None = None, keep=()) -> DataFrame:
+def extract_links(df: DataFrame, html: str = "html", path: Sequence[Step] | None = None, keep=()) -> DataFrame:
     """One row per list item with its position and its first link, empty when it has none."""
-    items = contents(F.col(html), tag, has_class(fixed.INDEX_ITEM_CLASS) if mark is None else mark)
-    links = F.transform(items, lambda item: F.regexp_extract(item, _HREF, 1))
-    return df.select(*keep, F.posexplode(links).alias("position", "link"))
+    items = tuple(path or (("div", has_class(fixed.INDEX_LIST_CLASS)), ("div", has_class(fixed.INDEX_ITEM_CLASS))))
+
+    def links(page: Element) -> list[str]:
+        return [next((a.attributes.get("href") or "" for a in item.below() if a.tag == "a"), "") for item in page.find(items)]
+
+    return df.select(*keep, F.posexplode(_parsed(links, html, "array<string>")).alias("position", "link"))
 
 
 def extract_details(df: DataFrame, html: str = "html", keep=()) -> DataFrame:
     """Description, date and contact as text; features and image links as arrays."""
-    page = F.col(html)
-    texts = {name: element_text("div", has_class(mark)) for name, mark in fixed.DETAIL_PAGE_FIELDS.items()}
-    listed = contents(F.array_join(contents(page, "div", has_class(fixed.FEATURES_CLASS)), ""), "li")
-    shown = F.array_join(contents(page, "div", has_class(fixed.CAROUSEL_CLASS)), "")
-    images = F.regexp_extract_all(shown, F.lit(r'<img\b[^>]*src="([^"]+)"'), 1)
-    return df.select(
-        *keep,
-        *[rule(page).alias(name) for name, rule in texts.items()],
-        F.transform(listed, visible_text).alias("features"),
-        images.alias("image_urls"),
-    )
+    texts = [element_text("div", has_class(mark)) for mark in fixed.DETAIL_PAGE_FIELDS.values()]
+    listed = (("div", has_class(fixed.FEATURES_CLASS)), ("ul", ""), ("li", ""))
+    shown = (("div", has_class(fixed.CAROUSEL_CLASS)), ("div", has_class("item")), ("img", ""))
+
+    def details(page: Element):
+        images = [x.attributes.get("src") for x in page.find(shown)]
+        return [t.of(page) for t in texts], [x.text() for x in page.find(listed)], [x for x in images if x]
+
+    found = df.withColumn("_found", _parsed(details, html, "texts array<string>, features array<string>, images array<string>"))
+    names = [F.col("_found.texts")[i].alias(name) for i, name in enumerate(fixed.DETAIL_PAGE_FIELDS)]
+    return found.select(*keep, *names, F.col("_found.features").alias("features"), F.col("_found.images").alias("image_urls"))
 
 
 def extract_amenities(df: DataFrame, html: str = "html", marks: dict[str, str] | None = None, keep=()) -> DataFrame:
     """Map of amenity kind to its nearby places; kinds without a mark stay empty."""
     marks = {"schools": "nearby-schools"} if marks is None else marks
     name, distance = element_text("div", has_class("name")), element_text("div", has_class("distance"))
-    place = lambda item: F.struct(name(item).alias("name"), distance(item).alias("distance"))
-    entries = []
-    for kind in fixed.AMENITY_KINDS:
-        places = F.array().cast("array<struct<name:string,distance:string>>")
-        if kind in marks:
-            block = F.array_join(contents(F.col(html), "div", has_class(marks[kind])), "")
-            places = F.transform(contents(block, "div", has_class("item")), place)
-        entries += [F.lit(kind), places]
-    return df.select(*keep, F.create_map(*entries).alias("nearby_amenities"))
+
+    def places(page: Element) -> dict[str, list[tuple[str, str]]]:
+        found: dict[str, list[tuple[str, str]]] = {kind: [] for kind in fixed.AMENITY_KINDS}
+        for kind, mark in marks.items():
+            items = page.find((("div", has_class(mark)), ("div", has_class("item"))))
+            found[kind] = [(name.of(item), distance.of(item)) for item in items]
+        return found
+
+    kind = "map<string,array<struct<name:string,distance:string>>>"
+    return df.select(*keep, _parsed(places, html, kind).alias("nearby_amenities"))

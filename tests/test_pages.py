@@ -44,6 +44,24 @@ def test_links_and_amenities(spark):
     assert near["parks"] == [] and len(near) == 5
 
 
-def test_several_elements(spark):
-    inner = _page(spark).select(F.size(pages.contents(F.col("html"), "div", pages.has_class("infor-note")))).first()[0]
-    assert inner == 2
+MESSY = """<HTML><!-- <h1 class='head-title'>old</h1> --><div class="infor-note">1</div><script>"<div class='infor-note'>no</div>"</script>
+<H1 class='head-title'>Nh&agrave; &#259;n</H1><DIV CLASS='col-item'><div class=infor-note>a</div></DIV><div class='x col-item y'><div class='infor-note'>2&nbsp;t&#7927;</div></div>
+<div class="opt-duong"><p><span class="value-item">deep</span></p><span class="value-item">5m</span></div>
+<div class="features"><li>stray</li><ul><li>a<ul><li>nested</li></ul></li><li>b</ul></div><div class="carousel"><img src="logo"><div class="item"><img src='x.jpg'><img></div></div>
+<div class="row-item"><a href="/ad">ad</a></div><div class="property-list"><div class="row-item"><a href='/1?a=1&amp;b=2'>x</a></div><p><div class="row-item"><a href="/2"></a></div></div>"""
+
+
+def test_structure_case_quotes_comments_and_entities(spark):
+    page = spark.createDataFrame([(1, MESSY), (2, None)], "id int, html string")
+    first, second = pages.extract_fields(page, keep=["id"]).orderBy("id").collect()
+    assert (first["title"], first["price"], first["street"]) == ("Nhà ăn", "2 tỷ", "5m")
+    assert set(second.asDict().values()) == {2, ""}
+    details = pages.extract_details(page, keep=["id"]).orderBy("id").first()
+    assert details["features"] == ["anested", "b"] and details["image_urls"] == ["x.jpg"]
+    links = pages.extract_links(page, keep=["id"]).collect()
+    assert [r["link"] for r in links][0] == "/1?a=1&b=2" and "/ad" not in [r["link"] for r in links]
+
+
+def test_deep_nesting(spark):
+    page = spark.createDataFrame([("<div>" * 20_000 + "<h1 class='head-title'>x</h1>",)], "html string")
+    assert pages.extract_fields(page).first()["title"] == "x"
