@@ -10,6 +10,7 @@ from parcelframe.functions import numbers
 from parcelframe.operators import ranking
 from parcelframe.operators.filters import trim_p99_joint, trim_p99_sequential
 from parcelframe.operators.quantiles import exact_quantiles, quantile_values
+from parcelframe.session import stored
 
 PRICE = "price_per_m2"
 
@@ -29,12 +30,14 @@ def histogram(df: DataFrame, value: str = PRICE, bins: int | None = 50, log: boo
     The limits are found first, by one job that returns three numbers.
     """
     x = F.col(value).cast("double")
+    source = df
     df = df.select((numbers.log_price(x) if log else x).alias("x")).filter(F.col("x").isNotNull())
     low, high, n = df.agg(F.min("x"), F.max("x"), F.count("*")).first()
     if not n:
         return df.sparkSession.createDataFrame([], "bin int, low double, high double, count bigint")
     if bins is None:
-        bins = _auto_bins(df, "x", n, high - low)
+        # The column's own type, where it has one, spares the quantiles the passes that doubles need.
+        bins = _auto_bins(df, "x", n, high - low) if log else _auto_bins(source, value, n, high - low)
     width = (high - low) / bins
     place = F.least(F.floor((F.col("x") - low) / width), F.lit(bins - 1)) if width > 0 else F.lit(0)
     filled = df.groupBy(place.cast("int").alias("bin")).agg(F.count("*").alias("count"))
@@ -108,7 +111,8 @@ def area_price_points(
     ``trim`` is ``joint``, ``sequential`` or None; ``columns`` may rename the columns shown.
     """
     if n is not None:
-        df = ranking.sample_n(df, key, n)
+        # At most n rows, kept: the cuts would draw them again.
+        df = stored(ranking.sample_n(df, key, n), "sample")
     df = df.withColumn("size_value", numbers.positive_size(F.col("bedroom_num")))
     if trim is not None:
         df = {"joint": trim_p99_joint, "sequential": trim_p99_sequential}[trim](df)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelframe import fixed
-from parcelframe.operators.quantiles import quantile_values
+from parcelframe.operators.quantiles import column_quantile, quantile_values
 
 
 def filter_price_present(df: DataFrame, price: str = "price") -> DataFrame:
@@ -58,9 +58,8 @@ def filter_similar(
 
 
 def trim_p99_joint(df: DataFrame, columns: Sequence[str] = ("price_per_m2", "area_m2"), prob: float = 0.99) -> DataFrame:
-    """Rows strictly below the quantile of every column, all quantiles taken from the same table."""
-    cuts = {c: quantile_values(df, c, {"cut": prob})["cut"] for c in columns}
-    for c, cut in cuts.items():
+    """Rows strictly below the quantile of every column, all quantiles taken from the same table in one job."""
+    for c, cut in column_quantile(df, columns, prob).items():
         df = df.filter(F.col(c).cast("double") < F.lit(cut))
     return df
 

@@ -131,22 +131,29 @@ def quantile_values(df: DataFrame, value: str, probs: Mapping[str, float]) -> di
     return exact_quantiles(df, value, probs).first().asDict()
 
 
-def exact_medians(df: DataFrame, columns: Sequence[str], missing: float = -1) -> dict[str, float | None]:
-    """The exact median of each column, the missing sentinel, nulls and NaN left out.
+def column_quantile(df: DataFrame, columns: Sequence[str], prob: float, missing: float | None = None) -> dict[str, float | None]:
+    """One quantile of several columns, nulls and a missing sentinel left out.
 
     All columns go through one job as doubles, which hold every 32-bit value; refinements are made only if some
     column has more than 32 bits. Integers are exact up to 2**53.
     """
-    value = lambda c: F.col(c).cast("double")
-    named = [F.struct(F.lit(c).alias("column"), F.nanvl(value(c), F.lit(None)).alias("value")) for c in columns]
-    long = df.select(F.inline(F.array(*named))).filter(F.col("value") != missing)
+    named = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns]
+    long = df.select(F.inline(F.array(*named)))
+    if missing is not None:
+        long = long.filter(F.col("value") != missing)
     narrow = T.FloatType | T.IntegerType | T.ShortType | T.ByteType
     refinements = 0 if all(isinstance(df.schema[c].dataType, narrow) for c in columns) else 2
-    rows = exact_quantiles(long, "value", {"median": 0.5}, keys=["column"], refinements=refinements).collect()
-    found = {row["column"]: row["median"] for row in rows}
+    rows = exact_quantiles(long, "value", {"found": prob}, keys=["column"], refinements=refinements).collect()
+    found = {row["column"]: row["found"] for row in rows}
     return {c: found.get(c) for c in columns}
 
 
+def exact_medians(df: DataFrame, columns: Sequence[str], missing: float = -1) -> dict[str, float | None]:
+    """The exact median of each column, the missing sentinel, nulls and NaN left out."""
+    numbers = {c: F.nanvl(F.col(c), F.lit(None)) for c in columns if isinstance(df.schema[c].dataType, T.FloatType | T.DoubleType)}
+    return column_quantile(df.withColumns(numbers) if numbers else df, columns, 0.5, missing)
+
+
 def approx_medians(df: DataFrame, columns: Sequence[str], missing: float = -1, error: float = 0.01) -> dict[str, float]:
     """Approximate medians, the missing sentinel left out, all columns in one job."""
     known = df.select(*[F.nullif(F.col(c), F.lit(missing).cast(df.schema[c].dataType)).alias(c) for c in columns])
