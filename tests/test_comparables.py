@@ -94,3 +94,20 @@ def test_fallback_of_an_empty_market(tables):
     _, _, listed, asked = tables
     rows = comparables.fallback_estimate(asked, listed.filter("id < 0"), "sid").collect()
     assert {(r["tier"], r["estimate"]) for r in rows} == {(5, 30_000_000.0)}
+
+
+def test_prices_of_any_size_keep_their_digits(spark):
+    listed = spark.createDataFrame(
+        [(k, "A", "x", "c", 100.0 + k / 100, p, 1, 1) for k, p in enumerate([0.0004, 0.0004, 0.0004, 0.0005])]
+        + [(10, "A", "y", "c", 100.0, 2e15, 1, 1), (11, "A", "y", "c", 135.0, 1e-4, 1, 1), (12, "A", "y", "c", float("nan"), 5.0, 1, 1)],
+        "id long, city_province string, district string, category string, area_m2 double, price_per_m2 double, bedroom_num long, floor_num long",
+    )
+    asked = spark.createDataFrame(
+        [(1, "A", "x", "c", 100.0), (2, "A", "y", "c", 110.0), (3, "A", "y", "c", 150.0), (4, "A", "y", "c", float("nan"))],
+        "sid long, city_province string, district string, category string, area_m2 double",
+    )
+    got = {r["sid"]: (r["n_similar"], r["avg_similar"]) for r in comparables.comparables_summary(asked, listed, "sid").collect()}
+    assert got[1] == (4, pytest.approx(0.000425, rel=1e-12))
+    assert got[2] == (2, pytest.approx(1e15, rel=1e-12))
+    assert got[3] == (1, pytest.approx(1e-4, rel=1e-12))
+    assert got[4] == (0, None)

@@ -46,7 +46,7 @@ def test_importances_are_named(parts, trained):
     transformed = fitted["tree"].transform(parts[0])
     names = features.slot_names(transformed)
     assert len(names) == fitted["tree"].stages[-1].numFeatures
-    assert "area_m2" in names
+    assert "area_m2_filled" in names and "area_m2_unknown" in names
     table = models.feature_importance(fitted["tree"], transformed).collect()
     assert len(table) <= 20 and table[0]["importance"] >= table[-1]["importance"]
     with pytest.raises(ValueError):
@@ -74,6 +74,23 @@ def test_scoring_of_bare_subjects(spark, trained):
     assert row["total_price_text"].endswith("VND")
 
 
+def test_unknown_numbers_are_filled_by_the_model(spark, data):
+    clean = views.clean(spark, data).withColumn("price_log", F.log1p(F.col("price_per_m2").cast("double"))).cache()
+    fitted = models.train_models(clean, features.LOG_FULL, {"tree": {"maxDepth": 4}})["tree"]
+    whole = scoring.score_batch(clean, fitted, features.LOG_FULL, ["listing_id"])
+    assert whole.count() == clean.count() and whole.filter("predicted_price_per_m2 is null").count() == 0
+    for other in (None, float("nan")):
+        changed = clean.withColumn("floor_num", F.when(F.col("floor_num") != -1, F.col("floor_num").cast("double")).otherwise(other))
+        assert scoring.score_batch(changed, fitted, features.LOG_FULL, ["listing_id"]).exceptAll(whole).count() == 0
+    medians = features.fit_features(clean, features.LOG_FULL).stages[0].getStatement()
+    known = sorted(r[0] for r in clean.filter("floor_num <> -1").select(F.col("floor_num").cast("double")).collect())
+    middle = (known[(len(known) - 1) // 2] + known[len(known) // 2]) / 2
+    assert f"THEN {middle!r}D ELSE CAST(`floor_num`" in medians
+    absent = scoring.score_batch(clean.drop("floor_num", "liability"), fitted, features.LOG_FULL, ["listing_id"])
+    assert absent.count() == clean.count()
+    clean.unpersist()
+
+
 def test_approximate_medians_give_the_same_frame_shape(spark, data):
     clean = views.clean(spark, data)
     near = cleaning.prepare_model_frame(clean, exact=False)

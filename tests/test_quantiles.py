@@ -58,3 +58,8 @@ def test_medians_leave_the_sentinel_out(frame):
 def test_infinite_and_missing_values(spark):
     df = spark.createDataFrame([(x,) for x in (1.0, 2.0, float("inf"), float("nan"), None, float("-inf"), 3.0)], "x float")
     assert quantiles.quantile_values(df, "x", {"low": 0.0, "mid": 0.5, "next": 0.25}) == {"low": float("-inf"), "mid": 2.0, "next": 1.0}
+
+
+def test_medians_keep_doubles(spark):
+    rows = spark.createDataFrame([(0.1, 1.0), (55.1, -1.0), (55.3, float("nan"))], "a double, b float")
+    assert quantiles.exact_medians(rows, ["a", "b"]) == {"a": 55.1, "b": 1.0}

@@ -26,9 +26,38 @@ def test_csv_round_trip(spark, tmp_path):
     path = str(tmp_path / "raw")
     sinks.write_table(_raw(spark), path, single_file=True)
     assert len(list((tmp_path / "raw").glob("*.csv"))) == 1
-    assert sorted(listings.read_listings(spark, path).collect()) == sorted(_raw(spark).collect())
+    assert sorted(listings.read_listings(spark, path, many_lines=True).collect()) == sorted(_raw(spark).collect())
     assert listings.read_storage(spark, path).columns == schemas.LISTINGS_RAW.names
-    assert dict(listings.read_inferred(spark, path).dtypes)["toilet_num"] == "int"
+    assert dict(listings.read_inferred(spark, path, many_lines=True).dtypes)["toilet_num"] == "int"
+
+
+def test_csv_columns_go_by_name(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text("title,extra,link\nT1,x,l1\n", encoding="utf-8")
+    row = listings.read_listings(spark, str(tmp_path / "in")).first()
+    assert (row["link"], row["title"], row["price"]) == ("l1", "T1", None)
+    (tmp_path / "in" / "b.csv").write_text("link,extra,title\nl2,x,T2\n", encoding="utf-8")
+    with pytest.raises(Exception, match="CSV header"):
+        listings.read_listings(spark, str(tmp_path / "in")).collect()
+
+
+def test_work_folders_are_released(spark):
+    from parcelframe import session
+
+    session.release(spark)
+    path = session.work_folder(spark, "test")
+    spark.range(3).write.parquet(path)
+    assert spark.read.parquet(path).count() == 3
+    assert session.release(spark) == 1
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+
+
+def test_small_test_parts(spark):
+    rows = spark.range(20_000).withColumnRenamed("id", "k")
+    train, test = ranking.train_test_split(rows, "k", 0.995)
+    assert 50 < test.count() < 150 and train.count() + test.count() == 20_000
+    assert ranking.sample_n(rows, "k", 7).count() == 7 and ranking.sample_n(rows.limit(3), "k", 7).count() == 3
 
 
 def test_csv_with_byte_order_mark(spark, tmp_path):
