@@ -8,7 +8,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from checks import catalog  # noqa: E402
-from parcelframe.session import build_session  # noqa: E402
+from parcelframe.session import build_session, release  # noqa: E402
 
 HEADLINE = (
     "scan_clean extract_page_fields extract_links clean_listings_a clean_listings_b prepare_model_frame impute_median "
@@ -16,7 +16,7 @@ HEADLINE = (
     "listing_details_join latest_status pending_links quick_stats price_summary avg_price_by_city avg_price_by_district "
     "median_price_by_city region_overview corr_matrix price_quantiles price_histogram price_kde price_boxplot_by_city "
     "monthly_price_trend area_price_points train_test_split string_index standardize regression_metrics train_linear "
-    "score_with_fallback stream_clean stream_price_trend"
+    "score_with_fallback stream_clean stream_price_trend train_tree score_batch extract_listing_fields extract_details"
 ).split()
 
 
@@ -36,7 +36,9 @@ def main() -> None:
     def run(name: str) -> float:
         started = time.perf_counter()
         catalog.QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
-        return round(time.perf_counter() - started, 3)
+        seconds = round(time.perf_counter() - started, 3)
+        release(spark)
+        return seconds
 
     run("avg_price_by_city")  # start-up and class loading are not a query
     chosen = sys.argv[1:] or HEADLINE
