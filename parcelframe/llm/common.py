@@ -68,6 +68,20 @@ def _struct(ddl: str) -> pa.StructType:
     return pa.struct([pa.field(name, _ARROW[kind]) for name, kind in (part.split() for part in ddl.split(","))])
 
 
+_OWN: dict[str, object] = {}
+
+
+def worker_own(key: str, make: Callable[[], object]):
+    """What a Python worker makes once for the tasks of one operator call; the next call's takes its place.
+
+    So a worker that lives through many calls holds the tables of one of them only.
+    """
+    if key not in _OWN:
+        _OWN.clear()
+        _OWN[key] = make()
+    return _OWN[key]
+
+
 class Memo(dict):
     """A dictionary that computes what it lacks and forgets everything once it is full.
 

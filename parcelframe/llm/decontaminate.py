@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelframe.llm.common import Memo, map_arrow, pick
+from parcelframe.llm.common import Memo, map_arrow, pick, worker_own
 from parcelframe.session import stored
 
 WORDS = 5
@@ -110,7 +110,7 @@ def _windows(id_name: str, bitmap=None):
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        template = _TEMPLATES.setdefault("own", Template())
+        template = worker_own("template", Template)
         bits = bitmap.value if bitmap is not None else None
         for big in batches:
             for k in range(0, big.num_rows, 256):
@@ -144,9 +144,6 @@ def _windows(id_name: str, bitmap=None):
     return run
 
 
-_TEMPLATES: dict[str, Template] = {}
-
-
 def windows(texts: DataFrame, id_name: str, bitmap=None) -> DataFrame:
     rows = texts.filter("id is not null and text is not null")
     return map_arrow(rows, _windows(id_name, bitmap), f"{id_name} long, hash long, at int, slots array<long>, of int")

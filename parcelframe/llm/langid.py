@@ -6,14 +6,14 @@ import math
 import uuid
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelframe.llm.common import Memo, bounded_sample, map_arrow, pick, text_udf
+from parcelframe.llm.common import Memo, bounded_sample, map_arrow, pick, text_udf, worker_own
 
 WORDS = regex.compile(r"[^\W\d_]+")
 LONGEST = 4
@@ -129,19 +129,12 @@ def train(
     return LanguageModel(langs, totals, terms)
 
 
-_MODELS: dict[str, LanguageModel] = {}
-
-
 def language_columns(spark, model: LanguageModel, text):
     """A struct column (lang_pred, score) for a text column; ``und`` with score 0 for null or letterless text."""
     shared, key = spark.sparkContext.broadcast(model), str(uuid.uuid4())
 
     def predict(value):
-        own = _MODELS.get(key)
-        if own is None:
-            _MODELS.clear()
-            own = _MODELS[key] = shared.value
-        return own(value)
+        return worker_own(key, lambda: replace(shared.value, _memo=None))(value)
 
     return text_udf(predict, "lang_pred string, score double")(text)
 

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from parcelframe.llm.common import map_arrow, pick
+from parcelframe.llm.common import map_arrow, pick, worker_own
 from parcelframe.session import stored
 
 #: The vocabulary's split pattern.
@@ -40,7 +40,7 @@ class WordEncoder:
     forgetting changes the time only.
     """
 
-    def __init__(self, vocabulary: str, room: int = 1_300_000):
+    def __init__(self, vocabulary: str, room: int = 900_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.library = Tokenizer.from_str(vocabulary)
         names = self.library.get_vocab(with_added_tokens=True)
@@ -101,9 +101,6 @@ class WordEncoder:
             yield np.frombuffer(self.whole(text), "<u4") if odd[i] else all_ids[bounds[i] : bounds[i + 1]]
 
 
-_ENCODERS: dict[str, WordEncoder] = {}
-
-
 def pieces(
     docs: DataFrame, vocabulary: str, *, capacity: int = 4096, end: int = 1, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -116,10 +113,7 @@ def pieces(
     key, tail = str(uuid.uuid4()), np.array([end], "<u4")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if key not in _ENCODERS:
-            _ENCODERS.clear()
-            _ENCODERS[key] = WordEncoder(shared.value)
-        encode = _ENCODERS[key]
+        encode = worker_own(key, lambda: WordEncoder(shared.value))
         for big in batches:
             for k in range(0, big.num_rows, 1024):
                 batch = big.slice(k, 1024)

@@ -8,14 +8,14 @@ from __future__ import annotations
 
 import math
 import uuid
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parcelframe.llm.common import bounded_sample, pick, text_udf
+from parcelframe.llm.common import bounded_sample, pick, text_udf, worker_own
 
 
 @dataclass
@@ -138,21 +138,11 @@ def train(
         texts.unpersist()
 
 
-_MODELS: dict[str, CompressionModel] = {}
-
-
 def _on_worker(spark, model: CompressionModel):
     """A function that gives a worker's own copy of the model, with its compressors set up once."""
     shared, key = spark.sparkContext.broadcast(model), str(uuid.uuid4())
 
-    def own() -> CompressionModel:
-        if key not in _MODELS:
-            if len(_MODELS) > 3:
-                _MODELS.clear()
-            _MODELS[key] = shared.value
-        return _MODELS[key]
-
-    return own
+    return lambda: worker_own(key, lambda: replace(shared.value, _tools=None))
 
 
 def feature_column(spark, model: CompressionModel, text: Column) -> Column:

@@ -10,7 +10,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelframe.llm.common import Memo, pick, text_udf
+from parcelframe.llm.common import Memo, pick, text_udf, worker_own
 
 #: The split pattern of the byte-level vocabularies.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -95,9 +95,6 @@ class MergeCounter:
         return self.unit(first) + sum([units[" " + u] for u in rest])
 
 
-_COUNTERS: dict[str, MergeCounter] = {}
-
-
 def count_tokens(
     docs: DataFrame, vocabulary: str, *, limit: int = 1024, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -113,11 +110,7 @@ def count_tokens(
     key = str(uuid.uuid4())
 
     def count(text):
-        counter = _COUNTERS.get(key)
-        if counter is None:
-            _COUNTERS.clear()
-            counter = _COUNTERS[key] = MergeCounter(shared.value)
-        return (counter(text),)
+        return (worker_own(key, lambda: MergeCounter(shared.value))(text),)
 
     text = F.coalesce(F.col("text"), F.lit(""))
     counted = pick(docs, doc_id=id_col, text=text_col).select(
