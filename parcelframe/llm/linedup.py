@@ -189,7 +189,8 @@ def remove_shared(docs: DataFrame, *, least: int = 25, id_col: str = "doc_id", t
     found = stored(shared_lines(docs, least=least, id_col=id_col, text_col=text_col), "deletions")
     found = found.select(F.col("doc_id").alias("__own_id"), F.col("seal").alias("__own_seal"), F.col("lines").alias("__lines"))
     text, doc = F.col(f"`{text_col}`"), F.col(f"`{id_col}`")
-    joined = docs.join(found, (doc.cast("long") == F.col("__own_id")) & (F.xxhash64(text) == F.col("__own_seal")), "left")
+    # By sorting at every size: a plan that broadcasts few deletions and shuffles texts for many is hard to foresee.
+    joined = docs.join(found.hint("merge"), (doc.cast("long") == F.col("__own_id")) & (F.xxhash64(text) == F.col("__own_seal")), "left")
     kept = F.array_join(F.filter(F.split(text, "\n", -1), lambda _, i: ~F.array_contains(F.col("__lines"), i)), "\n")
     cut = joined.withColumn(text_col, F.when(F.col("__lines").isNull(), text).otherwise(kept))
     if lines_col:
