@@ -7,8 +7,10 @@ Spark itself holds. Archives lie in a folder that all executors share, and are r
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import uuid
+import zlib
 from collections.abc import Iterator
 from urllib.parse import quote
 
@@ -82,17 +84,17 @@ def chunked(pages: DataFrame, least: int = 0, chunk: int = CHUNK) -> DataFrame:
     return rows.select("page_id", "url", "size", "sha1", "owner", "revisit", "record", "number", "last", data.alias("data"))
 
 
-def write_archives(chunks: DataFrame, folder: str, largest: int = 256 << 20) -> DataFrame:
+def write_archives(chunks: DataFrame, folder: str, largest: int = 256 << 20, level: int = 6) -> DataFrame:
     """Writes archives into ``folder`` and returns their stored list (path, records, bytes).
 
-    A task starts a new archive once one has ``largest`` bytes. Names are unique for each attempt and the list holds
+    Each record is a gzip member of its own, as readers of such archives expect, packed chunk by chunk. A task starts a new archive once one has ``largest`` bytes. Names are unique for each attempt and the list holds
     those of finished tasks only, so archives of lost or repeated attempts are never read.
     """
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, root = fs.FileSystem.from_uri(folder)
         system.create_dir(root, recursive=True)
-        name, out, records, size, done = "", None, 0, 0, []
+        name, out, records, size, done, packer = "", None, 0, 0, [], None
         for batch in batches:
             for row in _rows(batch):
                 if not row["number"]:
@@ -101,13 +103,14 @@ def write_archives(chunks: DataFrame, folder: str, largest: int = 256 << 20) ->
                         done.append((name, records, size))
                         out = None
                     if not out:
-                        name, records, size = f"{uuid.uuid4().hex}.warc", 0, 0
-                        out = system.open_output_stream(f"{root}/{name}")
-                    size += out.write(_head(row))
+                        name, records, size = f"{uuid.uuid4().hex}.warc.gz", 0, 0
+                        out = system.open_output_stream(f"{root}/{name}", compression=None)
+                    packer = zlib.compressobj(level, wbits=31)
+                    size += out.write(packer.compress(_head(row)))
                     records += 1
-                size += out.write(row["data"])
+                size += out.write(packer.compress(row["data"]))
                 if row["number"] == row["last"]:
-                    size += out.write(NEXT * 2)
+                    size += out.write(packer.compress(NEXT * 2) + packer.flush())
         if out:
             out.close()
             done.append((name, records, size))
@@ -186,7 +189,7 @@ def read_archives(archives: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """
 
     def records(path: str, system, place: str) -> Iterator[dict]:
-        with system.open_input_stream(place) as file:
+        with system.open_input_stream(place, compression=None) as packed, gzip.GzipFile(fileobj=packed) as file:
             stream = _Stream(file)
             while (first := stream.line()) is not None:
                 if not first.startswith(b"WARC/"):
