@@ -51,7 +51,21 @@ def _(spark, folder):
     return langid.identify(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
-@query("op5_chat_round_trip")
+# The template's marks add 20 code points to a turn; a text with a mark or an escape sign that would be read as one has one more
+# for each of them.
+_CHAT_SQL = r"""WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]')
+SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+    CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+    CAST(sum(20 + length(role) + length(text) + CASE WHEN regexp_matches(text, '</?s>|\[/?INST\]|\\\\|\\$')
+        THEN len(regexp_extract_all(text, '\\|</?s>|\[/?INST\]')) ELSE 0 END) AS BIGINT) AS formatted_chars
+FROM turns GROUP BY conv_id"""
+
+
+@query("op5_chat_round_trip", _CHAT_SQL)
 def _(spark, folder):
     turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     says = "</s>[INST] ok [/INST]"
@@ -64,7 +78,20 @@ def _(spark, folder):
     return packing.pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), capacity=4096, end=1)
 
 
-@query("op10_warc_round_trip")
+# Base 32 spelled out: four bits for each hexadecimal digit of the digest, a letter for each five of them.
+_WARC_SQL = """WITH hashed AS (
+    SELECT page_id, coalesce(html, '') AS body, CAST(strlen(coalesce(html, '')) AS BIGINT) AS size, sha1(coalesce(html, '')) AS hex FROM pages),
+owned AS (SELECT *, max(page_id) OVER (PARTITION BY body) AS owner FROM hashed),
+bits AS (SELECT *, array_to_string(list_transform(range(1, 41), lambda k:
+    lpad(bin(strpos('0123456789abcdef', substr(hex, k, 1)) - 1), 4, '0')), '') AS b FROM owned)
+SELECT page_id, size AS payload_bytes, array_to_string(list_transform(range(0, 32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + 16 * substr(b, 5 * k + 1, 1)::INT + 8 * substr(b, 5 * k + 2, 1)::INT + 4 * substr(b, 5 * k + 3, 1)::INT
+    + 2 * substr(b, 5 * k + 4, 1)::INT + substr(b, 5 * k + 5, 1)::INT, 1)), '') AS payload_digest,
+    CASE WHEN owner IS NULL OR page_id = owner THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id <> owner THEN owner END AS refers_to FROM bits"""
+
+
+@query("op10_warc_round_trip", _WARC_SQL)
 def _(spark, folder):
     return warc.archived_records(warc.archive_pages(table(spark, folder, "pages"), least=0))
 
