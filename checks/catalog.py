@@ -1161,9 +1161,9 @@ def _(spark, d):
 def _(spark, d):
     train, test = _parts(spark, d)
     best, _all, metrics = models.train_and_choose(train, test, features.LOG_FULL)
-    top = metrics.filter("metric = 'R2'").agg(F.max_by("model", "value").alias("top"))
+    top = metrics.filter("metric = 'R2'").agg(F.max_by("model", "value")).first()[0]
     by_model = _sound(metrics).groupBy("model").agg(F.count("*").alias("metrics"), F.bool_and("sound").alias("sound"))
-    return by_model.join(top.select((F.col("top") == best).alias("agrees")), F.lit(True))
+    return by_model.withColumn("agrees", F.lit(top == best))
 
 
 # Predictions that need no model: the label, shifted by the listing's key.
