@@ -5,6 +5,7 @@ from __future__ import annotations
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 import xxhash
@@ -92,10 +93,11 @@ def _numbered(lines: list) -> list:
 
 
 def common_blocks(earlier: list[int], later: list[int], words: list[int], least: int) -> set[int]:
-    """Places in ``later`` of aligned blocks of ``least`` words or more.
+    """Places in ``later`` of blocks of ``least`` words or more that ``earlier`` has as well.
 
     The alignment is repeated on what is left, so moved and repeated passages are found as well; a line without a
-    unique partner is told apart by its occurrence. Blocks are adjacent in both documents.
+    unique partner is told apart by its occurrence. Blocks are adjacent in both documents. An alignment may choose
+    short lines that cross a passage; the passages it never reaches are looked up as runs of ``earlier``.
     """
     gone: set[int] = set()
     while True:
@@ -114,10 +116,54 @@ def common_blocks(earlier: list[int], later: list[int], words: list[int], least:
             if new:
                 break
         if not new:
-            return gone
+            return gone if len(gone) == len(later) else gone | _shared_runs(earlier, later, words, least)
         gone |= new
 
 
+def _shared_runs(earlier: list[int], later: list[int], words: list[int], least: int) -> set[int]:
+    """Places in ``later`` of every run of ``least`` words or more that stands in ``earlier``, whatever crosses it.
+
+    A suffix automaton of ``earlier`` gives the longest common run that ends at each place, in linear time.
+    """
+    follow: list[dict[int, int]] = [{}]
+    link, long = [-1], [0]
+    last = 0
+    for x in earlier:
+        state, new = last, len(follow)
+        follow.append({})
+        long.append(long[last] + 1)
+        link.append(0)
+        while state >= 0 and x not in follow[state]:
+            follow[state][x] = new
+            state = link[state]
+        if state >= 0:
+            other = follow[state][x]
+            if long[other] != long[state] + 1:
+                copy = len(follow)
+                follow.append(dict(follow[other]))
+                long.append(long[state] + 1)
+                link.append(link[other])
+                link[other] = copy
+                while state >= 0 and follow[state].get(x) == other:
+                    follow[state][x] = copy
+                    state = link[state]
+                other = copy
+            link[new] = other
+        last = new
+    before = [0, *accumulate(words)]
+    found: set[int] = set()
+    state = length = 0
+    for j, x in enumerate(later):
+        while state and x not in follow[state]:
+            state = link[state]
+            length = long[state]
+        if x in follow[state]:
+            state, length = follow[state][x], length + 1
+        if length and before[j + 1] - before[j + 1 - length] >= least:
+            found.update(range(j + 1 - length, j + 1))
+    return found
+
+
 _LINES = pa.schema([("doc_id", pa.int64()), ("seal", pa.int64()), ("hashes", pa.list_(pa.int64())), ("words", pa.list_(pa.int32())), ("numbers", pa.list_(pa.int32())), ("anchors", pa.list_(pa.int64()))])
 
 

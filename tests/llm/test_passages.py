@@ -46,6 +46,27 @@ def test_moved_and_repeated_blocks_are_found():
     assert linedup.common_blocks(list("xabc"), list("abcyabc"), [1] * 7, 3) == {0, 1, 2, 4, 5, 6}
 
 
+def test_passages_crossed_by_short_lines_are_found():
+    assert linedup.common_blocks(["p", "h"], ["h", "p"], [2, 60], 25) == {1}
+    crossed = linedup.common_blocks(list("abcuvwxyz"), list("uvwxyzabc"), [2] * 6 + [10] * 3, 25)
+    assert crossed == {6, 7, 8}
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.integers(0, 5), max_size=14), st.lists(st.tuples(st.integers(0, 5), st.integers(1, 3)), max_size=14), st.integers(1, 6))
+def test_every_common_run_with_enough_words_is_deleted(a, pairs, least):
+    b, words = [x for x, _ in pairs], [n for _, n in pairs]
+    want = set()
+    for i in range(len(a)):
+        for j in range(len(b)):
+            n = 0
+            while i + n < len(a) and j + n < len(b) and a[i + n] == b[j + n]:
+                n += 1
+            if sum(words[j : j + n]) >= least:
+                want.update(range(j, j + n))
+    assert linedup.common_blocks(a, b, words, least) == want
+
+
 def test_shared_passages_go_from_later_documents_and_nothing_else(spark):
     passage, short = lines_of(1, 8), lines_of(2, 1)
     docs = {k: lines_of(10 + k, 6) for k in range(40)}
