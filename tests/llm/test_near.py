@@ -7,7 +7,8 @@ import numpy as np
 import pytest
 import xxhash
 
-from parcelframe.llm import simhash
+import corpus_pipeline
+from parcelframe.llm import minhash, simhash
 from parcelframe.llm.components import components
 from tests.llm.helpers import awkward, frame, prose
 
@@ -107,3 +108,43 @@ def test_one_document_of_each_group_stays(spark):
     assert kept.columns == frame(spark, []).columns
     assert ids[None] == 2 and ids[5] == 2 and ids[20] == 1
     assert not {21, 22, 2, 3} & set(ids) and ids[1] == 1
+
+
+def test_stage_links_exactly_the_similar_documents(spark, data):
+    rng = np.random.default_rng(3)
+    docs = texts()
+    for k, edits in enumerate([1, 2, 3, 3, 4, 4, 5, 6, 8, 12] * 3):
+        words = prose(200 + k, 200).split(" ")
+        docs.append((1000 + 2 * k, " ".join(words)))
+        for at in rng.choice(len(words), edits, replace=False):
+            words[at] = "edited"
+        docs.append((1001 + 2 * k, " ".join(words)))
+
+    def shingled(text):
+        words = (text or "").encode().lower().split()
+        return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+    sets = [(k, shingled(t)) for k, t in docs if k is not None]
+    near = [(i, j) for i, (_, a) in enumerate(sets) for j, (_, b) in enumerate(sets[:i]) if len(a & b) >= 0.8 * len(a | b)]
+    root = union(range(len(sets)), near)
+    low = {}
+    for i, (k, _) in enumerate(sets):
+        low[root[i]] = min(k, low.get(root[i], k))
+    first = {}
+    for i, (k, _) in enumerate(sets):
+        first[k] = min(low[root[i]], first.get(k, k))
+    kept = Counter(r.doc_id for r in corpus_pipeline.near_duplicates(spark, frame(spark, docs), data).collect())
+    assert kept == Counter(k for k, _ in docs if k is None or first[k] == k)
+    assert len([k for k in kept if k and k >= 1000]) < 60
+
+
+def test_members_of_one_bucket_are_linked_whatever_leads(spark):
+    base = prose(5, 300).split(" ")
+    rows = [(k, " ".join([*(f"w{k}x{i}" for i in range(4 * k)), *base[4 * k :]])) for k in range(40)]
+    docs = frame(spark, rows).selectExpr("doc_id", "text", "xxhash64(text) as seal")
+    seals = {r.doc_id: r.seal for r in docs.collect()}
+    sets = {k: set(minhash.shingles(t).tolist()) for k, t in rows}
+    near = [(seals[a], seals[b]) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    buckets = docs.selectExpr("7L as key", "seal")
+    got = [tuple(r) for r in minhash.similar_edges(docs, buckets, least=0.8, size=5).collect()]
+    assert near and union(seals.values(), got) == union(seals.values(), near)
