@@ -28,6 +28,8 @@ UNITS = frozenset(
 )
 _NUMBER = re.compile(r"[+-]?\d+(?:[.,:/]\d+)*\Z")
 _GLUED = re.compile(r"(?<=\d)(?=[^\W\d_]|[%°€$£¥])|(?<=[€$£¥])(?=\d)")
+#: Scripts written without blanks: each character counts as a word.
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
 _DIGIT = re.compile(r"\d")
 _EDGES = "\"'`.,;:!?()[]{}<>*#&|~_«»“”‘’…-–—"
 PLAIN, CAPITAL, NUMBER, UNIT, EMPTY = 0, 1, 2, 3, 4
@@ -43,19 +45,20 @@ def _hash(text: str) -> int:
 _PLACE = np.array([0, _hash("<name>"), _hash("<number>"), _hash("<unit>")], _U)
 
 
-def token(word: str) -> tuple[int, int, bool]:
-    """(hash of the bare lower-case word, its kind, whether a sentence ends after it)."""
+def token(word: str) -> tuple[int, int, bool, bool, bool]:
+    """(hash of the bare lower-case word, its kind, whether a sentence ends after it, whether a mark is before, after it)."""
     bare = word.strip(_EDGES)
     ends = word.rstrip("\"')]}»”’")[-1:] in (".", "!", "?", ":")
     if not bare:
         kind = UNIT if word in UNITS else EMPTY
-        return _hash(word), kind, ends
+        return _hash(word), kind, ends, True, True
     low = bare.lower()
+    marks = word[0] != bare[0], word[-1] != bare[-1]
     if _NUMBER.match(bare):
-        return _hash(low), NUMBER, ends
+        return _hash(low), NUMBER, ends, *marks
     if low in UNITS and (low == bare or not bare[0].isupper()):
-        return _hash(low), UNIT, ends
-    return _hash(low), CAPITAL if bare[0].isupper() else PLAIN, ends
+        return _hash(low), UNIT, ends, *marks
+    return _hash(low), CAPITAL if bare[0].isupper() else PLAIN, ends, *marks
 
 
 class Template:
@@ -64,49 +67,63 @@ class Template:
     def __init__(self, room: int = 400_000):
         self.memo = Memo(token, room)
 
-    def __call__(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(window hashes, raw word hashes, slot kinds): a window of hash 0 says too little to be looked for.
+    def words(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(raw word hashes, kinds, whether a mark parts the word from the one before); words without letters or digits are left out.
 
-        A capitalised word is a name unless a sentence begins with it. Words without letters or digits are left out.
-        A window needs at least two plain words.
+        A capitalised word is a name unless a sentence begins with it.
         """
         if _DIGIT.search(text):
             text = _GLUED.sub(" ", text)
+        if not text.isascii() and _UNSPACED.search(text):
+            text = _UNSPACED.sub(r" \g<0> ", text)
         memo = self.memo
         found = [memo[w] for w in text.split()]
         if not found:
-            return np.empty(0, _U), np.empty(0, _U), np.empty(0, np.int8)
+            return np.empty(0, _U), np.empty(0, np.int8), np.empty(0, bool)
         raw = np.array([x[0] for x in found], _U)
         kind = np.array([x[1] for x in found], np.int8)
         ends = np.array([x[2] for x in found], bool)
         begins = np.r_[True, ends[:-1]]
+        apart = np.array([x[3] for x in found], bool) | np.r_[True, np.array([x[4] for x in found], bool)[:-1]]
         solid = kind != EMPTY
         # What ends a sentence may be a mark of its own before the word.
-        raw, kind, begins = raw[solid], kind[solid], begins[solid]
-        kind = np.where((kind == CAPITAL) & begins, PLAIN, kind)
-        code = np.where(kind == PLAIN, raw, _PLACE[kind])
-        n = len(code) - WORDS + 1
-        if n < 1:
-            return np.empty(0, _U), raw, kind
-        with np.errstate(over="ignore"):
-            window = np.zeros(n, _U)
-            for k in range(WORDS):
-                x = code[k : k + n] * _FACTORS[k]
-                window = (window ^ (x ^ (x >> _U(29)))) * _U(0xBF58476D1CE4E5B9)
-            window ^= window >> _U(32)
-        plain = np.cumsum(np.r_[0, kind == PLAIN])
-        window[plain[WORDS:] - plain[:-WORDS] < 2] = 0
+        raw, kind, begins, apart = raw[solid], kind[solid], begins[solid], apart[solid]
+        return raw, np.where((kind == CAPITAL) & begins, PLAIN, kind), apart
+
+    def __call__(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(window hashes, raw word hashes, slot kinds) of the template."""
+        return self.template(*self.words(text))
+
+    def template(self, raw: np.ndarray, kind: np.ndarray, apart: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """A window with fewer than two plain words says too little without its values, so they enter its hash.
+        """
+        window = _rolled(np.where(kind == PLAIN, raw, _PLACE[kind]), WORDS, 0)
+        if len(window):
+            plain = np.cumsum(np.r_[0, kind == PLAIN])
+            window = np.where(plain[WORDS:] - plain[:-WORDS] < 2, _rolled(raw, WORDS, WORDS + 1), window)
         return window, raw, kind
 
 
+def _rolled(code: np.ndarray, size: int, salt: int) -> np.ndarray:
+    """A hash for each window of ``size`` codes."""
+    n = max(0, len(code) - size + 1)
+    window = np.full(n, salt, _U)
+    for k in range(size):
+        x = code[k : k + n] * _FACTORS[k]
+        window = (window ^ (x ^ (x >> _U(29)))) * _U(0xBF58476D1CE4E5B9)
+    return window ^ (window >> _U(32))
+
+
 def _signed(values: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(values).view(np.int64)
 
 
-def _windows(id_name: str, bitmap=None):
-    """Rows (id, hash, at, slots, of): one per window, those that cannot meet left out if a bitmap is given.
+def _windows(id_name: str, bitmap=None, sizes: tuple[int, ...] | None = None):
+    """Rows (id, path, hash, at, slots, of): one per window, those that cannot meet left out if a bitmap is given.
 
-    ``slots`` has the raw hash of each slot of the window and 0 for plain words; ``of`` counts the text's windows.
+    Path 0 is the template: ``slots`` has the raw hash of each slot of the window and 0 for plain words. Path n stands for
+    windows of n raw lower-case words, without slots: n is in ``sizes``, or without them WORDS or the words of a shorter text.
+    ``of`` counts the text's windows on the path.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -115,38 +132,47 @@ def _windows(id_name: str, bitmap=None):
         for big in batches:
             for k in range(0, big.num_rows, 256):
                 batch = big.slice(k, 256)
-                ids, hashes, ats, slots, ofs = [], [], [], [], []
+                ids, paths, hashes, ats, slots, ofs = [], [], [], [], [], []
                 for doc, text in zip(batch["id"].to_pylist(), batch["text"].to_pylist(), strict=True):
-                    window, raw, kind = template(text)
-                    good = window != 0
-                    if bits is not None:
-                        good &= (bits[(window >> _U(64 - BITS + 3)).astype(np.int64)] >> ((window >> _U(64 - BITS)) & _U(7)).astype(np.uint8)) & 1 == 1
-                    at = np.flatnonzero(good)
-                    if len(at):
-                        slot = np.where(kind == PLAIN, _U(0), raw)
-                        hashes.append(_signed(window[at]))
-                        ats.append(at.astype(np.int32))
-                        slots.append(_signed(slot[at[:, None] + np.arange(WORDS)]).reshape(-1))
-                        ids += [doc] * len(at)
-                        ofs.append(np.full(len(at), int((window != 0).sum()), np.int32))
+                    words, *rest = template.words(text)
+                    if not len(words):
+                        continue
+                    window, raw, kind = template.template(words, *rest)
+                    own = sizes if sizes is not None else (min(WORDS, len(words)),)
+                    for path, window in [(0, window), *((n, _rolled(words, n, n)) for n in own)]:
+                        good = np.ones(len(window), bool)
+                        if bits is not None:
+                            good = (bits[(window >> _U(64 - BITS + 3)).astype(np.int64)] >> ((window >> _U(64 - BITS)) & _U(7)).astype(np.uint8)) & 1 == 1
+                        at = np.flatnonzero(good)
+                        if len(at):
+                            hashes.append(_signed(window[at]))
+                            ats.append(at.astype(np.int32))
+                            if path:
+                                slots.append(np.zeros(WORDS * len(at), np.int64))
+                            else:
+                                slots.append(_signed(np.where(kind == PLAIN, _U(0), raw)[at[:, None] + np.arange(WORDS)]).reshape(-1))
+                            ids += [doc] * len(at)
+                            paths += [path] * len(at)
+                            ofs.append(np.full(len(at), len(window), np.int32))
                 if ids:
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(ids, pa.int64()),
+                            pa.array(paths, pa.int32()),
                             pa.array(np.concatenate(hashes)),
                             pa.array(np.concatenate(ats)),
                             pa.ListArray.from_arrays(pa.array(np.arange(0, WORDS * len(ids) + 1, WORDS, dtype=np.int32)), pa.array(np.concatenate(slots))),
                             pa.array(np.concatenate(ofs)),
                         ],
-                        names=[id_name, "hash", "at", "slots", "of"],
+                        names=[id_name, "path", "hash", "at", "slots", "of"],
                     )
 
     return run
 
 
-def windows(texts: DataFrame, id_name: str, bitmap=None) -> DataFrame:
+def windows(texts: DataFrame, id_name: str, bitmap=None, sizes: tuple[int, ...] | None = None) -> DataFrame:
     rows = texts.filter("id is not null and text is not null")
-    return map_arrow(rows, _windows(id_name, bitmap), f"{id_name} long, hash long, at int, slots array<long>, of int")
+    return map_arrow(rows, _windows(id_name, bitmap, sizes), f"{id_name} long, path int, hash long, at int, slots array<long>, of int")
 
 
 def find_leaks(
@@ -157,8 +183,10 @@ def find_leaks(
 
     An item is found if ``least`` or more of its template windows occur together in the document and, for the windows
     that meet there, ``least`` or more of its slot values are replaced by one value each. ``kind`` is "exact" if all
-    matched slots keep their values (or there are none), else "changed"; of several copies the most alike counts. Items with fewer than five
-    words, or without a window of two plain words, are never found. Null ids and texts take no part. Repeated rows
+    matched slots keep their values (or there are none), else "changed"; of several copies the most alike counts.
+    Beside the template, windows of five raw words are compared without regard to case, so copies in other capitals and
+    items in capitals are found too; an item of fewer words is found as a whole. In scripts without blanks each
+    character is a word. Only items without any letter, digit or unit are never found. Null ids and texts take no part. Repeated rows
     of a document count as one document of that id, and likewise for items.
     """
     spark = docs.sparkSession
@@ -172,12 +200,13 @@ def find_leaks(
         bits[row["byte"]] = row["bits"]
     bitmap = spark.sparkContext.broadcast(bits)
     texts = pick(docs, id=id_col, text=text_col).withColumn("id", F.col("id").cast("long"))
-    seen = windows(texts, "doc_id", bitmap)
-    own = known.select("item_id", "hash", F.col("at").alias("item_at"), F.col("slots").alias("item_slots"), F.col("of").alias("windows"))
+    sizes = tuple(sorted(r["path"] for r in known.filter("path > 0").select("path").distinct().collect()))
+    seen = windows(texts, "doc_id", bitmap, sizes)
+    own = known.select("item_id", "path", "hash", F.col("at").alias("item_at"), F.col("slots").alias("item_slots"), F.col("of").alias("windows"))
     met = stored(seen.select("doc_id", "hash", "at", "slots").join(own, "hash").drop("hash"), "met-windows")
-    counted = met.groupBy("doc_id", "item_id").agg(F.count_distinct("item_at").alias("n"), F.max("windows").alias("of"))
-    near = counted.filter(F.col("n") >= F.lit(least) * F.col("of")).select("doc_id", "item_id")
-    found = _aligned(met.join(near, ["doc_id", "item_id"], "left_semi"))
+    counted = met.groupBy("doc_id", "item_id", "path").agg(F.count_distinct("item_at").alias("n"), F.max("windows").alias("of"))
+    near = counted.filter(F.col("n") >= F.lit(least) * F.col("of")).select("doc_id", "item_id", "path")
+    found = _aligned(met.join(near, ["doc_id", "item_id", "path"], "left_semi"))
     found = found.filter((F.col("share") >= least) & (F.col("consistency") >= least))
     best = found.groupBy("doc_id", "item_id").agg(F.max(F.struct("kept", "consistency", "share", "matched", "windows")).alias("best"))
     kind = F.when(F.col("best.kept"), "exact").otherwise("changed").alias("kind")
@@ -192,7 +221,7 @@ def _aligned(met: DataFrame) -> DataFrame:
     than half a stretch, and not those of two copies. In a stretch the diagonal with most windows leads; those near
     it belong to the copy, one for each place of the item.
     """
-    place = ["doc_id", "item_id", "grid", "stretch"]
+    place = ["doc_id", "item_id", "path", "grid", "stretch"]
     long = F.greatest(F.lit(8), F.col("windows"))
     rows = met.withColumn("diagonal", F.col("at") - F.col("item_at")).withColumn("grid", F.explode(F.array(F.lit(0), F.lit(1))))
     rows = rows.withColumn("stretch", F.floor((F.col("diagonal") + F.col("grid") * long / 2) / long))
@@ -210,7 +239,9 @@ def _aligned(met: DataFrame) -> DataFrame:
     values = values.groupBy(*place).agg(F.avg(F.col("one").cast("double")).alias("consistency"), F.bool_and("same").alias("kept"))
     told = copies.join(values, place, "left")
     share = F.col("matched") / F.col("windows")
-    return told.select("doc_id", "item_id", "matched", "windows", share.alias("share"), F.coalesce("consistency", F.lit(1.0)).alias("consistency"), F.coalesce("kept", F.lit(True)).alias("kept"))
+    # Raw windows that meet say nothing of the values in those that do not.
+    kept = F.coalesce("kept", F.lit(True)) & ((F.col("path") == 0) | (share == 1))
+    return told.select("doc_id", "item_id", "matched", "windows", share.alias("share"), F.coalesce("consistency", F.lit(1.0)).alias("consistency"), kept.alias("kept"))
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, *, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -141,6 +141,23 @@ def test_exact_and_changed_questions_are_found_and_clean_ones_not(spark):
     assert got[7, 1].consistency == pytest.approx(6 / 7, abs=0.05) and got[2, 1].consistency == 1
 
 
+def test_items_without_plain_words_and_copies_in_other_capitals_are_found(spark):
+    title = "The Old Man And The Sea By Ernest Hemingway Of Oak Park"
+    solid = "東京から大阪まで電車で何時間かかりますか"
+    texts = {1: QUESTION, 2: title.upper(), 3: "1 22 333 4444 55555 666666 7777777", 4: "Quo vadis", 5: solid}
+    items = spark.createDataFrame(list(texts.items()), "item_id long, text string")
+    docs = [(k, prose(k, 60) + " " + t + " " + prose(k + 50, 60)) for k, t in texts.items()]
+    docs += [(10 + k, prose(k, 60) + ". " + t.swapcase() + ". " + prose(k + 50, 60)) for k, t in texts.items()] + [(20, f"これは{solid}という文です"), (21, prose(9, 200))]
+    got = {(r.doc_id, r.item_id, r.kind, r.share) for r in decontaminate.find_leaks(frame(spark, docs), items).collect()}
+    assert got == {(d, k, "exact", 1) for k in texts for d in (k, 10 + k)} | {(20, 5, "exact", 1)}
+
+
+def test_one_window_of_a_long_item_is_no_leak(spark):
+    item = "Alice Bob, Carol Dave, Erin Frank, Grace Heidi, Ivan Judy, Kim Leo, Mia Ned went to the market"
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    assert decontaminate.find_leaks(frame(spark, [(1, "Then Zoe went to the market")]), items).count() == 0
+
+
 def test_inconsistent_replacement_is_no_leak(spark):
     item = "The sum of 5 and 5 and 6 and 6 is then taken from the value of 5 plus 6 in the end of it"
     mixed = "The sum of 1 and 2 and 3 and 4 is then taken from the value of 8 plus 9 in the end of it"
