@@ -33,6 +33,7 @@ _UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3
 _DIGIT = re.compile(r"\d")
 _EDGES = "\"'`.,;:!?()[]{}<>*#&|~_«»“”‘’…-–—"
 PLAIN, CAPITAL, NUMBER, UNIT, EMPTY = 0, 1, 2, 3, 4
+ENDS, BEFORE, AFTER = 8, 16, 32
 _U = np.uint64
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], _U)
 BITS = 23
@@ -45,20 +46,33 @@ def _hash(text: str) -> int:
 _PLACE = np.array([0, _hash("<name>"), _hash("<number>"), _hash("<unit>")], _U)
 
 
-def token(word: str) -> tuple[int, int, bool, bool, bool]:
-    """(hash of the bare lower-case word, its kind, whether a sentence ends after it, whether a mark is before, after it)."""
+def token(word: str) -> tuple[int, int]:
+    """(hash of the bare lower-case word, its kind and whether a sentence ends after it or a mark is before or after it)."""
     bare = word.strip(_EDGES)
-    ends = word.rstrip("\"')]}»”’")[-1:] in (".", "!", "?", ":")
+    said = ENDS if word.rstrip("\"')]}»”’")[-1:] in (".", "!", "?", ":") else 0
     if not bare:
-        kind = UNIT if word in UNITS else EMPTY
-        return _hash(word), kind, ends, True, True
+        return _hash(word), said | BEFORE | AFTER | (UNIT if word in UNITS else EMPTY)
+    said |= (BEFORE if word[0] != bare[0] else 0) | (AFTER if word[-1] != bare[-1] else 0)
     low = bare.lower()
-    marks = word[0] != bare[0], word[-1] != bare[-1]
     if _NUMBER.match(bare):
-        return _hash(low), NUMBER, ends, *marks
+        return _hash(low), said | NUMBER
     if low in UNITS and (low == bare or not bare[0].isupper()):
-        return _hash(low), UNIT, ends, *marks
-    return _hash(low), CAPITAL if bare[0].isupper() else PLAIN, ends, *marks
+        return _hash(low), said | UNIT
+    return _hash(low), said | (CAPITAL if bare[0].isupper() else PLAIN)
+
+
+def _joined(raw: np.ndarray, kind: np.ndarray, apart: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of names and runs of number parts as one slot each; ``apart`` marks words that go on with no run."""
+    if not len(kind):
+        return raw, kind
+    goes_on = np.r_[False, (kind[1:] == kind[:-1]) & ((kind[1:] == CAPITAL) | (kind[1:] == NUMBER))] & ~apart
+    if not goes_on.any():
+        return raw, kind
+    starts = np.flatnonzero(~goes_on)
+    offset = (np.arange(len(raw)) - starts[np.cumsum(~goes_on) - 1]).astype(_U)
+    mixed = (raw ^ (offset * _FACTORS[0])) * _FACTORS[1]
+    mixed ^= mixed >> _U(29)
+    return np.add.reduceat(np.where(goes_on, mixed, raw), starts), kind[starts]
 
 
 class Template:
@@ -81,10 +95,10 @@ class Template:
         if not found:
             return np.empty(0, _U), np.empty(0, np.int8), np.empty(0, bool)
         raw = np.array([x[0] for x in found], _U)
-        kind = np.array([x[1] for x in found], np.int8)
-        ends = np.array([x[2] for x in found], bool)
-        begins = np.r_[True, ends[:-1]]
-        apart = np.array([x[3] for x in found], bool) | np.r_[True, np.array([x[4] for x in found], bool)[:-1]]
+        said = np.array([x[1] for x in found], np.int8)
+        kind = said & 7
+        begins = np.r_[True, said[:-1] & ENDS != 0]
+        apart = (said & BEFORE != 0) | np.r_[True, said[:-1] & AFTER != 0]
         solid = kind != EMPTY
         # What ends a sentence may be a mark of its own before the word.
         raw, kind, begins, apart = raw[solid], kind[solid], begins[solid], apart[solid]
@@ -95,8 +109,11 @@ class Template:
         return self.template(*self.words(text))
 
     def template(self, raw: np.ndarray, kind: np.ndarray, apart: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """A window with fewer than two plain words says too little without its values, so they enter its hash.
+        """Neighbouring names, and parts of a number, are one slot if no mark parts them: its value is the hash of the run.
+
+        A window with fewer than two plain words says too little without its values, so they enter its hash.
         """
+        raw, kind = _joined(raw, kind, apart)
         window = _rolled(np.where(kind == PLAIN, raw, _PLACE[kind]), WORDS, 0)
         if len(window):
             plain = np.cumsum(np.r_[0, kind == PLAIN])

@@ -141,6 +141,14 @@ def test_exact_and_changed_questions_are_found_and_clean_ones_not(spark):
     assert got[7, 1].consistency == pytest.approx(6 / 7, abs=0.05) and got[2, 1].consistency == 1
 
 
+def test_names_and_numbers_of_several_words_are_one_slot(spark):
+    longer = QUESTION.replace("Tom", "Mary Ann").replace("Anna", "Jo Lee").replace("12", "1 200")
+    listed = QUESTION.replace("to Anna", "to Jo, Lee, Kim, Ann, Bo, Cy")
+    got = {r.doc_id: r for r in leaks(spark, [(1, longer), (2, prose(4, 50) + ". " + longer)]).collect()}
+    assert {k: (r.kind, r.share, r.consistency) for k, r in got.items()} == {1: ("changed", 1, 1), 2: ("changed", 1, 1)}
+    assert len(decontaminate.Template()(listed)[1]) == len(QUESTION.split()) + 5
+
+
 def test_items_without_plain_words_and_copies_in_other_capitals_are_found(spark):
     title = "The Old Man And The Sea By Ernest Hemingway Of Oak Park"
     solid = "東京から大阪まで電車で何時間かかりますか"
