@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelframe.llm import chat, decontaminate, langid, linedup, packing, quality, simhash, sketch, tokencount, warc
+from parcelframe.llm import chat, codes, decontaminate, langid, linedup, packing, quality, simhash, sketch, tokencount, topk, trie, warc
 from parcelframe.llm.common import held_out
 
 QUERIES = {}
@@ -111,3 +111,76 @@ def _(spark, folder):
 @query("op7_invertible_sketch")
 def _(spark, folder):
     return sketch.fingerprints(table(spark, folder, "documents"))
+
+
+_USABLE = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+_TOP_SQL = f"""WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS e FROM embeddings WHERE {_USABLE}),
+scored AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10"""
+
+
+@query("op11_exact_top_k", _TOP_SQL)
+def _(spark, folder):
+    return topk.top_k(table(spark, folder, "embeddings"), every=100, k=10, scale=1024)
+
+
+# crc32 spelled out: a byte is xored in, then eight steps (the -1) shift by one bit each and xor the polynomial if that bit was set.
+_CRC = """xor(4294967295, list_reduce(flatten(list_transform(range(1, length(c::VARCHAR) + 1),
+    lambda i: [ascii(substr(c::VARCHAR, i, 1))::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1])),
+    lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END, 4294967295::BIGINT))"""
+
+_TRIE_SQL = f"""WITH turns AS (SELECT conv_id AS c, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT c, list({{'role': role, 'text': text}} ORDER BY turn NULLS FIRST, role, text) AS s FROM turns GROUP BY c),
+heads AS (SELECT c, s, {_CRC} % 9 AS h FROM own),
+built AS (SELECT a.c, list_concat(coalesce(b.s, [])[1:a.h], a.s[a.h + 1:]) AS s FROM heads a LEFT JOIN own b ON b.c = a.c - a.c % 5),
+steps AS (SELECT c, s, unnest(range(0, len(s) + 1)) AS d FROM built),
+nodes AS MATERIALIZED (SELECT s[1:d] AS p, d, min(c) AS c, count(*) AS n, string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (len(s) = d) AS ends
+    FROM steps GROUP BY s[1:d], d),
+kids AS MATERIALIZED (SELECT p[1:d - 1] AS p, d - 1 AS d, count(*) AS n FROM nodes WHERE d > 0 GROUP BY ALL),
+above AS (SELECT u.p, u.d, CASE WHEN u.d = 0 THEN 0 ELSE (u.n - 1) * strlen(u.p[u.d].text) END AS saved,
+    CASE WHEN k.n IS NULL THEN 1 ELSE 0 END AS leaf, unnest(range(0, u.d + 1)) AS e FROM nodes u LEFT JOIN kids k ON k.d = u.d AND k.p = u.p),
+sums AS MATERIALIZED (SELECT p[1:e] AS p, e AS d, sum(saved) AS saved, sum(leaf) AS leaves FROM above GROUP BY p[1:e], e)
+SELECT v.c AS conv_id, v.d AS depth, w.c AS parent_conv_id, v.n AS n_convs, CAST(coalesce(k.n, 0) AS BIGINT) AS n_children,
+    CAST(s.leaves AS BIGINT) AS n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, sha256(coalesce(v.ends, '')) AS ends_sha256
+FROM nodes v JOIN sums s ON s.d = v.d AND s.p = v.p LEFT JOIN kids k ON k.d = v.d AND k.p = v.p
+LEFT JOIN nodes w ON w.d = v.d - 1 AND w.p = v.p[1:v.d - 1]"""
+
+
+@query("op12_conversation_trie", _TRIE_SQL)
+def _(spark, folder):
+    return trie.conversation_trie(table(spark, folder, "conversations"))
+
+
+def _nearest(book: str) -> str:
+    """The nearest entry of each part; 'd' comes first in the struct, so ties go to the lower entry."""
+    return f"""SELECT x.vec_id, x.label, x.p, any_value(x.v) AS v,
+    min({{'d': list_dot_product(x.v, x.v) - 2 * list_dot_product(x.v, b.v) + list_dot_product(b.v, b.v), 'k': b.k}}) AS best
+    FROM cut x JOIN {book} b ON b.p = x.p GROUP BY x.vec_id, x.label, x.p"""
+
+
+def _moved(near: str, book: str) -> str:
+    return f"""SELECT b.p, b.k, coalesce(m.v, b.v) AS v FROM {book} b LEFT JOIN (
+    SELECT p, k, list(floor(s / n) ORDER BY i) AS v FROM (SELECT p, best.k AS k, i, sum(v[i]) AS s, count(*) AS n
+        FROM {near}, range(1, 1 + (SELECT max(len(v)) FROM cut)) r(i) GROUP BY ALL) GROUP BY p, k) m ON m.p = b.p AND m.k = b.k"""
+
+
+_CODES_SQL = f"""WITH v AS (SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings WHERE {_USABLE}),
+cut AS MATERIALIZED (SELECT vec_id, label, p, e[1 + p * len(e) // 16 : (p + 1) * len(e) // 16] AS v FROM v, range(0, 16) r(p)),
+seeds AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS k FROM v ORDER BY vec_id LIMIT 64),
+book0 AS MATERIALIZED (SELECT p, k, v FROM cut JOIN seeds USING (vec_id)),
+near0 AS MATERIALIZED ({_nearest("book0")}),
+book1 AS MATERIALIZED ({_moved("near0", "book0")}),
+near1 AS MATERIALIZED ({_nearest("book1")}),
+book2 AS MATERIALIZED ({_moved("near1", "book1")}),
+near2 AS MATERIALIZED ({_nearest("book2")}),
+told AS (SELECT sha256(string_agg(list_aggregate(list_transform(v, lambda x: x::BIGINT), 'string_agg', ','), ',' ORDER BY p, k)) AS sha FROM book2),
+coded AS (SELECT vec_id, label, string_agg(lower(lpad(hex(best.k), 2, '0')), '' ORDER BY p) AS code, CAST(sum(best.d) AS BIGINT) AS error
+    FROM near2 GROUP BY vec_id, label)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, (SELECT sha FROM told) AS codebooks_sha256 FROM coded"""
+
+
+@query("op13_vector_codes", _CODES_SQL)
+def _(spark, folder):
+    return codes.compress(table(spark, folder, "embeddings"), parts=16, entries=64, rounds=2, scale=256)

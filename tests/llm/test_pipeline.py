@@ -37,7 +37,7 @@ def test_stages_take_effect(steps, spark, data):
 
 def test_registered():
     assert __spark_entry__.queries()["pipeline"] is corpus_pipeline.run
-    assert sum(name.startswith("op") and name[2].isdigit() for name in __spark_entry__.queries()) == 10
+    assert sum(name.startswith("op") and name[2].isdigit() for name in __spark_entry__.queries()) == 13
 
 
 def test_stages_on_an_empty_table(spark, data):
