@@ -56,13 +56,23 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
 def release(spark: SparkSession) -> int:
     """Deletes the work folders of this application; tables that still read them must be finished. Returns their number."""
     paths = _IN_USE.pop(spark.sparkContext.applicationId, [])
-    jvm = spark.sparkContext._jvm
     for path in paths:
-        place = jvm.org.apache.hadoop.fs.Path(path)
-        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+        _delete(spark, path)
     return len(paths)
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables that ``stored`` has given, once no plan that is still to run reads them."""
+    for table in tables:
+        _IN_USE.get(table.sparkSession.sparkContext.applicationId, []).remove(table.work_path)
+        _delete(table.sparkSession, table.work_path)
+
+
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """The table written to the shared folder and read back.
 
@@ -71,4 +81,6 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     """
     path = work_folder(df.sparkSession, purpose)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.work_path = path
+    return table
