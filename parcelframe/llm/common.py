@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from parcelframe.session import package_on_workers
 
@@ -21,6 +22,21 @@ def pick(df: DataFrame, **names: str) -> DataFrame:
     return df.select(*[col(source).alias(target) for target, source in names.items()])
 
 
+def spare_name(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have, whatever its letters' case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def whole_ids(df: DataFrame, name: str) -> None:
+    """Raises a TypeError unless the ids are whole numbers, which the operators compare as longs."""
+    kind = df.select(col(name)).schema[0].dataType
+    if not isinstance(kind, T.IntegralType):
+        raise TypeError(f"column {name} must hold whole numbers, not {kind.simpleString()}")
+
+
 def held_out(key: Column) -> Column:
     """True where crc32 of the key's text is 2 modulo 4; false for a null key."""
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % 4 == 2, F.lit(False))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelframe.session import stored
+from parcelframe.session import discard, stored
 
 
 def _digest(edges: DataFrame) -> tuple:
@@ -17,7 +17,7 @@ def components(edges: DataFrame) -> DataFrame:
 
     Each round links a node's larger neighbours to its smallest one, then does the same for its smaller ones, until
     nothing changes; the number of rounds grows with the logarithm of the longest path. Every round is written to
-    the shared folder, which cuts the lineage. Loops, null ends and repeated edges are without effect.
+    the shared folder, which cuts the lineage, and deleted once the next one is there. Loops, null ends and repeated edges are without effect.
     """
     u, v = F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v")
     now = stored(edges.filter("src <> dst").select(u, v).distinct(), "edges")
@@ -32,6 +32,7 @@ def components(edges: DataFrame) -> DataFrame:
         lows = large.groupBy("u").agg(F.min("v").alias("low"))
         small = large.join(lows, "u")
         moved = small.filter("v <> low").select(F.col("v").alias("u"), F.col("low").alias("v"))
-        now = stored(moved.unionByName(lows.select("u", F.col("low").alias("v"))).distinct(), "edges")
+        last, now = now, stored(moved.unionByName(lows.select("u", F.col("low").alias("v"))).distinct(), "edges")
+        discard(last, large)
     nodes = now.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return nodes.unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

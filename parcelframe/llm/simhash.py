@@ -248,14 +248,3 @@ def group_near(docs: DataFrame, *, radius: int = 3, size: int = 3, id_col: str =
     named = named.join(lows, "component").select("fp", "component_id")
     joined = rows.join(named, "fp")
     return joined.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
-
-
-def keep_one(docs: DataFrame, *, radius: int = 3, size: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows, with all their columns, of the smallest id of each group of near-duplicates.
-
-    Rows without an id belong to no group and stay. Repeated rows of a kept id stay as they are.
-    """
-    known = docs.filter(F.col(id_col).isNotNull())
-    found = group_near(known, radius=radius, size=size, id_col=id_col, text_col=text_col)
-    gone = found.groupBy("doc_id").agg(F.min("component_id").alias("low")).filter("doc_id <> low").select(F.col("doc_id").alias(id_col))
-    return docs.join(gone, id_col, "left_anti")

@@ -8,7 +8,7 @@ import pytest
 import xxhash
 
 import corpus_pipeline
-from parcelframe.llm import minhash, simhash
+from parcelframe.llm import near, simhash
 from parcelframe.llm.components import components
 from tests.llm.helpers import awkward, frame, prose
 
@@ -102,14 +102,6 @@ def test_groups_equal_all_pairs(spark):
     assert simhash.group_near(frame(spark, [])).count() == 0
 
 
-def test_one_document_of_each_group_stays(spark):
-    kept = simhash.keep_one(frame(spark, texts()))
-    ids = Counter(r.doc_id for r in kept.collect())
-    assert kept.columns == frame(spark, []).columns
-    assert ids[None] == 2 and ids[5] == 2 and ids[20] == 1
-    assert not {21, 22, 2, 3} & set(ids) and ids[1] == 1
-
-
 def test_stage_links_exactly_the_similar_documents(spark, data):
     rng = np.random.default_rng(3)
     docs = texts()
@@ -138,13 +130,39 @@ def test_stage_links_exactly_the_similar_documents(spark, data):
     assert len([k for k in kept if k and k >= 1000]) < 60
 
 
-def test_members_of_one_bucket_are_linked_whatever_leads(spark):
+@pytest.mark.parametrize("largest, levels", [(2048, 4), (5, 4), (5, 0)])
+def test_buckets_of_any_size_link_the_same(spark, monkeypatch, largest, levels):
+    """One family of copies with more and more edits, whose buckets are compared whole, dealt out again, or cut into pieces."""
+    monkeypatch.setattr(near, "LEVELS", levels)
     base = prose(5, 300).split(" ")
-    rows = [(k, " ".join([*(f"w{k}x{i}" for i in range(4 * k)), *base[4 * k :]])) for k in range(40)]
-    docs = frame(spark, rows).selectExpr("doc_id", "text", "xxhash64(text) as seal")
-    seals = {r.doc_id: r.seal for r in docs.collect()}
-    sets = {k: set(minhash.shingles(t).tolist()) for k, t in rows}
-    near = [(seals[a], seals[b]) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
-    buckets = docs.selectExpr("7L as key", "seal")
-    got = [tuple(r) for r in minhash.similar_edges(docs, buckets, least=0.8, size=5).collect()]
-    assert near and union(seals.values(), got) == union(seals.values(), near)
+    texts = {k: " ".join([*(f"w{k}x{i}" for i in range(4 * k)), *base[4 * k :]]) for k in range(40)}
+    texts |= {100 + k: " ".join([*base[:150], f"only{k}", *base[151:]]) for k in range(30)}
+    sets = {k: set(near.shingles(t).tolist()) for k, t in texts.items()}
+    alike = [(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    found = [near.shingles(t) for t in texts.values()]
+    rows = [(k, k, near.fingerprint(x), len(x), bytearray(near.signature(x).tobytes())) for k, x in zip(texts, found, strict=True)]
+    table = spark.createDataFrame(rows, "seal long, low long, fp long, n long, sig binary").selectExpr("*", "xxhash64(low, seal) as mark")
+    docs = spark.createDataFrame(list(texts.items()), "seal long, text string").selectExpr("xxhash64(seal, seal) as mark", "seal", "text")
+    got = [tuple(r) for r in near.similar_edges(docs, table, least=0.8, size=5, largest=largest).collect()]
+    assert alike and union(texts, got) == union(texts, alike)
+
+
+def test_linked_counts_what_is_near():
+    base = np.arange(1, 400, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    sets = [np.sort(np.r_[base[k:], np.arange(k, dtype=np.uint64) + np.uint64(1 << 40 | k << 20)]) for k in range(0, 390, 10)]
+    sets = [*sets, *sets[:7]]
+    prints = np.array([near.fingerprint(s) for s in sets])
+    stop = np.array([39] * 39 + [46] * 7)
+    alike = lambda a, b: len(np.intersect1d(a, b)) >= 0.8 * len(np.union1d(a, b))
+    want = [(i, j) for i in range(46) for j in range(i + 1, stop[i]) if alike(sets[i], sets[j])]
+    got = near.linked(prints, sets, stop, 0.8, 64)
+    assert union(range(46), got) == union(range(46), want) and len(got) < 46
+
+
+def test_near_ids_and_clashing_names(spark):
+    rows = [(3, prose(5, 80), 1, 2), (2, prose(5, 80), 3, 4), (None, prose(5, 80), 5, 6), (9, None, 7, 8)]
+    docs = spark.createDataFrame(rows, "`doc.id` int, text string, gone long, __gone long")
+    kept = near.keep_one(docs, id_col="doc.id")
+    assert kept.columns == docs.columns and sorted(map(str, kept.collect())) == sorted(map(str, docs.filter("gone <> 1").collect()))
+    with pytest.raises(TypeError, match="whole numbers"):
+        near.keep_one(docs.selectExpr("string(gone) as doc_id", "text"))
