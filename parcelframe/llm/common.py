@@ -58,8 +58,8 @@ def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[p
     return df.mapInArrow(fn, schema)
 
 
-def text_udf(fn: Callable[[str | None], tuple], result: str):
-    """A column function that calls ``fn`` for each text, Arrow batch by Arrow batch.
+def texts_udf(fn: Callable[[list[str | None]], tuple], result: str, step: int = 512):
+    """A column function that calls ``fn`` for some texts of an Arrow batch at a time; it gives a list for each field.
 
     It is marked as not deterministic only so that a filter on its result is not evaluated a second time.
     """
@@ -68,15 +68,25 @@ def text_udf(fn: Callable[[str | None], tuple], result: str):
 
     def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in texts:
-            found = [fn(x) for x in batch.to_pylist()]
-            yield pa.StructArray.from_arrays(
-                [pa.array([row[i] for row in found], field.type) for i, field in enumerate(kind)], fields=list(kind)
-            )
+            parts = [fn(batch.slice(k, step).to_pylist()) for k in range(0, len(batch), step)]
+            columns = [pa.array([x for part in parts for x in part[i]], field.type) for i, field in enumerate(kind)]
+            yield pa.StructArray.from_arrays(columns, fields=list(kind))
 
     run.__annotations__ = {"texts": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return F.arrow_udf(run, result).asNondeterministic()
 
 
+def text_udf(fn: Callable[[str | None], tuple], result: str):
+    """A column function that calls ``fn`` for each text, Arrow batch by Arrow batch."""
+    fields = len(_struct(result))
+
+    def run(texts: list[str | None]) -> tuple:
+        found = [fn(x) for x in texts]
+        return tuple([row[i] for row in found] for i in range(fields))
+
+    return texts_udf(run, result)
+
+
 _ARROW = {"string": pa.string(), "double": pa.float64(), "int": pa.int32(), "long": pa.int64(), "boolean": pa.bool_()}
 
 

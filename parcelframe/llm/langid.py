@@ -6,16 +6,19 @@ import math
 import uuid
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field, replace
+from copy import copy
+from dataclasses import dataclass, field
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelframe.llm.common import Memo, bounded_sample, map_arrow, pick, text_udf, worker_own
+from parcelframe.llm.common import bounded_sample, map_arrow, pick, texts_udf, worker_own
 
-WORDS = regex.compile(r"[^\W\d_]+")
+#: A word begins with a letter; letters and combining marks follow. No word spans white space.
+WORDS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 LONGEST = 4
 
 
@@ -28,12 +31,16 @@ def grams(word: str, n: int) -> list[str]:
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """kind 0 are words, kind n the n-grams; summed per batch before anything is shuffled."""
     for batch in batches:
-        words: dict[str, Counter] = {}
+        tokens: dict[str, Counter] = {}
         for lang, text in zip(batch["lang"].to_pylist(), batch["text"].to_pylist(), strict=True):
-            words.setdefault(lang, Counter()).update(WORDS.findall((text or "").lower()))
+            tokens.setdefault(lang, Counter()).update((text or "").lower().split())
         found: Counter = Counter()
-        for lang, counts in words.items():
-            for word, n in counts.items():
+        for lang, counts in tokens.items():
+            words: Counter = Counter()
+            for token, n in counts.items():
+                for word in WORDS.findall(token):
+                    words[word] += n
+            for word, n in words.items():
                 found[lang, 0, word] += n
                 for size in range(1, LONGEST + 1):
                     for g in grams(word, size):
@@ -59,10 +66,13 @@ class LanguageModel:
     terms: list[dict[str, list[int]]]
     penalty: float = 0.4
     room: int = 300_000
-    _memo: Memo | None = field(default=None, repr=False)
+    #: What is remembered of tokens between blanks: a number for each, and the scores of the words in them, in order of numbers.
+    _codes: dict = field(default_factory=dict, repr=False)
+    _parts: list = field(default_factory=list, repr=False)
+    _tables: tuple = field(default=(), repr=False)
 
     def __getstate__(self):
-        return {**self.__dict__, "_memo": None}
+        return {**self.__dict__, "_codes": {}, "_parts": [], "_tables": ()}
 
     def word_scores(self, word: str) -> tuple[float, ...]:
         """Log probability of the word in each language.
@@ -82,21 +92,47 @@ class LanguageModel:
                 )
         return (0.0,) * len(self.langs)
 
-    def __call__(self, text: str | None) -> tuple[str, float]:
-        words = WORDS.findall(text.lower()) if text else []
-        if not words or not self.langs:
-            return "und", 0.0
-        if self._memo is None:
-            self._memo = Memo(self.word_scores, self.room)
-        memo, sums = self._memo, [0.0] * len(self.langs)
-        for word, n in Counter(words).items():
-            for i, score in enumerate(memo[word]):
-                sums[i] += n * score
-        top = max(sums)
+    def _learn(self, tokens: list[str]) -> None:
+        if len(self._codes) + len(tokens) > self.room:
+            self._codes, self._parts = {}, []
+        for token in set(tokens).difference(self._codes):
+            self._codes[token] = len(self._parts)
+            self._parts.append([self.word_scores(word) for word in WORDS.findall(token)])
+        count = np.array([len(p) for p in self._parts])
+        scores = np.array([s for p in self._parts for s in p], float).reshape(-1, len(self.langs))
+        self._tables = count, np.cumsum(count) - count, scores
+
+    def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
+        """The language and its score (0 to 1) of each text; ``und`` and 0 for null and for texts without a letter."""
+        langs, scores = ["und"] * len(texts), [0.0] * len(texts)
+        split = [t.lower().split() if t else [] for t in texts]
+        flat = [w for words in split for w in words]
+        if not flat or not self.langs:
+            return langs, scores
+        codes = list(map(self._codes.get, flat))
+        if None in codes:
+            self._learn(flat)
+            codes = list(map(self._codes.__getitem__, flat))
+        count, start, table = self._tables
+        code = np.array(codes)
+        n = count[code]
+        own = np.repeat(np.repeat(np.arange(len(texts)), [len(words) for words in split]), n)
+        if not len(own):
+            return langs, scores
+        place = np.arange(len(own)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(start[code], n)
+        first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+        sums = np.add.reduceat(table[place], first, 0)
+        words = np.diff(np.r_[first, len(own)])
+        best = sums.argmax(1)
         # Words of a text are not independent: the square root of their number keeps long texts from certainty.
-        odds = [math.exp(max(-700.0, (s - top) / math.sqrt(len(words)))) for s in sums]
-        best = sums.index(top)
-        return self.langs[best], odds[best] / sum(odds)
+        odds = np.exp(np.maximum(-700.0, (sums - sums.max(1, keepdims=True)) / np.sqrt(words)[:, None]))
+        for k, b, share in zip(own[first].tolist(), best.tolist(), (1 / odds.sum(1)).tolist(), strict=True):
+            langs[k], scores[k] = self.langs[b], share
+        return langs, scores
+
+    def __call__(self, text: str | None) -> tuple[str, float]:
+        (lang,), (score,) = self.predict([text])
+        return lang, score
 
 
 def train(
@@ -133,20 +169,28 @@ def language_columns(spark, model: LanguageModel, text):
     """A struct column (lang_pred, score) for a text column; ``und`` with score 0 for null or letterless text."""
     shared, key = spark.sparkContext.broadcast(model), str(uuid.uuid4())
 
-    def predict(value):
-        return worker_own(key, lambda: replace(shared.value, _memo=None))(value)
+    def predict(texts):
+        return worker_own(key, lambda: copy(shared.value)).predict(texts)
 
-    return text_udf(predict, "lang_pred string, score double")(text)
+    return texts_udf(predict, "lang_pred string, score double")(text)
 
 
 def identify(docs: DataFrame, model: LanguageModel, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, lang_pred and score (0 to 1) of every whole text; repeated rows are answered each, null ids stay null."""
+    """doc_id, lang_pred and score (0 to 1) of every whole text, very long ones included.
+
+    Null texts and texts without a letter are ``und`` with score 0. Repeated rows are answered each, null ids stay null, an
+    empty table gives no rows, and other columns are left out. Ties go to the first language in alphabetical order.
+    """
     rows = pick(docs, doc_id=id_col, text=text_col)
     return rows.select("doc_id", language_columns(docs.sparkSession, model, F.col("text")).alias("found")).select("doc_id", "found.*")
 
 
 def keep_identified(docs: DataFrame, model: LanguageModel, *, text_col: str = "text", least: float = 0.5) -> DataFrame:
-    """The rows, with all their columns, whose language is known with a score of ``least`` or more."""
+    """The rows, with all their columns, whose language is known with a score of ``least`` or more.
+
+    Null texts and texts without a letter go; null ids, repeated rows and very long texts are judged like any other row. An
+    empty table stays empty, and names of other columns do not matter.
+    """
     mark = f"found_{uuid.uuid4().hex[:8]}"
     found = docs.withColumn(mark, language_columns(docs.sparkSession, model, docs[text_col]))
     return found.filter((F.col(mark)["lang_pred"] != "und") & (F.col(mark)["score"] >= least)).drop(mark)
