@@ -26,6 +26,7 @@ class CompressionModel:
     bad: bytes
     level: int = 3
     weights: tuple[float, float, float] = (0.0, 0.0, 0.0)
+    trained: bool = False
     _tools: tuple | None = field(default=None, repr=False)
 
     def __getstate__(self):
@@ -64,15 +65,20 @@ class CompressionModel:
         return 1 / (1 + math.exp(-max(-500.0, min(500.0, x))))
 
 
-def _dictionary(samples: list[bytes], size: int) -> bytes:
-    """A trained dictionary; for too few samples their plain joined bytes, which zstandard accepts as well."""
-    joined = b"\n".join(samples)
-    if len(samples) >= 64 and len(joined) > 8 * size:
+def dictionaries(good: list[bytes], bad: list[bytes], size: int) -> tuple[bytes, bytes, bool]:
+    """A dictionary of each class, both made in one way and of one size, and whether they were trained.
+
+    The size is what the smaller class can fill eight times over, ``size`` at most. Classes too small for the trainer, which
+    says so by an error, give all their bytes as they are, again both of them.
+    """
+    room = min(size, *(sum(map(len, samples)) // 8 for samples in (good, bad)))
+    if min(len(good), len(bad)) >= 8 and room >= 1024:
         try:
-            return zstandard.train_dictionary(size, samples, k=128, d=8, level=3).as_bytes()
+            made = [zstandard.train_dictionary(room, samples, k=128, d=8, level=3).as_bytes() for samples in (good, bad)]
+            return made[0], made[1], True
         except zstandard.ZstdError:
             pass
-    return joined[-size:]
+    return b"\n".join(good), b"\n".join(bad), False
 
 
 def _calibrate(x: np.ndarray, y: np.ndarray) -> tuple[float, float, float]:
@@ -98,15 +104,13 @@ def train(
     *,
     sample: int = 20_000,
     dictionary_size: int = 256 << 10,
-    piece: int = 4 << 10,
     level: int = 3,
 ) -> CompressionModel:
     """Learns from at most about ``sample`` labelled documents, chosen by the id's hash; classes keep their shares.
 
     ``docs`` has doc_id and text, ``labels`` doc_id and quality; ``usable`` is a condition on doc_id. Ids whose
     labels contradict each other, and null labels, ids and texts, are not used. Half of the documents give the
-    dictionaries (up to ``piece`` bytes from a place set by the id, so no long text dominates), the other half,
-    as whole texts, the calibration. With no labels at all every text scores 0.5.
+    dictionaries, the other half the calibration, both as whole texts. If a class has no document every text scores 0.5.
     """
     spark = docs.sparkSession
     known = labels.select("doc_id", "quality").filter("doc_id is not null and quality in (0, 1)")
@@ -117,17 +121,16 @@ def train(
     picked = F.broadcast(bounded_sample(known, F.col("doc_id"), sample))
     texts = pick(docs, doc_id="doc_id", text="text").filter("text is not null").join(picked, "doc_id")
     half = F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(2)) == 0
-    start = F.pmod(F.xxhash64("doc_id", F.lit("place")), F.greatest(F.lit(1), F.length("text") - piece + 1)) + 1
-    texts = texts.withColumns({"half": half, "start": start.cast("int")}).persist()
+    texts = texts.withColumn("half", half).persist()
     try:
-        parts = texts.filter("half").select("doc_id", "quality", F.substring(F.col("text"), F.col("start"), F.lit(piece)).alias("part"))
-        found = parts.orderBy("doc_id", "part").toArrow()
+        found = texts.filter("half").select("doc_id", "quality", "text").orderBy("doc_id", "text").toArrow()
         samples: dict[int, list[bytes]] = {0: [], 1: []}
-        for quality, part in zip(found["quality"].to_pylist(), found["part"].to_pylist(), strict=True):
-            samples[quality].append(part.encode())
+        for quality, text in zip(found["quality"].to_pylist(), found["text"].to_pylist(), strict=True):
+            samples[quality].append(text.encode())
         if not samples[0] or not samples[1]:
             return CompressionModel(b"", b"", level)
-        model = CompressionModel(_dictionary(samples[1], dictionary_size), _dictionary(samples[0], dictionary_size), level)
+        good, bad, trained = dictionaries(samples[1], samples[0], dictionary_size)
+        model = CompressionModel(good, bad, level, trained=trained)
         rest = texts.filter("not half").select("quality", feature_column(spark, model, F.col("text")).alias("found"))
         scored = rest.select("quality", "found.difference", "found.ratio").toArrow()
         if scored.num_rows:
@@ -158,7 +161,8 @@ def score_column(spark, model: CompressionModel, text: Column) -> Column:
 def score_quality(docs: DataFrame, model: CompressionModel, *, least: float = 0.7, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, score and predicted (1 if the score is ``least`` or more) of every whole text.
 
-    Null and empty texts have features 0 and get the score of these; repeated rows are scored each.
+    Null and empty texts have features 0 and get the score of these; very long texts are compressed whole. Repeated rows are
+    scored each, null ids stay null, an empty table gives no rows, and other columns are left out.
     """
     rows = pick(docs, doc_id=id_col, text=text_col)
     found = rows.select("doc_id", score_column(docs.sparkSession, model, F.col("text")).alias("found")).select("doc_id", "found.score")
