@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelframe.llm.common import Memo, map_arrow, pick, worker_own
+from parcelframe.llm.common import col, map_arrow, pick, spare_name, whole_ids, worker_own
 from parcelframe.session import stored
 
 WORDS = 5
@@ -37,6 +37,11 @@ ENDS, BEFORE, AFTER = 8, 16, 32
 _U = np.uint64
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], _U)
 BITS = 23
+#: Numbers in words; neighbours are one number, as in "twenty five".
+NUMBER_WORDS = frozenset(
+    "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen "
+    "nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion dozen".split()
+)
 
 
 def _hash(text: str) -> int:
@@ -54,71 +59,104 @@ def token(word: str) -> tuple[int, int]:
         return _hash(word), said | BEFORE | AFTER | (UNIT if word in UNITS else EMPTY)
     said |= (BEFORE if word[0] != bare[0] else 0) | (AFTER if word[-1] != bare[-1] else 0)
     low = bare.lower()
-    if _NUMBER.match(bare):
+    if _NUMBER.match(bare) or low in NUMBER_WORDS:
         return _hash(low), said | NUMBER
     if low in UNITS and (low == bare or not bare[0].isupper()):
         return _hash(low), said | UNIT
     return _hash(low), said | (CAPITAL if bare[0].isupper() else PLAIN)
 
 
-def _joined(raw: np.ndarray, kind: np.ndarray, apart: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Runs of names and runs of number parts as one slot each; ``apart`` marks words that go on with no run."""
-    if not len(kind):
-        return raw, kind
-    goes_on = np.r_[False, (kind[1:] == kind[:-1]) & ((kind[1:] == CAPITAL) | (kind[1:] == NUMBER))] & ~apart
-    if not goes_on.any():
-        return raw, kind
-    starts = np.flatnonzero(~goes_on)
-    offset = (np.arange(len(raw)) - starts[np.cumsum(~goes_on) - 1]).astype(_U)
-    mixed = (raw ^ (offset * _FACTORS[0])) * _FACTORS[1]
-    mixed ^= mixed >> _U(29)
-    return np.add.reduceat(np.where(goes_on, mixed, raw), starts), kind[starts]
+def pieces(word: str) -> list[str]:
+    """A word between blanks as its parts: numbers apart from glued units, characters of scripts without blanks each."""
+    if _DIGIT.search(word):
+        word = _GLUED.sub(" ", word)
+    if not word.isascii() and _UNSPACED.search(word):
+        word = _UNSPACED.sub(r" \g<0> ", word)
+    return word.split()
 
 
-class Template:
-    """Template windows of a text as arrays; words are remembered up to ``room``."""
+class Words:
+    """Tokens of the words of many texts at once; words are remembered up to ``room``."""
 
     def __init__(self, room: int = 400_000):
-        self.memo = Memo(token, room)
-
-    def words(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(raw word hashes, kinds, whether a mark parts the word from the one before); words without letters or digits are left out.
-
-        A capitalised word is a name unless a sentence begins with it.
+        self.room = room
+        self.codes: dict[str, int] = {}
+        self.raw, self.said, self.start = [], [], [0]
+
+    def _learn(self, words: list[str]) -> None:
+        if len(self.codes) + len(words) > self.room:
+            self.__init__(self.room)
+        for word in set(words).difference(self.codes):
+            self.codes[word] = len(self.codes)
+            for part in pieces(word):
+                raw, said = token(part)
+                self.raw.append(raw)
+                self.said.append(said)
+            self.start.append(len(self.raw))
+        self.tables = np.array(self.raw, _U), np.array(self.said, np.int8), np.array(self.start)
+
+    def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(text, raw word hash, kind, whether a mark parts the word from the one before) of all words of the texts.
+
+        Words without letters or digits are left out. A capitalised word is a name unless a sentence begins with it.
         """
-        if _DIGIT.search(text):
-            text = _GLUED.sub(" ", text)
-        if not text.isascii() and _UNSPACED.search(text):
-            text = _UNSPACED.sub(r" \g<0> ", text)
-        memo = self.memo
-        found = [memo[w] for w in text.split()]
-        if not found:
-            return np.empty(0, _U), np.empty(0, np.int8), np.empty(0, bool)
-        raw = np.array([x[0] for x in found], _U)
-        said = np.array([x[1] for x in found], np.int8)
+        split = [t.split() for t in texts]
+        flat = [w for words in split for w in words]
+        codes = list(map(self.codes.get, flat))
+        if None in codes:
+            self._learn(flat)
+            codes = list(map(self.codes.__getitem__, flat))
+        text = np.repeat(np.arange(len(texts)), [len(words) for words in split])
+        if not flat:
+            return text, np.empty(0, _U), np.empty(0, np.int8), np.empty(0, bool)
+        raw, said, start = self.tables
+        code = np.array(codes)
+        count = start[code + 1] - start[code]
+        if (count != 1).any():
+            text = np.repeat(text, count)
+            before = np.cumsum(count) - count
+            place = np.arange(len(text)) - np.repeat(before, count) + np.repeat(start[code], count)
+        else:
+            place = start[code]
+        raw, said = raw[place], said[place]
         kind = said & 7
-        begins = np.r_[True, said[:-1] & ENDS != 0]
-        apart = (said & BEFORE != 0) | np.r_[True, said[:-1] & AFTER != 0]
-        solid = kind != EMPTY
+        new = np.r_[True, text[1:] != text[:-1]]
+        begins = new | np.r_[True, said[:-1] & ENDS != 0]
+        apart = new | (said & BEFORE != 0) | np.r_[True, said[:-1] & AFTER != 0]
         # What ends a sentence may be a mark of its own before the word.
-        raw, kind, begins, apart = raw[solid], kind[solid], begins[solid], apart[solid]
-        return raw, np.where((kind == CAPITAL) & begins, PLAIN, kind), apart
+        solid = kind != EMPTY
+        text, raw, kind, begins, apart = text[solid], raw[solid], kind[solid], begins[solid], apart[solid]
+        return text, raw, np.where((kind == CAPITAL) & begins, PLAIN, kind), apart
 
-    def __call__(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(window hashes, raw word hashes, slot kinds) of the template."""
-        return self.template(*self.words(text))
 
-    def template(self, raw: np.ndarray, kind: np.ndarray, apart: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Neighbouring names, and parts of a number, are one slot if no mark parts them: its value is the hash of the run.
+def _joined(text: np.ndarray, raw: np.ndarray, kind: np.ndarray, apart: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of names and runs of number parts as one slot each; ``apart`` marks words that go on with no run."""
+    if not len(kind):
+        return text, raw, kind
+    goes_on = np.r_[False, (kind[1:] == kind[:-1]) & ((kind[1:] == CAPITAL) | (kind[1:] == NUMBER)) & (text[1:] == text[:-1])] & ~apart
+    if not goes_on.any():
+        return text, raw, kind
+    starts = np.flatnonzero(~goes_on)
+    offset = (np.arange(len(raw)) - starts[np.cumsum(~goes_on) - 1]).astype(_U)
+    mixed = (raw ^ (offset * _FACTORS[0])) * _FACTORS[1]
+    mixed ^= mixed >> _U(29)
+    return text[starts], np.add.reduceat(np.where(goes_on, mixed, raw), starts), kind[starts]
 
-        A window with fewer than two plain words says too little without its values, so they enter its hash.
-        """
-        raw, kind = _joined(raw, kind, apart)
-        window = _rolled(np.where(kind == PLAIN, raw, _PLACE[kind]), WORDS, 0)
-        if len(window):
-            plain = np.cumsum(np.r_[0, kind == PLAIN])
-            window = np.where(plain[WORDS:] - plain[:-WORDS] < 2, _rolled(raw, WORDS, WORDS + 1), window)
-        return window, raw, kind
+
+def template(text: np.ndarray, raw: np.ndarray, kind: np.ndarray, apart: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text, window hash) of the template's windows, those that cross two texts included, and (raw hash, kind) of its slots.
+
+    Neighbouring names, and parts of a number, are one slot if no mark parts them: its value is the hash of the run.
+    A window with fewer than two plain words says too little without its values, so they enter its hash. A name's value is odd,
+    any other even.
+    """
+    text, raw, kind = _joined(text, raw, kind, apart)
+    raw = np.where(kind == CAPITAL, raw | _U(1), raw & ~_U(1))
+    window = _rolled(np.where(kind == PLAIN, raw, _PLACE[kind]), WORDS, 0)
+    if len(window):
+        plain = np.cumsum(np.r_[0, kind == PLAIN])
+        window = np.where(plain[WORDS:] - plain[:-WORDS] < 2, _rolled(raw, WORDS, WORDS + 1), window)
+    return text, window, raw, kind
 
 
 def _rolled(code: np.ndarray, size: int, salt: int) -> np.ndarray:
@@ -140,46 +178,42 @@ def _windows(id_name: str, bitmap=None, sizes: tuple[int, ...] | None = None):
 
     Path 0 is the template: ``slots`` has the raw hash of each slot of the window and 0 for plain words. Path n stands for
     windows of n raw lower-case words, without slots: n is in ``sizes``, or without them WORDS or the words of a shorter text.
-    ``of`` counts the text's windows on the path.
+    ``of`` counts the text's windows on the path. All texts of a slice are one array of words; windows that cross texts are masked.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        template = worker_own("template", Template)
+        words = worker_own("template", Words)
         bits = bitmap.value if bitmap is not None else None
         for big in batches:
             for k in range(0, big.num_rows, 256):
                 batch = big.slice(k, 256)
-                ids, paths, hashes, ats, slots, ofs = [], [], [], [], [], []
-                for doc, text in zip(batch["id"].to_pylist(), batch["text"].to_pylist(), strict=True):
-                    words, *rest = template.words(text)
-                    if not len(words):
+                text, raw, kind, apart = words(batch["text"].to_pylist())
+                length = np.bincount(text, minlength=batch.num_rows)
+                paths = []
+                own, window, values, kinds = template(text, raw, kind, apart)
+                paths.append((0, WORDS, own, window, np.where(kinds == PLAIN, _U(0), values), np.ones(batch.num_rows, bool)))
+                for n in sizes if sizes is not None else range(1, WORDS + 1):
+                    used = np.ones(batch.num_rows, bool) if sizes is not None else np.minimum(length, WORDS) == n
+                    if used.any():
+                        paths.append((n, n, text, _rolled(raw, n, n), None, used))
+                for path, n, own, window, slots, used in paths:
+                    good = used[own[: len(window)]] & (own[: len(window)] == own[n - 1 :][: len(window)])
+                    if bits is not None:
+                        good &= (bits[(window >> _U(64 - BITS + 3)).astype(np.int64)] >> ((window >> _U(64 - BITS)) & _U(7)).astype(np.uint8)) & 1 == 1
+                    at = np.flatnonzero(good)
+                    if not len(at):
                         continue
-                    window, raw, kind = template.template(words, *rest)
-                    own = sizes if sizes is not None else (min(WORDS, len(words)),)
-                    for path, window in [(0, window), *((n, _rolled(words, n, n)) for n in own)]:
-                        good = np.ones(len(window), bool)
-                        if bits is not None:
-                            good = (bits[(window >> _U(64 - BITS + 3)).astype(np.int64)] >> ((window >> _U(64 - BITS)) & _U(7)).astype(np.uint8)) & 1 == 1
-                        at = np.flatnonzero(good)
-                        if len(at):
-                            hashes.append(_signed(window[at]))
-                            ats.append(at.astype(np.int32))
-                            if path:
-                                slots.append(np.zeros(WORDS * len(at), np.int64))
-                            else:
-                                slots.append(_signed(np.where(kind == PLAIN, _U(0), raw)[at[:, None] + np.arange(WORDS)]).reshape(-1))
-                            ids += [doc] * len(at)
-                            paths += [path] * len(at)
-                            ofs.append(np.full(len(at), len(window), np.int32))
-                if ids:
+                    first = np.searchsorted(own, np.arange(batch.num_rows))
+                    count = np.maximum(np.bincount(own, minlength=batch.num_rows) - n + 1, 0)
+                    met = slots[at[:, None] + np.arange(WORDS)] if slots is not None else np.zeros((len(at), WORDS), _U)
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array(ids, pa.int64()),
-                            pa.array(paths, pa.int32()),
-                            pa.array(np.concatenate(hashes)),
-                            pa.array(np.concatenate(ats)),
-                            pa.ListArray.from_arrays(pa.array(np.arange(0, WORDS * len(ids) + 1, WORDS, dtype=np.int32)), pa.array(np.concatenate(slots))),
-                            pa.array(np.concatenate(ofs)),
+                            batch["id"].take(pa.array(own[at])),
+                            pa.array(np.full(len(at), path, np.int32)),
+                            pa.array(_signed(window[at])),
+                            pa.array((at - first[own[at]]).astype(np.int32)),
+                            pa.ListArray.from_arrays(pa.array(np.arange(0, WORDS * len(at) + 1, WORDS, dtype=np.int32)), pa.array(_signed(met).reshape(-1))),
+                            pa.array(count[own[at]].astype(np.int32)),
                         ],
                         names=[id_name, "path", "hash", "at", "slots", "of"],
                     )
@@ -203,10 +237,14 @@ def find_leaks(
     matched slots keep their values (or there are none), else "changed"; of several copies the most alike counts.
     Beside the template, windows of five raw words are compared without regard to case, so copies in other capitals and
     items in capitals are found too; an item of fewer words is found as a whole. In scripts without blanks each
-    character is a word. Only items without any letter, digit or unit are never found. Null ids and texts take no part. Repeated rows
-    of a document count as one document of that id, and likewise for items.
+    character is a word, and numbers may be written in words. Only items without any letter, digit or unit are never found. Null ids
+    and texts take no part, empty texts have no windows, and very long ones are read whole. Repeated rows
+    of a document count as one document of that id, and likewise for items. Ids must be whole numbers. Without documents or items there
+    are no rows; names of other columns do not matter.
     """
     spark = docs.sparkSession
+    whole_ids(docs, id_col)
+    whole_ids(benchmark, item_col)
     items = pick(benchmark, id=item_col, text=item_text_col).withColumn("id", F.col("id").cast("long"))
     known = stored(windows(items, "item_id"), "item-windows")
     # A bit for each window hash of the benchmark: 1 MB whatever its size. It only spares the join most windows.
@@ -252,8 +290,16 @@ def _aligned(met: DataFrame) -> DataFrame:
     copies = one.groupBy(*place).agg(F.count("*").alias("matched"), F.max("windows").alias("windows"))
     pairs = one.select(*place, F.explode(F.arrays_zip(F.col("slot.item_slots").alias("mine"), F.col("slot.slots").alias("theirs"))).alias("s"))
     values = pairs.select(*place, F.col("s.mine").alias("mine"), F.col("s.theirs").alias("theirs")).filter("mine <> 0").groupBy(*place, "mine")
-    values = values.agg((F.min("theirs") == F.max("theirs")).alias("one"), F.bool_and(F.col("theirs") == F.col("mine")).alias("same"))
-    values = values.groupBy(*place).agg(F.avg(F.col("one").cast("double")).alias("consistency"), F.bool_and("same").alias("kept"))
+    values = values.agg(
+        (F.min("theirs") == F.max("theirs")).alias("one"), F.bool_and(F.col("theirs") == F.col("mine")).alias("same"), F.min("theirs").alias("other")
+    )
+    # Two persons do not become one, while two numbers may: names (odd) have a partner each.
+    name = (F.col("mine") % 2 != 0) & (F.col("other") % 2 != 0)
+    apart = F.count_distinct(F.when(name, F.col("other"))) / F.count(F.when(name, F.col("mine")))
+    values = values.groupBy(*place).agg(
+        F.least(F.avg(F.col("one").cast("double")), F.when(F.count(F.when(name, F.col("mine"))) > 0, apart).otherwise(1.0)).alias("consistency"),
+        F.bool_and("same").alias("kept"),
+    )
     told = copies.join(values, place, "left")
     share = F.col("matched") / F.col("windows")
     # Raw windows that meet say nothing of the values in those that do not.
@@ -262,6 +308,12 @@ def _aligned(met: DataFrame) -> DataFrame:
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, *, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows, with all their columns, of the documents in which no benchmark item is found; null ids stay."""
-    found = find_leaks(docs, benchmark, least=least, id_col=id_col, text_col=text_col).select(F.col("doc_id").alias("__leak")).distinct()
-    return docs.join(found, F.col(f"`{id_col}`").cast("long") == F.col("__leak"), "left_anti")
+    """The rows, with all their columns, of the documents in which no benchmark item is found.
+
+    Rows without an id stay, whatever their text; repeated rows of an id stay or go together, as do all texts of one id. Null, empty
+    and very long texts are as in ``find_leaks``; an empty table stays empty, and names of other columns do not matter.
+    """
+    name = spare_name(docs, "leak")
+    found = find_leaks(docs, benchmark, least=least, id_col=id_col, text_col=text_col).select(F.col("doc_id").alias(name)).distinct()
+    # By sorting at every size: broadcasting few ids and shuffling texts for many is a plan that is hard to foresee.
+    return docs.join(stored(found, "leaks").hint("merge"), col(id_col).cast("long") == F.col(name), "left_anti")
