@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelframe.llm.common import map_arrow, pick
+from parcelframe.llm.common import col, map_arrow, pick, spare_name, whole_ids
 from parcelframe.session import stored
 
 
@@ -164,6 +164,8 @@ def _shared_runs(earlier: list[int], later: list[int], words: list[int], least:
     return found
 
 
+#: Sets of later documents that an owner of shared passages is copied to at most.
+SALTS = 64
 _LINES = pa.schema([("doc_id", pa.int64()), ("seal", pa.int64()), ("hashes", pa.list_(pa.int64())), ("words", pa.list_(pa.int32())), ("numbers", pa.list_(pa.int32())), ("anchors", pa.list_(pa.int64()))])
 
 
@@ -209,8 +211,10 @@ def shared_lines(docs: DataFrame, *, least: int = 25, id_col: str = "doc_id", te
     Of the documents with an anchor the one with the smallest (doc_id, seal) owns it, and each other one is paired
     with the owner: a passage in n documents makes n - 1 pairs however many they are, and none is missed, as the
     owner's copy stays. ``seal`` is the text's hash; it tells documents of one id apart. Rows that agree in both are
-    one document. Rows without id take no part.
+    one document. Rows without id take no part, nor do null and empty texts; very long texts are like any other. An empty table
+    gives no rows. Ids must be whole numbers.
     """
+    whole_ids(docs, id_col)
     rows = pick(docs, doc_id=id_col, text=text_col).filter("doc_id is not null and text is not null")
     rows = rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("seal"), "text")
     table = stored(map_arrow(rows, _tabulate(least), "doc_id long, seal long, hashes array<long>, words array<int>, numbers array<int>, anchors array<long>"), "lines")
@@ -219,8 +223,12 @@ def shared_lines(docs: DataFrame, *, least: int = 25, id_col: str = "doc_id", te
     pairs = held.join(owners, "anchor").filter("doc <> owner").select("doc", "owner").distinct()
     pairs = stored(pairs.select("doc.*", F.col("owner.doc_id").alias("own_id"), F.col("owner.seal").alias("own_seal")), "pairs")
     lines = table.dropDuplicates(["doc_id", "seal"])
+    # An owner's lines go to as many tasks as its later documents are dealt over by their salt, one copy for each salt in use.
+    owner, salt = ["own_id", "own_seal"], F.pmod(F.xxhash64("doc_id", "seal"), F.lit(SALTS)).alias("salt")
+    pairs = pairs.select("*", salt)
     first = lines.select(F.col("doc_id").alias("own_id"), F.col("seal").alias("own_seal"), F.col("hashes").alias("earlier"))
-    both = pairs.join(first, ["own_id", "own_seal"]).join(lines.drop("anchors"), ["doc_id", "seal"])
+    first = first.join(pairs.select(*owner, "salt").distinct(), owner)
+    both = pairs.join(first, [*owner, "salt"]).join(lines.drop("anchors"), ["doc_id", "seal"])
     found = map_arrow(both.select("doc_id", "seal", "earlier", "hashes", "words", "numbers"), _align(least), "doc_id long, seal long, lines array<int>")
     return found.groupBy("doc_id", "seal").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("lines")))).alias("lines"))
 
@@ -230,15 +238,15 @@ def remove_shared(docs: DataFrame, *, least: int = 25, id_col: str = "doc_id", t
 
     A block is a run of whole lines with ``least`` words or more in all; shorter common lines stay. Null ids and
     texts pass unchanged, exact repetitions of a row change alike, and a text of which nothing is left is empty.
-    ``lines_col`` names an added column with the numbers of the deleted lines (null if none).
+    ``lines_col`` names an added column with the numbers of the deleted lines (null if none). Very long texts and ties are as in
+    ``shared_lines``; an empty table stays empty, and names of other columns do not matter. Ids must be whole numbers.
     """
     found = stored(shared_lines(docs, least=least, id_col=id_col, text_col=text_col), "deletions")
-    found = found.select(F.col("doc_id").alias("__own_id"), F.col("seal").alias("__own_seal"), F.col("lines").alias("__lines"))
-    text, doc = F.col(f"`{text_col}`"), F.col(f"`{id_col}`")
+    own_id, own_seal, lines = (spare_name(docs, n) for n in ("own_id", "own_seal", "gone_lines"))
+    found = found.select(F.col("doc_id").alias(own_id), F.col("seal").alias(own_seal), F.col("lines").alias(lines))
+    text, doc = col(text_col), col(id_col)
     # By sorting at every size: a plan that broadcasts few deletions and shuffles texts for many is hard to foresee.
-    joined = docs.join(found.hint("merge"), (doc.cast("long") == F.col("__own_id")) & (F.xxhash64(text) == F.col("__own_seal")), "left")
-    kept = F.array_join(F.filter(F.split(text, "\n", -1), lambda _, i: ~F.array_contains(F.col("__lines"), i)), "\n")
-    cut = joined.withColumn(text_col, F.when(F.col("__lines").isNull(), text).otherwise(kept))
-    if lines_col:
-        cut = cut.withColumn(lines_col, F.col("__lines"))
-    return cut.drop("__own_id", "__own_seal", "__lines")
+    joined = docs.join(found.hint("merge"), (doc.cast("long") == F.col(own_id)) & (F.xxhash64(text) == F.col(own_seal)), "left")
+    kept = F.array_join(F.filter(F.split(text, "\n", -1), lambda _, i: ~F.array_contains(F.col(lines), i)), "\n")
+    cut = [F.when(F.col(lines).isNull(), text).otherwise(kept).alias(c) if c == text_col else col(c) for c in docs.columns]
+    return joined.select(*cut, *([F.col(lines).alias(lines_col)] if lines_col else []))

@@ -2,7 +2,7 @@
 
 import random
 
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, fp long, `lines` int"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, fp long, `lines` int, `__lines` int, own_id string, gone long, leak int, `a.b` int, component long"
 
 
 def prose(seed: int, words: int) -> str:
@@ -23,7 +23,7 @@ def prose(seed: int, words: int) -> str:
 def frame(spark, texts: dict | list):
     """doc_id and text beside columns whose names clash with those the operators make."""
     rows = texts.items() if isinstance(texts, dict) else texts
-    return spark.createDataFrame([(k, t, "xx", "src", -1, 9.5, 3, 4) for k, t in rows], SCHEMA)
+    return spark.createDataFrame([(k, t, "xx", "src", -1, 9.5, 3, 4, 5, "own", 6, 7, 8, 9) for k, t in rows], SCHEMA)
 
 
 def awkward() -> list:
@@ -32,4 +32,5 @@ def awkward() -> list:
     return [
         (1, None), (2, ""), (3, " \n\t\n "), (4, long), (5, "one"), (5, "one"), (6, "two words"), (6, "Other text, same id."),
         (None, prose(5, 40)), (None, None), (7, "é　ñ \x1c ß\x85 <|endoftext|> </s>"), (8, "\x00 zero"), (9, "🙂🙂 12,5 kg $7"), (10, prose(5, 40)),
+        (11, "\u0301\u0302"), (12, "Ⅷ"), (13, "\u200d"), (14, "12 ² _ !"),
     ]
