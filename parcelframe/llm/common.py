@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -123,3 +124,17 @@ class Memo(dict):
             self.clear()
         value = self[key] = self.fn(key)
         return value
+
+
+class Grown:
+    """A table to which rows are added at its end; room doubles, so adding costs no copy of what is there each time."""
+
+    def __init__(self, kind, width: tuple = ()):
+        self.rows, self.n = np.empty((1024, *width), kind), 0
+
+    def add(self, rows) -> None:
+        rows = np.asarray(rows, self.rows.dtype).reshape(-1, *self.rows.shape[1:])
+        while self.n + len(rows) > len(self.rows):
+            self.rows = np.concatenate([self.rows, np.empty_like(self.rows)])
+        self.rows[self.n : self.n + len(rows)] = rows
+        self.n += len(rows)

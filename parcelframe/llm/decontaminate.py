@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelframe.llm.common import col, map_arrow, pick, spare_name, whole_ids, worker_own
+from parcelframe.llm.common import Grown, col, map_arrow, pick, spare_name, whole_ids, worker_own
 from parcelframe.session import stored
 
 WORDS = 5
@@ -42,6 +42,7 @@ NUMBER_WORDS = frozenset(
     "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen "
     "nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion dozen".split()
 )
+_TYPED = UNITS | NUMBER_WORDS
 
 
 def _hash(text: str) -> int:
@@ -58,16 +59,26 @@ def token(word: str) -> tuple[int, int]:
     if not bare:
         return _hash(word), said | BEFORE | AFTER | (UNIT if word in UNITS else EMPTY)
     said |= (BEFORE if word[0] != bare[0] else 0) | (AFTER if word[-1] != bare[-1] else 0)
-    low = bare.lower()
-    if _NUMBER.match(bare) or low in NUMBER_WORDS:
-        return _hash(low), said | NUMBER
-    if low in UNITS and (low == bare or not bare[0].isupper()):
-        return _hash(low), said | UNIT
-    return _hash(low), said | (CAPITAL if bare[0].isupper() else PLAIN)
+    if _NUMBER.match(bare):
+        return _hash(bare.lower()), said | NUMBER
+    return _bare(bare, said)
+
+
+def _bare(word: str, said: int) -> tuple[int, int]:
+    low = word.lower()
+    if low in NUMBER_WORDS:
+        kind = NUMBER
+    elif low in UNITS and (low == word or not word[0].isupper()):
+        kind = UNIT
+    else:
+        kind = CAPITAL if word[0].isupper() else PLAIN
+    return xxhash.xxh64_intdigest(low.encode()), said | kind
 
 
 def pieces(word: str) -> list[str]:
     """A word between blanks as its parts: numbers apart from glued units, characters of scripts without blanks each."""
+    if word.isascii() and word.isalpha():
+        return [word]
     if _DIGIT.search(word):
         word = _GLUED.sub(" ", word)
     if not word.isascii() and _UNSPACED.search(word):
@@ -78,22 +89,42 @@ def pieces(word: str) -> list[str]:
 class Words:
     """Tokens of the words of many texts at once; words are remembered up to ``room``."""
 
-    def __init__(self, room: int = 400_000):
+    def __init__(self, room: int = 1_000_000):
         self.room = room
         self.codes: dict[str, int] = {}
-        self.raw, self.said, self.start = [], [], [0]
-
-    def _learn(self, words: list[str]) -> None:
-        if len(self.codes) + len(words) > self.room:
-            self.__init__(self.room)
-        for word in set(words).difference(self.codes):
-            self.codes[word] = len(self.codes)
-            for part in pieces(word):
-                raw, said = token(part)
-                self.raw.append(raw)
-                self.said.append(said)
-            self.start.append(len(self.raw))
-        self.tables = np.array(self.raw, _U), np.array(self.said, np.int8), np.array(self.start)
+        self.raw, self.said, self.start = Grown(_U), Grown(np.int8), Grown(np.int64)
+        self.start.add([0])
+
+    def _learn(self, words: set[str]) -> None:
+        """Adds the tokens of new words. Most are letters with a mark at the end at most, which need no closer look."""
+        raw, said, count, digest = [], [], [], xxhash.xxh64_intdigest
+        for word in words:
+            mark = word[-1]
+            bare = word[:-1] if mark in ".,:;!?" else word
+            if bare.isalpha() and (word.isascii() or not _UNSPACED.search(word)):
+                low = bare.lower()
+                kind = _bare(bare, 0)[1] if low in _TYPED else CAPITAL if bare[0].isupper() else PLAIN
+                raw.append(digest(low))
+                said.append(kind if bare is word else kind | AFTER if mark in ",;" else kind | AFTER | ENDS)
+                count.append(1)
+                continue
+            parts = [token(part) for part in pieces(word)]
+            raw += [x for x, _ in parts]
+            said += [x for _, x in parts]
+            count.append(len(parts))
+        self.codes.update(zip(words, range(len(self.codes), len(self.codes) + len(words)), strict=True))
+        self.raw.add(np.array(raw, _U))
+        self.said.add(said)
+        self.start.add(self.start.rows[self.start.n - 1] + np.cumsum(count))
+
+    def _codes(self, words: list[str]) -> np.ndarray:
+        codes = list(map(self.codes.get, words))
+        if None in codes:
+            if len(self.codes) + len(words) > self.room:
+                self.__init__(self.room)
+            self._learn(set(words).difference(self.codes))
+            codes = list(map(self.codes.__getitem__, words))
+        return np.array(codes, np.int64)
 
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(text, raw word hash, kind, whether a mark parts the word from the one before) of all words of the texts.
@@ -102,15 +133,11 @@ class Words:
         """
         split = [t.split() for t in texts]
         flat = [w for words in split for w in words]
-        codes = list(map(self.codes.get, flat))
-        if None in codes:
-            self._learn(flat)
-            codes = list(map(self.codes.__getitem__, flat))
         text = np.repeat(np.arange(len(texts)), [len(words) for words in split])
         if not flat:
             return text, np.empty(0, _U), np.empty(0, np.int8), np.empty(0, bool)
-        raw, said, start = self.tables
-        code = np.array(codes)
+        code = self._codes(flat)
+        raw, said, start = self.raw.rows, self.said.rows, self.start.rows
         count = start[code + 1] - start[code]
         if (count != 1).any():
             text = np.repeat(text, count)

@@ -15,7 +15,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelframe.llm.common import bounded_sample, map_arrow, pick, texts_udf, worker_own
+from parcelframe.llm.common import Grown, bounded_sample, map_arrow, pick, texts_udf, worker_own
 
 #: A word begins with a letter; letters and combining marks follow. No word spans white space.
 WORDS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
@@ -68,11 +68,10 @@ class LanguageModel:
     room: int = 300_000
     #: What is remembered of tokens between blanks: a number for each, and the scores of the words in them, in order of numbers.
     _codes: dict = field(default_factory=dict, repr=False)
-    _parts: list = field(default_factory=list, repr=False)
     _tables: tuple = field(default=(), repr=False)
 
     def __getstate__(self):
-        return {**self.__dict__, "_codes": {}, "_parts": [], "_tables": ()}
+        return {**self.__dict__, "_codes": {}, "_tables": ()}
 
     def word_scores(self, word: str) -> tuple[float, ...]:
         """Log probability of the word in each language.
@@ -93,14 +92,16 @@ class LanguageModel:
         return (0.0,) * len(self.langs)
 
     def _learn(self, tokens: list[str]) -> None:
-        if len(self._codes) + len(tokens) > self.room:
-            self._codes, self._parts = {}, []
-        for token in set(tokens).difference(self._codes):
-            self._codes[token] = len(self._parts)
-            self._parts.append([self.word_scores(word) for word in WORDS.findall(token)])
-        count = np.array([len(p) for p in self._parts])
-        scores = np.array([s for p in self._parts for s in p], float).reshape(-1, len(self.langs))
-        self._tables = count, np.cumsum(count) - count, scores
+        if not self._tables or len(self._codes) + len(tokens) > self.room:
+            self._codes, self._tables = {}, (Grown(np.int64), Grown(np.int64), Grown(float, (len(self.langs),)))
+        count, start, scores = self._tables
+        new = set(tokens).difference(self._codes)
+        self._codes.update(zip(new, range(len(self._codes), len(self._codes) + len(new)), strict=True))
+        made = [[self.word_scores(word) for word in WORDS.findall(token)] for token in new]
+        sizes = np.array([len(m) for m in made], np.int64)
+        start.add(scores.n + np.cumsum(sizes) - sizes)
+        count.add(sizes)
+        scores.add([s for m in made for s in m])
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         """The language and its score (0 to 1) of each text; ``und`` and 0 for null and for texts without a letter."""
@@ -113,7 +114,7 @@ class LanguageModel:
         if None in codes:
             self._learn(flat)
             codes = list(map(self._codes.__getitem__, flat))
-        count, start, table = self._tables
+        count, start, table = (t.rows for t in self._tables)
         code = np.array(codes)
         n = count[code]
         own = np.repeat(np.repeat(np.arange(len(texts)), [len(words) for words in split]), n)
