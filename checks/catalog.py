@@ -10,7 +10,7 @@ from checks import views as v
 from parcelframe import fixed, schemas
 from parcelframe.functions import numbers, text
 from parcelframe.operators import columns as cols
-from parcelframe.operators import comparables, distributions, filters, quantiles, ranking, stats, worklist
+from parcelframe.operators import comparables, distributions, filters, quantiles, ranking, sketches, stats, worklist
 from parcelframe.plans import cleaning, features, models, scoring
 from parcelframe.session import stored, work_folder
 from parcelframe.sources import listings, pages, sinks
@@ -836,6 +836,55 @@ def _(spark, d):
     return df.agg(*near).unpivot([], NUM, "column", "near")
 
 
+@query(
+    "merged_median_by_city",
+    "SELECT city_province, count(price_per_m2) AS rows, true AS near FROM clean WHERE city_province IS NOT NULL GROUP BY 1",
+    "clean",
+)
+def _(spark, d):
+    """Sketches per city and month of posting, stored and merged per city: is each median within one percent of rank?"""
+    df = v.clean(spark, d).filter("city_province is not null and price_per_m2 is not null")
+    fine = stored(sketches.quantile_sketches(df, "price_per_m2", ["city_province", F.month("posting_ts").alias("month")]), "sketches")
+    found = sketches.sketched_quantiles(sketches.merged_sketches(fine, ["city_province"]), {"median": 0.5})
+    x = F.col("price_per_m2").cast("double")
+    share = lambda test: F.count(F.when(test, 1)) / F.count("*")
+    near = (share(x < F.col("median")) <= 0.51) & (share(x <= F.col("median")) >= 0.49)
+    return df.join(found, "city_province").groupBy("city_province", "rows").agg(near.alias("near"))
+
+
+def _place_sql(p: str) -> str:
+    """The values on either side of the place p * (n - 1) of the sorted list, and the one between them."""
+    at, name = f"CAST({p} AS DECIMAL(10,9)) * (n - 1)", "p" + p[2:]
+    low, high = f"s[1 + CAST(floor({at}) AS BIGINT)]", f"s[1 + CAST(ceil({at}) AS BIGINT)]"
+    return f"{low} AS {name}_low, {high} AS {name}_high"
+
+
+_LARGE = {"large": "o_orderkey * 153722867280912 + 9007199254740993", "exact": "CAST(o_totalprice AS DECIMAL(20,2)) * 10000000000000000 + o_orderkey"}
+
+
+def _large_quantiles_sql(name: str) -> str:
+    kind = "DECIMAL(38,0)" if name == "large" else "DECIMAL(38,2)"
+    return f"""SELECT o_orderstatus, {", ".join(_place_sql(p) for p in ("0.25", "0.50", "0.99"))}
+    FROM (SELECT o_orderstatus, list(x ORDER BY x) AS s, count(*) AS n FROM (SELECT o_orderstatus, CAST({_LARGE[name]} AS {kind}) AS x FROM orders) GROUP BY 1)"""
+
+
+def _large_quantiles(spark, d, name: str) -> DataFrame:
+    kind = "bigint" if name == "large" else "decimal(38,2)"
+    rows = v.table(spark, d, "orders").select("o_orderstatus", F.expr(f"cast({_LARGE[name]} as {kind})").alias("x"))
+    found = quantiles.exact_decimal_quantiles(rows, "x", {"p25": "0.25", "p50": "0.50", "p99": "0.99"}, ["o_orderstatus"])
+    return found.drop("p25", "p50", "p99")
+
+
+@query("exact_bigint_quantiles", _large_quantiles_sql("large"))
+def _(spark, d):
+    return _large_quantiles(spark, d, "large")
+
+
+@query("exact_decimal_quantiles", _large_quantiles_sql("exact"))
+def _(spark, d):
+    return _large_quantiles(spark, d, "exact")
+
+
 @query(
     "trimmed_price_range",
     """SELECT max(price_per_m2) FILTER (price_per_m2 < (SELECT quantile_cont(price_per_m2, 0.99) FROM clean))
@@ -1327,8 +1376,44 @@ def _(spark, d):
 def _(spark, d):
     out = work_folder(spark, "stream-trend")
     totals = ingest.month_totals(ingest.stream_clean(_raw_stream(spark, d)), F.month("posting_ts"))
-    ingest.replace_each_batch(totals, out, work_folder(spark, "progress")).awaitTermination()
-    return ingest.month_means(spark.read.parquet(out))
+    ingest.publish_each_batch(totals, out, work_folder(spark, "progress")).awaitTermination()
+    return ingest.month_means(ingest.read_published(spark, out))
+
+
+def _twice(spark, d, name: str, parts: int = 3) -> str:
+    """A folder with each part of a table's file twice, as if a delivery had been repeated."""
+    out = work_folder(spark, f"{name}-twice")
+    rows = v.table(spark, d, name).repartition(parts)
+    rows.write.parquet(out)
+    spark.read.parquet(out).write.mode("append").parquet(out)
+    return out
+
+
+@query("stream_clean_once", f"SELECT {CLEAN_COLUMNS} FROM clean", "clean")
+def _(spark, d):
+    """Files that arrive twice, one file in a batch: the result is that of the batch."""
+    folder = _twice(spark, d, "orders")
+    orders = ingest.stream_files(spark, folder, v.table(spark, d, "orders").schema, files_per_batch=1)
+    cleaned = ingest.stream_clean_once(v.raw_from_orders(orders, spark, d), ["link", "posting_ts"], "posting_ts", late="5000 days")
+    out = work_folder(spark, "stream-once")
+    ingest.append_available(cleaned, out, work_folder(spark, "progress")).awaitTermination()
+    return v.widened(spark.read.parquet(out).drop("posting_ts"))
+
+
+@query(
+    "stream_latest_status",
+    """SELECT l_orderkey AS link_id, CASE l_returnflag WHEN 'A' THEN 'error' WHEN 'R' THEN 'failed' ELSE 'processed' END AS status
+    FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate DESC, l_linenumber DESC, l_partkey DESC) = 1""",
+)
+def _(spark, d):
+    """Status events one file at a time; the table has the latest status of each link."""
+    folder, out = _twice(spark, d, "lineitem"), work_folder(spark, "stream-status")
+    events = ingest.stream_files(spark, folder, v.table(spark, d, "lineitem").schema, files_per_batch=2)
+    status = F.when(F.col("l_returnflag") == "A", "error").when(F.col("l_returnflag") == "R", "failed").otherwise("processed")
+    events = events.select(F.col("l_orderkey").alias("link_id"), status.alias("status"), "l_shipdate", "l_linenumber", "l_partkey")
+    order = ["l_shipdate", "l_linenumber", "l_partkey"]
+    ingest.latest_each_batch(events, ["link_id"], order, out, work_folder(spark, "progress")).awaitTermination()
+    return ingest.read_published(spark, out).select("link_id", "status")
 
 
 @query(

@@ -26,12 +26,12 @@ def _auto_bins(df: DataFrame, value: str, n: int, span: float) -> int:
 def histogram(df: DataFrame, value: str = PRICE, bins: int | None = 50, log: bool = False) -> DataFrame:
     """Counts in equal bins from the smallest to the largest value, empty bins included.
 
-    Without a bin count the number follows from size and spread. The last bin includes its end.
+    Null and NaN values are left out. Without a bin count the number follows from size and spread. The last bin includes its end.
     The limits are found first, by one job that returns three numbers.
     """
     x = F.col(value).cast("double")
     source = df
-    df = df.select((numbers.log_price(x) if log else x).alias("x")).filter(F.col("x").isNotNull())
+    df = df.select((numbers.log_price(x) if log else x).alias("x")).filter(F.col("x").isNotNull() & ~F.isnan("x"))
     low, high, n = df.agg(F.min("x"), F.max("x"), F.count("*")).first()
     if not n:
         return df.sparkSession.createDataFrame([], "bin int, low double, high double, count bigint")
@@ -58,12 +58,12 @@ def trimmed_histogram(df: DataFrame, value: str = PRICE, bins: int = 50) -> Data
 def density(df: DataFrame, value: str = PRICE, points: int = 200, log: bool = False) -> DataFrame:
     """Gaussian kernel density on an even grid from the smallest to the largest value.
 
-    The bandwidth is the sample standard deviation times n^(-1/5). Rows are first reduced to counted
+    The bandwidth is the sample standard deviation times n^(-1/5); null and NaN values are left out. Rows are first reduced to counted
     distinct values, then every value adds its weight to the fixed number of grid points. Without any
     spread there is no density and the result is empty.
     """
     x = F.col(value).cast("double")
-    rows = df.select((numbers.log_price(x) if log else x).alias("x")).filter(F.col("x").isNotNull())
+    rows = df.select((numbers.log_price(x) if log else x).alias("x")).filter(F.col("x").isNotNull() & ~F.isnan("x"))
     low, high, n, deviation = rows.agg(F.min("x"), F.max("x"), F.count("*"), F.stddev_samp("x")).first()
     if not deviation:
         return df.sparkSession.createDataFrame([], "point int, x double, density double")

@@ -56,14 +56,17 @@ def sample_n(df: DataFrame, key: str, n: int = 1000) -> DataFrame:
 
 
 def in_train(key: str, train_share: float = 0.8) -> Column:
-    """A stable assignment to the training part, spread by the hash of a key."""
-    return _hash_prefix(key) < round(train_share * 2**32)
+    """A stable assignment to the training part, spread by the hash of a key; rows without a key are not in it."""
+    return F.coalesce(_hash_prefix(key) < round(train_share * 2**32), F.lit(False))
 
 
 def train_test_split(
     df: DataFrame, key: str | None = None, train_share: float = 0.8, seed: int = 42
 ) -> tuple[DataFrame, DataFrame]:
-    """By the hash of a key, so that a recomputed partition cannot move a row; at random without one."""
+    """By the hash of a key, so that a recomputed partition cannot move a row; at random without one.
+
+    Every row is in one part: those with a null key are test rows.
+    """
     if key is None:
         train, test = df.randomSplit([train_share, 1 - train_share], seed=seed)
         return train, test

@@ -1,5 +1,9 @@
 """Listings that arrive as files: cleaned, scored and counted by Structured Streaming."""
 
+import uuid
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +15,9 @@ from parcelframe.plans.cleaning import clean_listings_a
 from parcelframe.plans.features import FeaturePreset
 from parcelframe.plans.scoring import score_batch
 
+#: The file in a published table's folder that names the present version; Spark's readers skip names that begin with "_".
+POINTER = "current.txt"
+
 
 def stream_files(
     spark: SparkSession,
@@ -37,6 +44,16 @@ def stream_clean(raw: DataFrame) -> DataFrame:
     return clean_listings_a(raw)
 
 
+def stream_clean_once(raw: DataFrame, keys: Sequence[str], time: str, late: str = "30 days") -> DataFrame:
+    """The cleaning of each listing once, though its file is delivered again.
+
+    Rows are one if their keys agree and they come within ``late`` of each other in event time, which also bounds the state that
+    is kept. Rows without a time, and rows later than that, are left out; so ``late`` is how long a replay may take.
+    """
+    known = raw.withColumn("_time", F.col(time).cast("timestamp")).filter("_time is not null")
+    return clean_listings_a(known.withWatermark("_time", late).dropDuplicatesWithinWatermark(list(keys)).drop("_time"))
+
+
 def stream_score(clean: DataFrame, model: PipelineModel, preset: FeaturePreset, keep=()) -> DataFrame:
     return score_batch(clean, model, preset, keep)
 
@@ -87,16 +104,73 @@ def month_means_of_days(days: DataFrame) -> DataFrame:
     )
 
 
-def replace_each_batch(stream: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
-    """Complete output into a table that each batch replaces."""
-
-    def store(batch: DataFrame, _: int) -> None:
-        batch.write.mode("overwrite").parquet(out)
-
+def publish(table: DataFrame, out: str, version: str) -> None:
+    """Writes a version of a table beside the others and then points readers to it.
+
+    The pointer is a small file that is renamed over the old one in one step, so a reader sees the old version or the new
+    one, and a write that fails half-way changes nothing for readers. The version before the last one stays for plans that
+    still read it; older ones are deleted.
+    """
+    spark = table.sparkSession
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop = jvm.org.apache.hadoop.fs
+    folder = f"{version}-{uuid.uuid4().hex}"
+    table.write.parquet(f"{out}/{folder}")
+    last = published_version(spark, out)
+    files = hadoop.FileContext.getFileContext(hadoop.Path(out).toUri(), conf)
+    fresh, pointer = hadoop.Path(f"{out}/_{folder}"), hadoop.Path(f"{out}/{POINTER}")
+    spark.createDataFrame([(folder,)], "version string").coalesce(1).write.text(fresh.toString())
+    system = pointer.getFileSystem(conf)
+    written = next(s.getPath() for s in system.listStatus(fresh) if s.getPath().getName().startswith("part-"))
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    files.rename(written, pointer, options)
+    system.delete(fresh, True)
+    for status in system.listStatus(hadoop.Path(out)):
+        if status.isDirectory() and status.getPath().getName() not in (folder, last):
+            system.delete(status.getPath(), True)
+
+
+def published_version(spark: SparkSession, out: str) -> str | None:
+    """The folder that readers are pointed to, or None before the first version."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{out}/{POINTER}")
+    if not place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place):
+        return None
+    return spark.read.text(f"{out}/{POINTER}").first()[0]
+
+
+def read_published(spark: SparkSession, out: str) -> DataFrame:
+    """The table's present version; a plan made from it goes on with that version whatever is published meanwhile."""
+    return spark.read.parquet(f"{out}/{published_version(spark, out)}")
+
+
+def publish_each_batch(stream: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
+    """Complete output as a published table with a version for each batch."""
     return (
         stream.writeStream.outputMode("complete")
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(store)
+        .foreachBatch(lambda batch, number: publish(batch, out, f"batch-{number}"))
         .trigger(availableNow=True)
         .start()
     )
+
+
+def latest_each_batch(stream: DataFrame, keys: Sequence[str], order: Sequence[str], out: str, checkpoint: str) -> StreamingQuery:
+    """The latest row of each key while rows arrive, as a published table.
+
+    The state of the stream is one row per key, the last in ``order``; a batch brings out the keys it has changed, which replace
+    their rows in the table. Null keys are a key like any other.
+    """
+    rest = [c for c in stream.columns if c not in keys]
+    latest = stream.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("last")).select(*keys, "last.*")
+
+    def merge(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        if published_version(spark, out) is not None:
+            old = read_published(spark, out)
+            new = batch.select(*[F.col(k).alias(f"new_{k}") for k in keys])
+            same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"new_{k}")) for k in keys))
+            batch = old.join(new, same, "left_anti").unionByName(batch)
+        publish(batch, out, f"batch-{number}")
+
+    return latest.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(merge).trigger(availableNow=True).start()
