@@ -9,13 +9,12 @@ from collections.abc import Iterator
 from copy import copy
 from dataclasses import dataclass, field
 
-import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelframe.llm.common import Grown, bounded_sample, map_arrow, pick, texts_udf, worker_own
+from parcelframe.llm.common import Memo, bounded_sample, map_arrow, pick, text_udf, worker_own
 
 #: A word begins with a letter; letters and combining marks follow. No word spans white space.
 WORDS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
@@ -66,12 +65,10 @@ class LanguageModel:
     terms: list[dict[str, list[int]]]
     penalty: float = 0.4
     room: int = 300_000
-    #: What is remembered of tokens between blanks: a number for each, and the scores of the words in them, in order of numbers.
-    _codes: dict = field(default_factory=dict, repr=False)
-    _tables: tuple = field(default=(), repr=False)
+    _memo: Memo | None = field(default=None, repr=False)
 
     def __getstate__(self):
-        return {**self.__dict__, "_codes": {}, "_tables": ()}
+        return {**self.__dict__, "_memo": None}
 
     def word_scores(self, word: str) -> tuple[float, ...]:
         """Log probability of the word in each language.
@@ -91,49 +88,22 @@ class LanguageModel:
                 )
         return (0.0,) * len(self.langs)
 
-    def _learn(self, tokens: list[str]) -> None:
-        if not self._tables or len(self._codes) + len(tokens) > self.room:
-            self._codes, self._tables = {}, (Grown(np.int64), Grown(np.int64), Grown(float, (len(self.langs),)))
-        count, start, scores = self._tables
-        new = set(tokens).difference(self._codes)
-        self._codes.update(zip(new, range(len(self._codes), len(self._codes) + len(new)), strict=True))
-        made = [[self.word_scores(word) for word in WORDS.findall(token)] for token in new]
-        sizes = np.array([len(m) for m in made], np.int64)
-        start.add(scores.n + np.cumsum(sizes) - sizes)
-        count.add(sizes)
-        scores.add([s for m in made for s in m])
-
-    def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
-        """The language and its score (0 to 1) of each text; ``und`` and 0 for null and for texts without a letter."""
-        langs, scores = ["und"] * len(texts), [0.0] * len(texts)
-        split = [t.lower().split() if t else [] for t in texts]
-        flat = [w for words in split for w in words]
-        if not flat or not self.langs:
-            return langs, scores
-        codes = list(map(self._codes.get, flat))
-        if None in codes:
-            self._learn(flat)
-            codes = list(map(self._codes.__getitem__, flat))
-        count, start, table = (t.rows for t in self._tables)
-        code = np.array(codes)
-        n = count[code]
-        own = np.repeat(np.repeat(np.arange(len(texts)), [len(words) for words in split]), n)
-        if not len(own):
-            return langs, scores
-        place = np.arange(len(own)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(start[code], n)
-        first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
-        sums = np.add.reduceat(table[place], first, 0)
-        words = np.diff(np.r_[first, len(own)])
-        best = sums.argmax(1)
-        # Words of a text are not independent: the square root of their number keeps long texts from certainty.
-        odds = np.exp(np.maximum(-700.0, (sums - sums.max(1, keepdims=True)) / np.sqrt(words)[:, None]))
-        for k, b, share in zip(own[first].tolist(), best.tolist(), (1 / odds.sum(1)).tolist(), strict=True):
-            langs[k], scores[k] = self.langs[b], share
-        return langs, scores
-
     def __call__(self, text: str | None) -> tuple[str, float]:
-        (lang,), (score,) = self.predict([text])
-        return lang, score
+        """The language and its score (0 to 1); ``und`` and 0 for null and for texts without a letter."""
+        words = WORDS.findall(text.lower()) if text else []
+        if not words or not self.langs:
+            return "und", 0.0
+        if self._memo is None:
+            self._memo = Memo(self.word_scores, self.room)
+        memo, sums = self._memo, [0.0] * len(self.langs)
+        for word, n in Counter(words).items():
+            for i, score in enumerate(memo[word]):
+                sums[i] += n * score
+        top = max(sums)
+        # Words of a text are not independent: the square root of their number keeps long texts from certainty.
+        odds = [math.exp(max(-700.0, (s - top) / math.sqrt(len(words)))) for s in sums]
+        best = sums.index(top)
+        return self.langs[best], odds[best] / sum(odds)
 
 
 def train(
@@ -170,10 +140,10 @@ def language_columns(spark, model: LanguageModel, text):
     """A struct column (lang_pred, score) for a text column; ``und`` with score 0 for null or letterless text."""
     shared, key = spark.sparkContext.broadcast(model), str(uuid.uuid4())
 
-    def predict(texts):
-        return worker_own(key, lambda: copy(shared.value)).predict(texts)
+    def predict(value):
+        return worker_own(key, lambda: copy(shared.value))(value)
 
-    return texts_udf(predict, "lang_pred string, score double")(text)
+    return text_udf(predict, "lang_pred string, score double")(text)
 
 
 def identify(docs: DataFrame, model: LanguageModel, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
