@@ -137,6 +137,83 @@ def _(spark, d):
     return listings.worklist_links(v.raw(spark, d))
 
 
+def _broken_csv(spark, d) -> str:
+    """Listings as CSV lines, some cut short and some with further fields."""
+    path = work_folder(spark, "broken-csv")
+    raw = v.raw(spark, d)
+    line, k = F.to_csv(F.struct(*schemas.LISTINGS_RAW.names), {"escape": '"'}), F.col("listing_id")
+    line = F.when(k % 29 == 0, F.regexp_replace(line, ",[^,]*$", "")).when(k % 31 == 0, F.concat(line, F.lit(",more,1"))).otherwise(line)
+    bare = {"header": "true", "quote": "", "sep": "\x01", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    raw.select(line.alias(",".join(schemas.LISTINGS_RAW.names))).write.options(**bare).csv(path)
+    return path
+
+
+@query(
+    "read_checked",
+    f"SELECT {RAW_COLUMNS} FROM raw WHERE listing_id % 29 <> 0 AND listing_id % 31 <> 0",
+    "raw",
+)
+def _(spark, d):
+    return listings.read_checked(spark, _broken_csv(spark, d))[0]
+
+
+@query(
+    "quarantined_lines",
+    """SELECT link, CASE WHEN listing_id % 29 = 0 THEN 'too_few_fields' ELSE 'too_many_fields' END AS reason FROM raw
+    WHERE listing_id % 29 = 0 OR listing_id % 31 = 0""",
+    "raw",
+)
+def _(spark, d):
+    bad = listings.read_checked(spark, _broken_csv(spark, d))[1]
+    return bad.select(F.substring_index("line", ",", 1).alias("link"), "reason")
+
+
+@query("write_single_csv", f"SELECT {RAW_COLUMNS} FROM raw", "raw")
+def _(spark, d):
+    path = work_folder(spark, "single") + ".csv"
+    sinks.write_single_csv(v.raw_texts(spark, d), path)
+    return listings.read_listings(spark, path)
+
+
+@query(
+    "replace_partitions",
+    f"""SELECT {CLEAN_COLUMNS.replace('listing_id, ', '').replace('area_m2', "CASE WHEN city_province = 'ASIA' THEN area_m2 + 1 ELSE area_m2 END AS area_m2")} FROM clean""",
+    "clean",
+)
+def _(spark, d):
+    """All places are written, then one of them anew."""
+    path = work_folder(spark, "by-city")
+    clean = v.clean(spark, d).select(*schemas.LISTINGS_CLEAN.names)
+    sinks.replace_partitions(clean, path, ["city_province"])
+    changed = filters.filter_location(clean, "ASIA").withColumn("area_m2", (F.col("area_m2") + 1).cast("float"))
+    sinks.replace_partitions(changed, path, ["city_province"])
+    return v.widened(listings.read_clean(spark, path).select(*schemas.LISTINGS_CLEAN.names))
+
+
+@query(
+    "append_details",
+    "SELECT url, description, posting_date, contact_name, contact_phone, features, image_urls FROM details UNION ALL "
+    "SELECT url, description, posting_date, contact_name, contact_phone, features, image_urls FROM details WHERE features <> ''",
+    "details",
+)
+def _(spark, d):
+    path = work_folder(spark, "details")
+    details = v.details(spark, d).select(*schemas.LISTING_DETAILS.names)
+    sinks.append_details(details, path, "parquet")
+    sinks.append_details(details.filter("features <> ''"), path, "parquet")
+    return spark.read.parquet(path)
+
+
+@query("read_inferred", "SELECT o_orderkey AS k, o_totalprice AS price, o_orderstatus AS status, o_orderdate AS ts FROM orders")
+def _(spark, d):
+    path = work_folder(spark, "inferred-csv")
+    rows = v.table(spark, d, "orders").selectExpr("o_orderkey AS k", "o_totalprice AS price", "o_orderstatus AS status", "o_orderdate AS ts")
+    sinks.write_table(rows, path)
+    return listings.read_inferred(spark, path).withColumns(
+        {"k": F.col("k").cast("bigint"), "ts": F.col("ts").cast("timestamp_ntz")}
+    )
+
+
 # --- projection and nulls ------------------------------------------------------------------------
 
 
@@ -517,6 +594,22 @@ def _(spark, d):
     return v.widened(v.clean(spark, d).drop("posting_ts"))
 
 
+@query(
+    "cleaning_step_counts",
+    f"""SELECT CAST(place AS INTEGER) AS place, step, n AS rows, coalesce(lag(n) OVER (ORDER BY place), n) - n AS dropped FROM (
+    SELECT 0 AS place, 'read' AS step, count(*) AS n FROM raw UNION ALL
+    SELECT 1, 'with_texts', count(*) FILTER (price IS NOT NULL AND area IS NOT NULL) FROM raw UNION ALL
+    SELECT 2, 'priced', count(*) FROM raw WHERE area IS NOT NULL AND {v.PRICE_A_SQL} IS NOT NULL UNION ALL
+    SELECT 3, 'with_area', count(*) FROM parsed WHERE price IS NOT NULL AND area_m2 > 0 UNION ALL
+    SELECT 4, 'in_band', count(*) FROM clean)""",
+    "clean",
+)
+def _(spark, d):
+    cleaned, counts = cleaning.with_step_counts(v.raw(spark, d))
+    stored(cleaned, "counted")
+    return counts()
+
+
 @query(
     "clean_listings_b",
     """SELECT listing_id, price_per_m2, area_m2 AS "area (m2)", category, direction, floor_num, toilet_num, livingroom_num,
@@ -957,6 +1050,25 @@ def _(spark, d):
     return _rounded(distributions.density(v.clean(spark, d), log=True), x=7, density=6)
 
 
+_CELLS = """frame AS (SELECT min(l_extendedprice) AS low, max(l_extendedprice) AS high, count(*) AS n,
+    stddev_samp(l_extendedprice) * pow(count(*), -0.2::DOUBLE) AS width FROM lineitem),
+    placed AS (SELECT (l_extendedprice - low) / (width / 40) AS place FROM lineitem, frame),
+    cells AS (SELECT cell, sum(weight) AS weight FROM (SELECT floor(place) AS cell, 1 - (place - floor(place)) AS weight FROM placed
+    UNION ALL SELECT floor(place) + 1, place - floor(place) FROM placed) GROUP BY 1)"""
+
+
+@query(
+    "price_kde_binned",
+    """SELECT CAST(point AS INTEGER) AS point, round(low + point * (high - low) / 199, 3) AS x,
+    round(sum(weight * exp(-pow((point * (high - low) / 199 - cell * width / 40) / width, 2) / 2)) / any_value(n * width * sqrt(2 * pi())) * 1e5, 6) AS density
+    FROM cells, frame, (SELECT unnest(range(0, 200)) AS point) GROUP BY point, low, high""",
+    more=_CELLS,
+)
+def _(spark, d):
+    curve = distributions.binned_density(v.table(spark, d, "lineitem"), "l_extendedprice")
+    return _rounded(curve.withColumn("density", F.col("density") * 1e5), x=3, density=6)
+
+
 @query(
     "price_boxplot_by_city",
     """SELECT c.city_province, round(q1, 3) AS q1, round(median, 3) AS median, round(q3, 3) AS q3,
@@ -1345,6 +1457,30 @@ def _(spark, d):
     return _rounded(spanned.select("listing_id", "lower", "upper"), lower=2, upper=2)
 
 
+_IN_TRAIN_SQL = "CAST('0x' || substr(md5(CAST(listing_id AS VARCHAR)), 1, 8) AS BIGINT) < 3435973837"
+
+
+@query(
+    "conformal_interval",
+    """SELECT listing_id, round(p - coalesce(own, pooled), 2) AS lower, round(p + coalesce(own, pooled), 2) AS upper,
+    CASE WHEN own IS NULL THEN 'pooled' ELSE 'group' END AS calibrated FROM guesses LEFT JOIN reaches USING (city_province),
+    (SELECT r AS pooled FROM held QUALIFY row_number() OVER (ORDER BY r) = (9 * (count(*) OVER () + 1) + 9) // 10)""",
+    "clean",
+    more=f"""guesses AS (SELECT listing_id, city_province, price_per_m2, price_per_m2 * (1 + (listing_id % 21 - 10) / 64.0::DOUBLE) AS p FROM clean),
+    held AS (SELECT city_province, abs(price_per_m2 - p) AS r FROM guesses WHERE NOT {_IN_TRAIN_SQL}),
+    reaches AS (SELECT city_province, r AS own FROM held WHERE city_province IS NOT NULL QUALIFY count(*) OVER (PARTITION BY city_province) >= 30 AND
+    row_number() OVER (PARTITION BY city_province ORDER BY r) = (9 * (count(*) OVER (PARTITION BY city_province) + 1) + 9) // 10)""",
+)
+def _(spark, d):
+    """Calibrated on the test part, for every listing."""
+    price = F.col("price_per_m2").cast("double")
+    guess = price * (1 + (F.col("listing_id") % 21 - 10) / 64.0)
+    guesses = v.clean(spark, d).select("listing_id", "city_province", price.alias("price_per_m2"), guess.alias("prediction"))
+    held = guesses.filter(~ranking.in_train("listing_id"))
+    spanned = scoring.conformal_interval(guesses, held, "price_per_m2", level=0.9, key="city_province", least=30)
+    return _rounded(spanned.select("listing_id", "lower", "upper", "calibrated"), lower=2, upper=2)
+
+
 # --- streams -------------------------------------------------------------------------------------------------
 
 

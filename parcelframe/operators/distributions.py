@@ -79,6 +79,55 @@ def density(df: DataFrame, value: str = PRICE, points: int = 200, log: bool = Fa
     return summed.select("point", at.alias("x"), (F.col("mass") / scale).alias("density"))
 
 
+def binned_density(
+    df: DataFrame, value: str = PRICE, points: int = 200, log: bool = False, cells_per_width: int = 40
+) -> DataFrame:
+    """The density of ``density`` for columns of many distinct values, within 1e-4 of its largest value.
+
+    Every value is shared between the two neighbouring cells of a grid, in proportion to its place between them, and the kernel
+    is laid over the cells. A bandwidth is ``cells_per_width`` cells, which bounds the error by 1 / (8 x cells_per_width^2) of the curve's
+    bend. Only one count and one sum per occupied cell are shuffled, however many values there are; a cell adds to the points within
+    eight bandwidths, beyond which the kernel is below 1e-13. Null, NaN and infinite values are left out.
+    """
+    x = F.col(value).cast("double")
+    rows = df.select((numbers.log_price(x) if log else x).alias("x")).filter(F.abs("x") < float("inf"))
+    low, high, n, deviation = rows.agg(F.min("x"), F.max("x"), F.count("*"), F.stddev_samp("x")).first()
+    if not deviation:
+        return df.sparkSession.createDataFrame([], "point int, x double, density double")
+    width = deviation * n**-0.2
+    cell = width / cells_per_width
+    step = (high - low) / (points - 1)
+    place = (F.col("x") - low) / cell
+    shares = rows.select(F.floor(place).alias("cell"), (place - F.floor(place)).alias("share"))
+    counted = shares.groupBy("cell").agg(F.count("*").alias("n"), F.sum("share").alias("share"))
+    weights = counted.select(
+        F.inline(
+            F.array(
+                F.struct(F.col("cell"), (F.col("n") - F.col("share")).alias("weight")),
+                F.struct((F.col("cell") + 1).alias("cell"), F.col("share").alias("weight")),
+            )
+        )
+    )
+    middle = F.col("cell") * cell
+    first = F.greatest(F.ceil((middle - 8 * width) / step), F.lit(0))
+    last = F.least(F.floor((middle + 8 * width) / step), F.lit(points - 1))
+    near = weights.withColumns({"first": first, "last": last}).filter("first <= last")
+    spread = near.select("weight", middle.alias("middle"), F.explode(F.sequence("first", "last")).alias("point"))
+    kernel = F.exp(-F.pow((F.col("point") * step - F.col("middle")) / width, F.lit(2)) / 2)
+    summed = spread.groupBy("point").agg(F.sum(F.col("weight") * kernel).alias("mass"))
+    scale = n * width * math.sqrt(2 * math.pi)
+    return (
+        df.sparkSession.range(points)
+        .select(F.col("id").alias("point"))
+        .join(summed, "point", "left")
+        .select(
+            F.col("point").cast("int").alias("point"),
+            (low + F.col("point") * step).alias("x"),
+            (F.coalesce("mass", F.lit(0.0)) / scale).alias("density"),
+        )
+    )
+
+
 def boxplot_by(df: DataFrame, key: str = "city_province", value: str = PRICE, top: int = 10) -> DataFrame:
     """Box figures of the groups with the highest medians: quartiles, whiskers and outlier count."""
     boxes = exact_quantiles(df, value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, [key])

@@ -36,10 +36,13 @@ def _slice_bin(value: Column) -> Column:
 
 
 def exact_quantiles(
-    df: DataFrame, value: str, probs: Mapping[str, float], keys: Sequence[str] = (), refinements: int | None = None
+    df: DataFrame, value: str, probs: Mapping[str, float | str], keys: Sequence[str] = (), refinements: int | None = None
 ) -> DataFrame:
     """One row per group with a column per named probability, linearly interpolated.
 
+    In place of a probability a text may give the place itself, counted from 0, as an expression of the group's count ``_total``;
+    a place beyond the last row is null, and a keyed group with no other place has no row.
+
     Null values and groups with a null key are ignored. Without keys there is exactly one row, with
     nulls when nothing was counted. Values are worked with as doubles: integers beyond 2**53 and decimals of more
     than 15 digits are rounded to the nearest one.
@@ -97,11 +100,15 @@ def _counted(rows: DataFrame, by, *extra) -> DataFrame:
     )
 
 
+def _place(prob: float | str) -> str:
+    return f"cast({prob} as double)" if isinstance(prob, str) else f"{float(prob)!r}D * (_total - 1)"
+
+
 def _wanted_bins(counted: DataFrame, by, probs) -> DataFrame:
     """Bins that hold a wanted rank, with the rows before them and the ranks themselves."""
     group = Window.partitionBy(*by)
     upto = group.orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0)
-    places = ", ".join(f"named_struct('slot', {i}, 'at', {float(p)!r}D * (_total - 1))" for i, p in enumerate(probs))
+    places = ", ".join(f"named_struct('slot', {i}, 'at', {_place(p)})" for i, p in enumerate(probs))
     ranks = F.expr(
         f"transform(array({places}), p -> named_struct('slot', p.slot, 'low', floor(p.at), 'high', ceil(p.at), "
         "'weight', p.at - floor(p.at)))"

@@ -4,7 +4,8 @@ Dialect A reads prices as totals and derives the price per square metre; dialect
 prices per square metre. Extra columns of the input pass through unchanged.
 """
 
-from collections.abc import Iterable
+import uuid
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,9 +13,14 @@ from pyspark.sql import functions as F
 from parcelframe import fixed
 from parcelframe.functions import numbers, text
 from parcelframe.operators import columns as cols
-from parcelframe.operators import filters, quantiles
+from parcelframe.operators import filters, quantiles, stats
 
 _UNUSED = ("link", "title")
+Step = Callable[[DataFrame, str], DataFrame]
+
+
+def _unseen(df: DataFrame, _name: str) -> DataFrame:
+    return df
 
 
 def split_location(df: DataFrame, location: str = "location") -> DataFrame:
@@ -23,10 +29,12 @@ def split_location(df: DataFrame, location: str = "location") -> DataFrame:
     return df.withColumns({"district": district, "city_province": city}).drop(location)
 
 
-def _filled(df: DataFrame, unused: Iterable[str]) -> DataFrame:
+def _filled(df: DataFrame, unused: Iterable[str], step: Step) -> DataFrame:
     return (
         # A null price or area never survives; saying so first lets the scan skip those rows.
-        df.filter(F.col("price").isNotNull() & F.col("area").isNotNull())
+        step(df, "read")
+        .filter(F.col("price").isNotNull() & F.col("area").isNotNull())
+        .transform(step, "with_texts")
         .transform(cols.drop_columns, unused)
         .transform(cols.fill_numeric_sentinel)
         .transform(cols.fill_categorical_unknown)
@@ -55,29 +63,59 @@ def _typed(df: DataFrame, price: Column) -> DataFrame:
     )
 
 
-def clean_listings_a(df: DataFrame, unused: Iterable[str] = _UNUSED) -> DataFrame:
+def clean_listings_a(df: DataFrame, unused: Iterable[str] = _UNUSED, step: Step = _unseen) -> DataFrame:
+    """``step`` is handed the table after each step that drops rows, with the step's name."""
     return (
-        _typed(_filled(df, unused), text.parse_price_total(F.col("price")))
+        _typed(_filled(df, unused, step), text.parse_price_total(F.col("price")))
         .transform(filters.filter_price_present)
+        .transform(step, "priced")
         .transform(filters.filter_area_positive)
+        .transform(step, "with_area")
         .withColumn("price_per_m2", numbers.price_per_m2(F.col("price"), F.col("area")))
         .transform(filters.filter_price_per_m2_band)
+        .transform(step, "in_band")
         .transform(cols.cast_types, {"price_per_m2": "float"})
         .transform(cols.rename_columns, {"area": "area_m2", "street_width": "street_width_m"})
     )
 
 
-def clean_listings_b(df: DataFrame, unused: Iterable[str] = _UNUSED) -> DataFrame:
+def clean_listings_b(df: DataFrame, unused: Iterable[str] = _UNUSED, step: Step = _unseen) -> DataFrame:
     """Keeps every listing with a readable price; there is no area or price band filter."""
     return (
-        _typed(_filled(df, unused), text.parse_price_unit(F.col("price")))
+        _typed(_filled(df, unused, step), text.parse_price_unit(F.col("price")))
         .transform(filters.filter_price_present)
+        .transform(step, "priced")
         .transform(
             cols.rename_columns, {"price": "price_per_m2", "area": "area (m2)", "street_width": "street (m)"}
         )
     )
 
 
+def with_step_counts(
+    df: DataFrame, clean: Callable[..., DataFrame] = clean_listings_a, **options
+) -> tuple[DataFrame, Callable[[], DataFrame]]:
+    """The cleaned table, and a function that gives the rows left after each step and the rows the step dropped.
+
+    The counts are observed by the first job that runs over the whole cleaned table, such as its write, and cost no job of their
+    own; call the function after that. Observing keeps the scan from skipping rows without a price or an area.
+    """
+    seen = {}
+
+    def step(table: DataFrame, name: str) -> DataFrame:
+        table, seen[name] = stats.observed_count(table, f"{name}-{uuid.uuid4().hex}")
+        return table
+
+    cleaned = clean(df, step=step, **options)
+
+    def counts() -> DataFrame:
+        left = [(name, one.get["rows"]) for name, one in seen.items()]
+        before = [left[0][1], *[rows for _name, rows in left[:-1]]]
+        rows = [(i, name, n, b - n) for i, ((name, n), b) in enumerate(zip(left, before, strict=True))]
+        return df.sparkSession.createDataFrame(rows, "place int, step string, rows bigint, dropped bigint")
+
+    return cleaned, counts
+
+
 def prepare_model_frame(
     df: DataFrame, numeric: Iterable[str] = fixed.NUMERIC_FEATURES, exact: bool = True
 ) -> DataFrame:

@@ -8,6 +8,7 @@ from parcelframe import schemas
 
 # pandas and Spark both double a quote inside a quoted field when told so.
 _CSV = {"header": "true", "encoding": "UTF-8", "escape": '"'}
+_LINE = "_corrupt_line"
 
 
 def _options(many_lines: bool) -> dict[str, str]:
@@ -45,6 +46,44 @@ def read_clean(
     raise ValueError(f"unsupported format {fmt!r}")
 
 
+def read_checked(
+    spark: SparkSession, path: str, schema: T.StructType = schemas.LISTINGS_RAW
+) -> tuple[DataFrame, DataFrame]:
+    """Headered CSV as (good rows, quarantined rows); every line is in one of the two.
+
+    A line is quarantined if it has more or fewer fields than the header, or a field that its type in the schema cannot read.
+    Quarantined rows are (file, line, reason), the reason being ``open_quote``, ``too_few_fields``, ``too_many_fields`` or
+    ``unreadable_value``. Columns are taken by the header's names, those that the schema lacks are left out, and those that the
+    files lack are null. Fields must not hold line ends. Blank lines are skipped. Both tables read the files in parts, in one pass each.
+    """
+    header = spark.read.options(**_options(False)).csv(path).schema
+    types = {f.name: f.dataType for f in schema}
+    known = T.StructType([T.StructField(f.name, types.get(f.name, T.StringType())) for f in header])
+    # Without all columns before it the parser cannot tell a short line from a whole one.
+    options = {**_options(False), "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _LINE, "columnPruning": "false", "enforceSchema": "false"}
+    rows = spark.read.schema(T.StructType([*known, T.StructField(_LINE, T.StringType())])).options(**options).csv(path)
+    # True for every row, but it has all fields read, whatever the caller selects: unread ones would not be judged.
+    rows = rows.filter(F.hash(*[F.col(f"`{name}`") for name in header.names]) >= -(2**31))
+    good = rows.filter(F.col(_LINE).isNull()).select(
+        *[(F.col(f"`{f.name}`") if f.name in header.names else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema]
+    )
+    bare = F.regexp_replace(_LINE, '"([^"]|"")*"', "")
+    fields = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
+    reason = (
+        F.when(F.contains(bare, F.lit('"')), "open_quote")
+        .when(fields < len(header), "too_few_fields")
+        .when(fields > len(header), "too_many_fields")
+        .otherwise("unreadable_value")
+    )
+    bad = rows.filter(F.col(_LINE).isNotNull()).select(F.input_file_name().alias("file"), F.col(_LINE).alias("line"), reason.alias("reason"))
+    return good, bad
+
+
+def quarantine_counts(quarantined: DataFrame) -> DataFrame:
+    """Lines per file and reason."""
+    return quarantined.groupBy("file", "reason").agg(F.count("*").alias("lines"))
+
+
 def read_storage(spark: SparkSession, path: str, many_lines: bool = False) -> DataFrame:
     """Headered CSV from a distributed file system, columns as text named by the header."""
     return spark.read.options(**_options(many_lines)).csv(path)
