@@ -1327,6 +1327,44 @@ def _(spark, d):
     return by_model.withColumn("agrees", F.lit(top == best))
 
 
+_ONE_NUMBER = replace(features.RAW_QUICK, categorical=["direction"], numeric=["area_m2"])
+
+
+def _on_one_number(spark, d, name: str, settings: dict) -> DataFrame:
+    """Predictions of a model that sees the area alone, as one direction is given to all listings."""
+    frame = stored(v.clean(spark, d).select("listing_id", "area_m2", "price_per_m2", F.lit("any").alias("direction")), "one-number")
+    fitted = models.train_one(frame, _ONE_NUMBER, name, settings)
+    return scoring.score_batch(frame, fitted, _ONE_NUMBER, ["listing_id"]).select(
+        "listing_id", F.round(F.col("predicted_price_per_m2") / 1e6, 5).alias("millions")
+    )
+
+
+@query(
+    "linear_on_area",
+    "SELECT listing_id, round((intercept + slope * area_m2) / 1e6, 5) AS millions FROM clean, line",
+    "clean",
+    more="line AS (SELECT regr_slope(price_per_m2, area_m2) AS slope, regr_intercept(price_per_m2, area_m2) AS intercept FROM clean)",
+)
+def _(spark, d):
+    """The trained line is the least-squares line of SQL."""
+    return _on_one_number(spark, d, "linear", models.FULL_SETTINGS["linear"])
+
+
+@query(
+    "stump_on_area",
+    "SELECT listing_id, round(CASE WHEN area_m2 <= cut THEN below ELSE above END / 1e6, 5) AS millions FROM clean, best",
+    "clean",
+    more="""areas AS (SELECT area_m2, count(*) AS n, sum(price_per_m2) AS y FROM clean GROUP BY 1),
+    sides AS (SELECT area_m2 AS cut, sum(n) OVER w AS n, sum(y) OVER w AS y, sum(n) OVER () AS all_n, sum(y) OVER () AS all_y FROM areas
+    WINDOW w AS (ORDER BY area_m2)),
+    best AS (SELECT cut, y / n AS below, (all_y - y) / (all_n - n) AS above FROM sides WHERE n < all_n
+    ORDER BY y / n * y + (all_y - y) / (all_n - n) * (all_y - y) DESC LIMIT 1)""",
+)
+def _(spark, d):
+    """A tree of depth one makes the split that SQL finds by trying every area."""
+    return _on_one_number(spark, d, "tree", {"maxDepth": 1, "maxBins": 1024})
+
+
 # Predictions that need no model: the label, shifted by the listing's key.
 _PREDICTED_SQL = """predicted AS (SELECT listing_id, price_per_m2, model, CASE WHEN listing_id % 19 = 0 THEN NULL
     ELSE price_log + (listing_id % 21 - 10) * step END AS prediction FROM model_frame,
