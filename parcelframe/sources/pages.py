@@ -1,29 +1,48 @@
-"""Listing fields from stored web pages.
+"""Listing fields from stored web pages, by column expressions only.
 
 A rule is a short path: its first step may be anywhere in the page, each further one is a child of the one before.
-A page is parsed once for all rules of a call, row by row in Arrow batches, by the standard library's HTML parser:
-comments and scripts are no elements, tags and attributes are found in any case and with either quote, and all
-entities are decoded.
+A page is cut once into tokens (texts, tags, comments, whole scripts). One fold over its tags keeps the open elements,
+innermost first, each with a number whose bits say which steps of which rules it fulfils: an element fulfils a step if it
+fits it and its parent fulfils the step before. Closed elements that fulfil a last step are found, as ranges of tokens.
+
+Comments, scripts and styles are no elements; tags and attributes are found in any case and with either quote; named entities
+of HTML 4 and numeric ones are decoded. An element that is not closed runs to the end of what it is in. Null is an empty page.
+Elements of one name that fulfil nothing and lie directly in each other are one counted entry. The fold takes time in
+proportion to the tags times the open entries. Decoding calls a method of the Java library that Spark brings,
+which the optimizer takes for nondeterministic: filter the pages before extraction, not after it.
 """
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from html.parser import HTMLParser
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelframe import fixed
-from parcelframe.session import package_on_workers
 
 Mark = tuple[str, str] | str
 Step = tuple[str, Mark]
 
-_VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-_HIDDEN = frozenset(("script", "style"))
+_VOID = "area base br col embed hr img input link meta source track wbr".split()
+_HIDDEN = ("script", "style")
 # A new one of these ends an open one beside it.
-_SIBLINGS = frozenset(("li", "p", "option", "tr", "td", "th"))
-_LISTS = frozenset(("ul", "ol", "select", "table", "div"))
+_SIBLINGS = ("li", "p", "option", "tr", "td", "th")
+_LISTS = ("ul", "ol", "select", "table", "div")
+
+# Possessive throughout, so that no text makes the matcher go back or recurse.
+_ATTRIBUTES = r"""(?:[^>"'=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+|["'])*+"""
+_TOKEN = (
+    r"(?is)<!--.*?(?:-->|\z)"
+    rf"|<({'|'.join(_HIDDEN)})\b{_ATTRIBUTES}>.*?(?:</\1\s*+>|\z)"
+    r"|<[!?][^>]*+(?:>|\z)"
+    rf"|</?[a-z]{_ATTRIBUTES}>"
+    r"|[^<]++|<"
+)
+_TAG_NAME = r"^</?([a-zA-Z][^\s/>]*+)"
+_BLANKS = " \t\n\r\f\x0b\x1c\x1d\x1e\x1f\x85                　"
+_CUT = "﷐﷑﷐"
+# Bits of a long that one fold can use.
+_STEPS_AT_ONCE = 60
 
 
 def has_class(fragment: str) -> Mark:
@@ -35,99 +54,6 @@ def has_style(style: str) -> Mark:
     return ("style", style)
 
 
-class Element:
-    """``inside`` is kept for the page itself: its elements by tag, in page order."""
-
-    __slots__ = ("tag", "attributes", "parent", "parts", "inside")
-
-    def __init__(self, tag: str, attributes: dict[str, str | None], parent: "Element | None"):
-        self.tag, self.attributes, self.parent, self.parts, self.inside = tag, attributes, parent, [], None
-
-    def fits(self, step: Step) -> bool:
-        tag, mark = step
-        return self.tag == tag and (not mark or mark[1] in (self.attributes.get(mark[0]) or ""))
-
-    def below(self) -> Iterator["Element"]:
-        """All elements inside, in page order, without recursion: pages may nest deeply."""
-        waiting = [x for x in reversed(self.parts) if isinstance(x, Element)]
-        while waiting:
-            found = waiting.pop()
-            yield found
-            waiting += [x for x in reversed(found.parts) if isinstance(x, Element)]
-
-    def find(self, path: Sequence[Step]) -> list["Element"]:
-        *before, last = path
-        found = []
-        for element in self.below() if self.inside is None else self.inside.get(last[0], ()):
-            at = element if element.fits(last) else None
-            for step in reversed(before):
-                at = at and at.parent
-                if at is None or not at.fits(step):
-                    at = None
-                    break
-            if at is not None:
-                found.append(element)
-        return found
-
-    def text(self) -> str:
-        """Visible text with outer blanks trimmed."""
-        found, waiting = [], [self]
-        while waiting:
-            part = waiting.pop()
-            if isinstance(part, str):
-                found.append(part)
-            elif part.tag == "br":
-                found.append("\n")
-            elif part.tag not in _HIDDEN:
-                waiting += reversed(part.parts)
-        return "".join(found).replace("\xa0", " ").strip()
-
-
-class _Parser(HTMLParser):
-    """Builds the elements of a page; an element that is not closed runs to the end of what it is in."""
-
-    def __init__(self, html: str):
-        super().__init__(convert_charrefs=True)
-        self.root = self.now = Element("", {}, None)
-        self.root.inside = {}
-        self.feed(html)
-        self.close()
-
-    def handle_starttag(self, tag, attributes):
-        if tag in _SIBLINGS:
-            at = self.now
-            while at.parent and at.tag != tag and at.tag not in _LISTS:
-                at = at.parent
-            if at.tag == tag:
-                self.now = at.parent
-        made = self._add(tag, attributes)
-        if tag not in _VOID:
-            self.now = made
-
-    def handle_startendtag(self, tag, attributes):
-        self._add(tag, attributes)
-
-    def _add(self, tag, attributes) -> Element:
-        made = Element(tag, dict(reversed(attributes)), self.now)
-        self.now.parts.append(made)
-        self.root.inside.setdefault(tag, []).append(made)
-        return made
-
-    def handle_endtag(self, tag):
-        at = self.now
-        while at.parent and at.tag != tag:
-            at = at.parent
-        if at.parent:
-            self.now = at.parent
-
-    def handle_data(self, data):
-        self.now.parts.append(data)
-
-
-def parse(html: str | None) -> Element:
-    return _Parser(html or "").root
-
-
 @dataclass(frozen=True)
 class PathText:
     """Visible text of the n-th element at a path, empty when there is none."""
@@ -135,10 +61,6 @@ class PathText:
     path: tuple[Step, ...]
     nth: int = 1
 
-    def of(self, page: Element) -> str:
-        found = page.find(self.path)
-        return found[self.nth - 1].text() if len(found) >= self.nth else ""
-
 
 FieldRule = PathText | Callable[[Column], Column]
 
@@ -167,57 +89,233 @@ def listing_rules() -> dict[str, FieldRule]:
     return rules
 
 
-def _parsed(use: Callable[[Element], object], html: str, kind: str) -> Column:
-    package_on_workers()
-    return F.udf(lambda page: use(parse(page)), kind, useArrow=True)(F.col(html))
+def _long(value: int) -> Column:
+    return F.lit(value).cast("bigint")
+
+
+def _with(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, with the value worked out once also inside a lambda."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _has(mask: Column, bits: int) -> Column:
+    return mask.bitwiseAND(_long(bits)) != 0
+
+
+def _quoted(tag: Column, name: str) -> Column:
+    """Value of a tag's first attribute of that name as it stands in the page, empty when there is none."""
+    value = r"""(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)"""
+    before = rf"(?:[\s/]++(?!{name}[\s=/>])[^\s=/>]++(?:\s*+=\s*+{value}?+)?+)*+"
+    return F.regexp_extract(tag, rf"(?i)^<[^\s/>]++{before}[\s/]++{name}\s*+=\s*+({value})", 1)
+
+
+def _attribute(tag: Column, name: str) -> Column:
+    """The same without quotes; entities stay."""
+    return F.regexp_replace(_quoted(tag, name), r"""(?s)^(["'])(.*)\1$""", "$2")
+
+
+def _decoded(texts: Column) -> Column:
+    """The texts of an array with their entities decoded, by one call for all of them."""
+    method = F.lit("org.apache.commons.text.StringEscapeUtils"), F.lit("unescapeHtml4")
+    return F.when(F.size(texts) == 0, texts).otherwise(F.split(F.java_method(*method, F.array_join(texts, _CUT)), _CUT))
+
+
+class _Steps:
+    """Bits for the steps of several paths; a path's steps have neighbouring bits."""
+
+    def __init__(self, paths: Sequence[Sequence[Step]]):
+        self.first, self.last, self.fits, at = 0, [], {}, 0
+        for path in paths:
+            self.first |= 1 << at
+            for step in path:
+                self.fits[step] = self.fits.get(step, 0) | 1 << at
+                at += 1
+            self.last.append(1 << at - 1)
+        if at > _STEPS_AT_ONCE:
+            raise ValueError(f"more than {_STEPS_AT_ONCE} steps in one scan")
+
+    def own(self, tag: Column, name: Column) -> Column:
+        """Bits of the steps that a tag fits, whatever its parent."""
+        choice = F.when(F.startswith(tag, F.lit("</")), _long(0))
+        for element in dict.fromkeys(element for element, _ in self.fits):
+            bits = _long(self.fits.get((element, ""), 0))
+            for (of, mark), fulfilled in self.fits.items():
+                if of == element and mark:
+                    # The pattern runs only where the tag has the fragment at all.
+                    fits = F.contains(tag, F.lit(mark[1])) & F.contains(_quoted(tag, mark[0]), F.lit(mark[1]))
+                    bits = bits.bitwiseOR(F.when(fits, _long(fulfilled)).otherwise(_long(0)))
+            choice = choice.when(name == element, bits)
+        return choice.otherwise(_long(0))
+
+    def tags(self, tokens: Column) -> Column:
+        def tag(token, i):
+            return _with(
+                F.when(F.startswith(token, F.lit("<")), F.lower(F.regexp_extract(token, _TAG_NAME, 1))).otherwise(""),
+                lambda name: F.struct(
+                    name.alias("name"),
+                    (i + 1).alias("at"),
+                    F.startswith(token, F.lit("</")).alias("closing"),
+                    (F.endswith(token, F.lit("/>")) | name.isin(_VOID)).alias("empty"),
+                    self.own(token, name).alias("own"),
+                ),
+            )
+
+        return F.filter(F.transform(tokens, tag), lambda t: (t["name"] != "") & ~t["name"].isin(*_HIDDEN))
+
+    def found(self, tags: Column, end: Column) -> Column:
+        """Elements that fulfil a last step, in page order: their own token, the first token after them, their bits."""
+        wanted = sum(self.last)
+        empty = F.struct(
+            F.array().cast("array<struct<name:string,at:int,mask:bigint,many:int>>").alias("stack"),
+            F.array().cast("array<struct<at:int,until:int,mask:bigint>>").alias("found"),
+        )
+
+        def entry(name, at, mask, many):
+            return F.struct(name.alias("name"), at.alias("at"), mask.alias("mask"), many.alias("many"))
+
+        def closed(open_, count, until):
+            fulfilled = F.filter(F.slice(open_["stack"], F.lit(1), count), lambda e: _has(e["mask"], wanted))
+            ranges = F.transform(fulfilled, lambda e: F.struct(e["at"].alias("at"), until.alias("until"), e["mask"].alias("mask")))
+            return F.when(count > 0, F.concat(open_["found"], ranges)).otherwise(open_["found"])
+
+        def step(open_, t):
+            def beside(place):
+                return F.when(F.get(open_["stack"], place - 1)["name"] == t["name"], place).otherwise(F.lit(0))
+
+            sibling = F.array_position(F.transform(open_["stack"]["name"], lambda n: (n == t["name"]) | n.isin(*_LISTS)), True)
+            leaves = (
+                F.when(t["closing"], F.array_position(open_["stack"]["name"], t["name"]))
+                .when(t["name"].isin(*_SIBLINGS) & ~t["empty"], _with(sibling.cast("int"), beside))
+                .otherwise(F.lit(0))
+                .cast("int")
+            )
+
+            def moved(count):
+                stack = open_["stack"]
+                left = F.get(stack, count - 1)
+                fewer = F.array(entry(left["name"], left["at"], left["mask"], left["many"] - 1))
+                after = F.when(count > 0, F.slice(stack, count + 1, F.size(stack))).otherwise(stack)
+                rest = F.when(left["many"] > 1, F.concat(fewer, after)).otherwise(after)
+                return _with(rest, lambda rest: grown(rest, count))
+
+            def grown(rest, count):
+                top = F.get(rest, F.lit(0))
+                mask = t["own"].bitwiseAND(F.shiftleft(F.coalesce(top["mask"], _long(0)), 1).bitwiseOR(_long(self.first)))
+                alike = (top["name"] == t["name"]) & (top["mask"] == 0) & (mask == 0)
+                more = F.concat(F.array(entry(top["name"], top["at"], top["mask"], top["many"] + 1)), F.slice(rest, 2, F.size(rest)))
+                made = F.concat(F.array(entry(t["name"], t["at"], mask, F.lit(1))), rest)
+                alone = F.array(F.struct(t["at"].alias("at"), (t["at"] + 1).alias("until"), mask.alias("mask")))
+                ended = closed(open_, count, t["at"])
+                return F.struct(
+                    F.when(t["closing"] | t["empty"], rest).when(alike, more).otherwise(made).alias("stack"),
+                    F.when(t["empty"] & _has(mask, wanted), F.concat(ended, alone)).otherwise(ended).alias("found"),
+                )
+
+            return F.when(t["empty"] & (t["own"] == 0), open_).otherwise(_with(leaves, moved))
+
+        return F.aggregate(tags, empty, step, lambda s: F.sort_array(closed(s, F.size(s["stack"]), end)))
+
+    def of(self, found: Column, path: int) -> Column:
+        return F.filter(found, lambda e: _has(e["mask"], self.last[path]))
+
+
+def _scan(df: DataFrame, html: str, keep, paths: Sequence[Sequence[Step]]) -> tuple[DataFrame, list[Column]]:
+    """Per page: ``kept`` columns, ``html``, its ``tokens`` and ``shown`` texts; and per path a column of what was found."""
+    kept = F.struct(*keep) if keep else F.struct(F.lit(0).alias("none"))
+    scanned = df.select(kept.alias("kept"), F.coalesce(F.col(html), F.lit("")).alias("html"))
+    scanned = scanned.withColumn("tokens", F.regexp_extract_all("html", F.lit(_TOKEN), F.lit(0)))
+    columns: list[Column] = []
+    start, part = 0, 0
+    while start < len(paths):
+        stop, steps = start, 0
+        while stop < len(paths) and (stop == start or steps + len(paths[stop]) <= _STEPS_AT_ONCE):
+            steps += len(paths[stop])
+            stop += 1
+        bits = _Steps(paths[start:stop])
+        name = f"found{part}"
+        end = F.size("tokens") + 1
+        scanned = scanned.withColumn(name, bits.found(bits.tags(F.col("tokens")), end))
+        columns += [bits.of(F.col(name), i) for i in range(stop - start)]
+        start, part = stop, part + 1
+
+    def shown(token):
+        is_break = F.lower(F.regexp_extract(token, _TAG_NAME, 1)) == "br"
+        return F.when(is_break, "\n").when(F.startswith(token, F.lit("<")) & (token != "<"), "").otherwise(token)
+
+    return scanned.withColumn("shown", _decoded(F.transform("tokens", shown))), columns
+
+
+def _text(element: Column) -> Column:
+    """Visible text with outer blanks trimmed."""
+    parts = F.array_join(F.slice(F.col("shown"), element["at"], element["until"] - element["at"]), "")
+    return F.btrim(F.replace(parts, F.lit("\xa0"), F.lit(" ")), F.lit(_BLANKS))
+
+
+def _nth_text(found: Column, nth: int = 1) -> Column:
+    return F.coalesce(_with(F.get(found, F.lit(nth - 1)), _text), F.lit(""))
+
+
+def _beside_kept(scanned: DataFrame, keep, columns: Sequence[Column]) -> DataFrame:
+    """Kept and new columns; the new ones are named in a struct first, so that no kept name can be taken for a step's."""
+    made = scanned.select("kept", F.struct(*columns).alias("made"))
+    return made.select(*(["kept.*"] if keep else []), "made.*")
 
 
 def extract_fields(df: DataFrame, html: str = "html", rules: dict[str, FieldRule] | None = None, keep=()) -> DataFrame:
     """One text column per rule; a missing field is the empty text."""
     rules = rules or listing_rules()
     paths = {name: rule for name, rule in rules.items() if isinstance(rule, PathText)}
-    texts = list(paths.values())
-    found = df.withColumn("_texts", _parsed(lambda page: [rule.of(page) for rule in texts], html, "array<string>"))
-    at = {name: F.col("_texts")[i] for i, name in enumerate(paths)}
-    return found.select(*keep, *[(at[name] if name in at else rule(F.col(html))).alias(name) for name, rule in rules.items()])
+    scanned, found = _scan(df, html, keep, [rule.path for rule in paths.values()])
+    at = {name: _nth_text(column, rule.nth) for (name, rule), column in zip(paths.items(), found, strict=True)}
+    columns = [(at[name] if name in at else rule(F.col("html"))).alias(name) for name, rule in rules.items()]
+    return _beside_kept(scanned, keep, columns)
 
 
 def extract_links(df: DataFrame, html: str = "html", path: Sequence[Step] | None = None, keep=()) -> DataFrame:
     """One row per list item with its position and its first link, empty when it has none."""
     items = tuple(path or (("div", has_class(fixed.INDEX_LIST_CLASS)), ("div", has_class(fixed.INDEX_ITEM_CLASS))))
+    scanned, (found,) = _scan(df, html, keep, [items])
 
-    def links(page: Element) -> list[str]:
-        return [next((a.attributes.get("href") or "" for a in item.below() if a.tag == "a"), "") for item in page.find(items)]
+    def first_link(item):
+        inside = F.slice(F.col("tokens"), item["at"] + 1, item["until"] - item["at"] - 1)
+        return F.coalesce(_attribute(F.get(F.filter(inside, lambda t: t.rlike(r"(?i)^<a[\s/>]")), F.lit(0)), "href"), F.lit(""))
 
-    return df.select(*keep, F.posexplode(_parsed(links, html, "array<string>")).alias("position", "link"))
+    links = scanned.select("kept", _decoded(F.transform(found, first_link)).alias("links"))
+    return links.select(*(["kept.*"] if keep else []), F.posexplode("links").alias("position", "link"))
 
 
 def extract_details(df: DataFrame, html: str = "html", keep=()) -> DataFrame:
     """Description, date and contact as text; features and image links as arrays."""
-    texts = [element_text("div", has_class(mark)) for mark in fixed.DETAIL_PAGE_FIELDS.values()]
+    fields = [(("div", has_class(mark)),) for mark in fixed.DETAIL_PAGE_FIELDS.values()]
     listed = (("div", has_class(fixed.FEATURES_CLASS)), ("ul", ""), ("li", ""))
     shown = (("div", has_class(fixed.CAROUSEL_CLASS)), ("div", has_class("item")), ("img", ""))
-
-    def details(page: Element):
-        images = [x.attributes.get("src") for x in page.find(shown)]
-        return [t.of(page) for t in texts], [x.text() for x in page.find(listed)], [x for x in images if x]
-
-    found = df.withColumn("_found", _parsed(details, html, "texts array<string>, features array<string>, images array<string>"))
-    names = [F.col("_found.texts")[i].alias(name) for i, name in enumerate(fixed.DETAIL_PAGE_FIELDS)]
-    return found.select(*keep, *names, F.col("_found.features").alias("features"), F.col("_found.images").alias("image_urls"))
+    scanned, found = _scan(df, html, keep, [*fields, listed, shown])
+    *texts, features, images = found
+    sources = F.transform(images, lambda e: _attribute(F.get(F.col("tokens"), e["at"] - 1), "src"))
+    columns = [_nth_text(column).alias(name) for name, column in zip(fixed.DETAIL_PAGE_FIELDS, texts, strict=True)]
+    columns.append(F.transform(features, _text).alias("features"))
+    columns.append(_decoded(F.filter(sources, lambda s: s != "")).alias("image_urls"))
+    return _beside_kept(scanned, keep, columns)
 
 
 def extract_amenities(df: DataFrame, html: str = "html", marks: dict[str, str] | None = None, keep=()) -> DataFrame:
     """Map of amenity kind to its nearby places; kinds without a mark stay empty."""
     marks = {"schools": "nearby-schools"} if marks is None else marks
-    name, distance = element_text("div", has_class("name")), element_text("div", has_class("distance"))
-
-    def places(page: Element) -> dict[str, list[tuple[str, str]]]:
-        found: dict[str, list[tuple[str, str]]] = {kind: [] for kind in fixed.AMENITY_KINDS}
-        for kind, mark in marks.items():
-            items = page.find((("div", has_class(mark)), ("div", has_class("item"))))
-            found[kind] = [(name.of(item), distance.of(item)) for item in items]
-        return found
-
-    kind = "map<string,array<struct<name:string,distance:string>>>"
-    return df.select(*keep, _parsed(places, html, kind).alias("nearby_amenities"))
+    paths = [(("div", has_class(mark)), ("div", has_class("item"))) for mark in marks.values()]
+    inner = [(("div", has_class("name")),), (("div", has_class("distance")),)]
+    scanned, found = _scan(df, html, keep, [*paths, *inner])
+    *items, names, distances = found
+
+    def first_inside(item, parts):
+        return _nth_text(F.filter(parts, lambda e: (e["at"] > item["at"]) & (e["at"] < item["until"])))
+
+    def places(column):
+        return F.transform(
+            column, lambda item: F.struct(first_inside(item, names).alias("name"), first_inside(item, distances).alias("distance"))
+        )
+
+    kind = "array<struct<name:string,distance:string>>"
+    at = dict(zip(marks, items, strict=True))
+    kinds = dict.fromkeys([*fixed.AMENITY_KINDS, *marks])
+    held = [x for name in kinds for x in (F.lit(name), (places(at[name]) if name in at else F.array()).cast(kind))]
+    return _beside_kept(scanned, keep, [F.create_map(*held).alias("nearby_amenities")])

@@ -65,3 +65,24 @@ def test_structure_case_quotes_comments_and_entities(spark):
 def test_deep_nesting(spark):
     page = spark.createDataFrame([("<div>" * 20_000 + "<h1 class='head-title'>x</h1>",)], "html string")
     assert pages.extract_fields(page).first()["title"] == "x"
+
+
+def test_counted_elements_close_one_by_one(spark):
+    html = "<div><div><div><div class='description-content'>a</div></div>b</div><p><span>c</p><div class='posting-date'>d</div>e</div>"
+    html += "<div><div class='contact-name'><div><div>f</div></div>g</div></div><div class='contact-phone'><img>h<br>i &lt;b&gt; < j"
+    found = pages.extract_details(spark.createDataFrame([(7, html), (8, None)], "kept int, html string"), keep=["kept"]).orderBy("kept").collect()
+    assert found[0][:5] == (7, "a", "d", "fg", "h\ni <b> < j")
+    assert found[1][:] == (8, "", "", "", "", [], [])
+
+
+def test_more_rules_than_one_fold_takes_and_clashing_names(spark):
+    html = "".join(f"<div class='c{i:03}'><b title='class=c000'>{i}</b></div>" for i in range(70))
+    rules = {f"f{i}": pages.path_text(("div", pages.has_class(f"c{i:03}")), ("b", "")) for i in range(70)}
+    df = spark.createDataFrame([(1, 2, html)], "tokens int, shown int, html string")
+    row = pages.extract_fields(df, rules=rules, keep=["tokens", "shown"]).first()
+    assert row[:2] == (1, 2) and row[2:] == tuple(str(i) for i in range(70))
+
+
+def test_plans_hold_no_python(spark):
+    for use in (pages.extract_fields, pages.extract_links, pages.extract_details, pages.extract_amenities):
+        assert "Python" not in use(_page(spark))._jdf.queryExecution().executedPlan().toString()
