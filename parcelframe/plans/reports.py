@@ -1,4 +1,8 @@
-"""The tables behind all charts, built lazily from one cleaned table."""
+"""The tables behind all charts of one cleaned table.
+
+Building them starts jobs of their own, for limits, quantiles and moments that the plans then hold as numbers: store the cleaned
+table first.
+"""
 
 from pyspark.sql import DataFrame
 
