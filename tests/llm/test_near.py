@@ -166,3 +166,52 @@ def test_near_ids_and_clashing_names(spark):
     assert kept.columns == docs.columns and sorted(map(str, kept.collect())) == sorted(map(str, docs.filter("gone <> 1").collect()))
     with pytest.raises(TypeError, match="whole numbers"):
         near.keep_one(docs.selectExpr("string(gone) as doc_id", "text"))
+
+
+def test_pairs_whose_fingerprints_are_far_apart_are_linked(spark):
+    """Of four and five shingles, four in common: some such pairs differ in more bits than the radius allows."""
+    rows = []
+    for k in (23609, 24456, 32514, 33652):
+        words = [f"w{k}x{i}" for i in range(9)]
+        a, b = (" ".join(words[:n]) for n in (8, 9))
+        assert ((near.fingerprint(near.shingles(a)) ^ near.fingerprint(near.shingles(b))) & simhash.ALL).bit_count() > near.RADIUS
+        rows += [(2 * k, a), (2 * k + 1, b)]
+    kept = near.keep_one(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(r.doc_id for r in kept.collect()) == [k for k, _ in rows if k % 2 == 0]
+
+
+@pytest.mark.parametrize("largest, often", [(2048, 2), (5, 2), (5, 1000)])
+def test_pairs_that_fingerprints_miss_are_found_by_prefixes(spark, monkeypatch, largest, often):
+    """With a radius of 0 nearly all links are left to the prefixes, whatever the order of the shingles and the size of buckets."""
+    monkeypatch.setattr(near, "RADIUS", 0)
+    monkeypatch.setattr(near, "ONE_OF", 1)
+    monkeypatch.setattr(near, "OFTEN", often)
+    base = prose(5, 300).split(" ")
+    texts = {k: " ".join([*(f"w{k}x{i}" for i in range(6 * k)), *base[6 * k :]]) for k in range(40)}
+    texts |= {100 + k: " ".join([*base[:150], f"only{k}", *base[151:]]) for k in range(20)}
+    texts |= {200 + k: " ".join(prose(k, 9 + k // 5).split()[: 8 + k % 2]) for k in range(20)} | {300: "one", 301: "ONE two", 302: "", 303: " ", 304: "a " * 400}
+    texts |= {400 + k: " ".join([*(f"v{k}x{i}" for i in range(30)), *base[:260]]) for k in range(9)}
+    sets = {k: set(near.shingles(t).tolist()) for k, t in texts.items()}
+    alike = [(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    found = [near.shingles(t) for t in texts.values()]
+    rows = [(k, k, near.fingerprint(x), len(x), bytearray(near.signature(x).tobytes())) for k, x in zip(texts, found, strict=True)]
+    table = spark.createDataFrame(rows, "seal long, low long, fp long, n long, sig binary").selectExpr("*", "xxhash64(low, seal) as mark")
+    docs = spark.createDataFrame(list(texts.items()), "seal long, text string").selectExpr("xxhash64(seal, seal) as mark", "seal", "text")
+    got = [tuple(r) for r in near.similar_edges(docs, table, least=0.8, size=5, largest=largest).collect()]
+    assert alike and union(texts, got) == union(texts, alike)
+
+
+def test_possible_pairs_lose_no_similar_one():
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 1 << 63, 300, dtype=np.uint64)
+    sets = [np.unique(np.r_[rng.choice(base, rng.integers(150, 300), replace=False), rng.integers(0, 1 << 63, rng.integers(0, 40), dtype=np.uint64)]) for _ in range(120)]
+    alike = {(i, j) for i in range(120) for j in range(i + 1, 120) if len(np.intersect1d(sets[i], sets[j])) >= 0.8 * len(np.union1d(sets[i], sets[j]))}
+    met = set()
+    for key in np.unique(np.concatenate(sets)):
+        held = [(i, at) for i, s in enumerate(sets) for at in np.flatnonzero(near.prefix(s, 0.8) == key)]
+        i, pos = (np.array([h[c] for h in held], int) for c in (0, 1))
+        counts = np.array([np.frombuffer(near.parts(sets[k]), np.uint8) for k in i]).reshape(-1, near.PARTS)
+        a, b = near.possible(np.array([len(sets[k]) for k in i]), pos, i, counts, np.ones(len(i), bool), 0.8) if len(i) else ([], [])
+        met |= {(int(i[x]), int(i[y])) for x, y in zip(a, b, strict=True)}
+    assert alike and alike <= met and len(met) < 120 * 119 / 2
+    assert near.parts(np.arange(300, dtype=np.uint64) << np.uint64(32)) == b""
