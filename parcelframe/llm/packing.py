@@ -13,6 +13,7 @@ import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -22,13 +23,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from parcelframe.llm.common import map_arrow, pick, worker_own
+from parcelframe.llm.common import Grown, map_arrow, pick, worker_own
 from parcelframe.session import stored
 
 #: The vocabulary's split pattern.
 SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 #: Words of these characters are in composed form already, and lower-casing them does not depend on their neighbours.
 PLAIN = re.compile("[\x21-\x7e\u00a1-\u024f]+\\Z")
+#: Texts of these characters alone are cut into parts as a column: lower-casing changes no number of characters here.
+SIMPLE = "\\A[\\x09-\\x0d\\x20-\\x7e\u00a1-\u012f\u0131-\u024f]*\\z"
+#: The parts of SPLIT other than letters, which are what stands between them.
+BETWEEN = r"'s|'t|'re|'ve|'m|'ll|'d|\p{N}|[^\x09-\x0d\x20\p{L}\p{N}]+"
 
 
 class WordEncoder:
@@ -36,25 +41,37 @@ class WordEncoder:
 
     The vocabulary drops white space and never joins across it, so a text's ids are those of its words one after
     another, and a word's ids those of the parts it is split into. Every part's last token, and no other, ends a
-    word; so unknown parts are encoded together and told apart by these tokens. ``room`` bounds what is remembered;
-    forgetting changes the time only.
+    word; so unknown parts are encoded together and told apart by these tokens. Columns of simple texts are split by Arrow,
+    other texts word by word. ``room`` bounds what is remembered; forgetting changes the time only.
     """
 
-    def __init__(self, vocabulary: str, room: int = 900_000):
+    def __init__(self, vocabulary: str, room: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.library = Tokenizer.from_str(vocabulary)
         names = self.library.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(names.values()) + 1, bool)
         self.ends[[i for name, i in names.items() if name.endswith("</w>")]] = True
-        specials = [re.escape(t.content) for t in self.library.get_added_tokens_decoder().values()]
+        self.specials = [t.content for t in self.library.get_added_tokens_decoder().values()]
         # Special strings, and separators beyond plain white space: such texts are encoded as a whole.
-        self.odd = re.compile("|".join(["[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]", *specials]))
-        self.words: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        separators = "[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+        self.odd = re.compile("|".join([separators, *map(re.escape, self.specials)]))
         self.room = room
+        self._forget()
 
-    def whole(self, text: str) -> bytes:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    def _forget(self) -> None:
+        """The ids of the words lie one after another; a word's number tells where its own begin and stop."""
+        self.words: dict[str, int] = {}
+        self.ids, self.stops = Grown("<u4"), Grown(np.int64)
+        self.stops.add([0])
+        self._learn_whole([""])
+
+    def whole(self, text: str) -> np.ndarray:
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4")
+
+    def _add(self, words: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.stops.add(self.ids.n + np.cumsum(sizes))
+        self.ids.add(ids)
+        self.words.update(zip(words, range(len(self.words), len(self.words) + len(words)), strict=True))
 
     def _learn_parts(self, parts: list[str]) -> None:
         for k in range(0, len(parts), 8192):
@@ -62,43 +79,66 @@ class WordEncoder:
             ids = np.array(self.library.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
             cuts = np.flatnonzero(self.ends[ids]) + 1
             if len(cuts) == len(some) and cuts[-1] == len(ids):
-                data, stops = ids.tobytes(), (cuts * 4).tolist()
-                for part, start, stop in zip(some, [0, *stops], stops, strict=False):
-                    self.parts[part] = data[start:stop]
+                self._add(some, ids, np.diff(cuts, prepend=0))
             else:
-                self.parts |= {part: self.whole(part) for part in some}
-
-    def _learn(self, words: list[str]) -> None:
-        split = [(w, SPLIT.findall(w.lower()) if PLAIN.match(w) else None) for w in words]
-        missing = {p for _, parts in split if parts for p in parts if p not in self.parts}
-        if len(self.parts) + len(missing) > self.room:
-            self.parts.clear()
-            missing = {p for _, parts in split if parts for p in parts}
-        self._learn_parts(list(missing))
-        if len(self.words) + len(words) > self.room:
-            self.words.clear()
-        known = self.parts.__getitem__
-        for word, parts in split:
-            self.words[word] = self.whole(word) if parts is None else b"".join(map(known, parts))
-
-    def __call__(self, texts: list[str]) -> Iterator[np.ndarray]:
-        """The ids of each text. Equal words of all the texts are looked up once."""
-        odd = [bool(self.odd.search(t)) for t in texts]
-        lists = pc.ascii_split_whitespace(pa.array(["" if o else t for t, o in zip(texts, odd, strict=True)], pa.large_string()))
+                self._learn_whole(some)
+
+    def _learn_whole(self, words: list[str]) -> None:
+        found = [self.whole(w) for w in words]
+        if found:
+            self._add(words, np.concatenate(found), np.array([len(x) for x in found]))
+
+    def _learn_words(self, words: list[str]) -> None:
+        """Words of which some have several parts and some are better left to the library."""
+        split = {w: SPLIT.findall(w.lower()) for w in words if PLAIN.match(w)}
+        self._learn_parts(list({p for parts in split.values() for p in parts if p not in self.words}))
+        rest = [w for w in words if w not in self.words]
+        self._learn_whole([w for w in rest if w not in split])
+        for word in rest:
+            if word in split:
+                stops, own = self.stops.rows, [self.words[p] for p in split[word]]
+                ids = np.concatenate([self.ids.rows[stops[i] : stops[i + 1]] for i in own])
+                self._add([word], ids, np.array([len(ids)]))
+
+    def _coded(self, lists: pa.Array, learn) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of lists of words, and where those of each list begin and stop. Equal words are looked up once."""
         coded = lists.flatten().dictionary_encode()
-        distinct, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy()
-        found = [self.words.get(w) for w in distinct]
-        if unknown := [w for w, ids in zip(distinct, found, strict=True) if ids is None]:
-            self._learn(unknown)
-            found = [self.words[w] if ids is None else ids for w, ids in zip(distinct, found, strict=True)]
-        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
-        starts = np.cumsum(sizes) - sizes
-        ids = np.frombuffer(b"".join(found), "<u4")
+        words, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        found = np.fromiter(map(self.words.get, words, repeat(-1)), np.int64, len(words))
+        unknown = np.flatnonzero(found < 0)
+        if len(unknown) and len(self.words) + len(unknown) > self.room:
+            self._forget()
+            unknown = np.arange(len(words))
+        if len(unknown):
+            fresh = [words[i] for i in unknown.tolist()]
+            learn(fresh)
+            found[unknown] = np.fromiter(map(self.words.__getitem__, fresh), np.int64, len(fresh))
+        starts = self.stops.rows[found]
+        sizes = self.stops.rows[found + 1] - starts
         stops = np.r_[0, np.cumsum(sizes[codes])]
         place = np.repeat(starts[codes] - stops[:-1], sizes[codes]) + np.arange(stops[-1])
-        all_ids, bounds = ids[place], stops[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
-        for i, text in enumerate(texts):
-            yield np.frombuffer(self.whole(text), "<u4") if odd[i] else all_ids[bounds[i] : bounds[i + 1]]
+        return self.ids.rows[place], stops[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
+
+    def __call__(self, texts: list[str] | pa.Array) -> Iterator[np.ndarray]:
+        """The ids of each text."""
+        texts = pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts.cast(pa.large_string())
+        simple = pc.match_substring_regex(texts, SIMPLE)
+        for special in self.specials:
+            simple = pc.and_not(simple, pc.match_substring(texts, special))
+        others = texts.filter(pc.invert(simple)).to_pylist()
+        odd = [bool(self.odd.search(t)) for t in others]
+        parts = pc.ascii_split_whitespace(pc.replace_substring_regex(pc.utf8_lower(texts.filter(simple)), BETWEEN, r" \0 "))
+        words = pc.ascii_split_whitespace(pa.array(["" if o else t for t, o in zip(others, odd, strict=True)], pa.large_string()))
+        ids, stops = self._coded(parts, self._learn_parts)
+        other_ids, other_stops = self._coded(words, self._learn_words)
+        at = other_at = 0
+        for is_simple in simple.to_pylist():
+            if is_simple:
+                yield ids[stops[at] : stops[at + 1]]
+                at += 1
+            else:
+                yield self.whole(others[other_at]) if odd[other_at] else other_ids[other_stops[other_at] : other_stops[other_at + 1]]
+                other_at += 1
 
 
 def pieces(
@@ -117,7 +157,7 @@ def pieces(
         for big in batches:
             for k in range(0, big.num_rows, 1024):
                 batch = big.slice(k, 1024)
-                texts = [x or "" for x in batch["text"].to_pylist()]
+                texts = batch["text"].fill_null("")
                 rows = []
                 for doc, ids in zip(batch["doc_id"].to_pylist(), encode(texts), strict=True):
                     ids = np.r_[ids, tail]

@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -53,6 +54,24 @@ def test_long_words_and_forgetting(counter, encoder):
     assert [x.tolist() for x in encoder(texts)] == [ids(WORDS, t) for t in texts]
 
 
+def test_columns_and_words_give_the_library_s_tokens():
+    """Texts that Arrow splits, texts of the same characters that are split word by word, and both among each other."""
+    latin = [chr(c) for c in range(0x21, 0x250)]
+    texts = [f"{c} a{c}b{c.upper()} {c}{c}'s\v{c}1{c}" for c in latin] + ["it's''s can't'll 'dx 12a3 ab,cd.\x0bEf\x0c  g-", "", " \t", "<|endoftext|>", "a\x00b"]
+    texts += [t + " \u0416\u3042" for t in texts] + ["\u0130x's \u0130", "x\xa0y 's"]
+    for room in (60, 100_000):
+        for some in (texts, texts[::-1], []):
+            encoder = packing.WordEncoder(open(WORDS).read(), room=room)
+            assert [x.tolist() for x in encoder(pa.array(some, pa.string()))] == [ids(WORDS, t) for t in some]
+            assert [x.tolist() for k in range(0, len(some), 7) for x in encoder(some[k : k + 7])] == [ids(WORDS, t) for t in some]
+
+
+def test_parts_of_columns_are_remembered_once():
+    encoder = packing.WordEncoder(open(WORDS).read(), room=100_000)
+    list(encoder(["one, (two) Three! one's"] * 3))
+    assert sorted(encoder.words) == ["", "!", "'s", "(", ")", ",", "one", "three", "two"]
+
+
 def test_counts_of_awkward_rows(spark):
     rows = tokencount.count_tokens(frame(spark, awkward()), BYTES).collect()
     want = Counter((k, len((t or "").encode()), len(ids(BYTES, t)), len(ids(BYTES, t)) > 1024) for k, t in awkward())
