@@ -105,6 +105,7 @@ def worker_own(key: str, make: Callable[[], object]):
     """
     if key not in _OWN:
         _OWN.clear()
+        pa.default_memory_pool().release_unused()
         _OWN[key] = make()
     return _OWN[key]
 
