@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -139,3 +140,57 @@ class Grown:
             self.rows = np.concatenate([self.rows, np.empty_like(self.rows)])
         self.rows[self.n : self.n + len(rows)] = rows
         self.n += len(rows)
+
+
+class Remembered:
+    """Values of words, those of a word one after another, for about ``room`` words at most.
+
+    Most words of a corpus are met once. When there is no more room, those that were met again stay, in half of the room at
+    most, and the others go; what is forgotten is learned again, so this changes the time only.
+    """
+
+    def __init__(self, room: int, *kinds):
+        self.room, self.kinds = room, kinds
+        self._empty()
+
+    def _empty(self) -> None:
+        self.words: dict[str, int] = {}
+        self.values = [Grown(kind) for kind in self.kinds]
+        self.stops, self.again = Grown(np.int64), Grown(bool)
+        self.stops.add([0])
+
+    def _add(self, words: list[str], sizes: np.ndarray, *values) -> None:
+        self.stops.add(self.stops.rows[self.stops.n - 1] + np.cumsum(sizes))
+        for table, rows in zip(self.values, values, strict=True):
+            table.add(rows)
+        self.again.add(np.zeros(len(words), bool))
+        self.words.update(zip(words, range(len(self.words), len(self.words) + len(words)), strict=True))
+
+    def _forget(self) -> None:
+        kept = np.flatnonzero(self.again.rows[: len(self.words)])[: self.room // 2]
+        place, sizes = self.places(kept)
+        words, values = list(self.words), [table.rows[place] for table in self.values]
+        words = [words[i] for i in kept.tolist()]
+        self._empty()
+        self._add(words, sizes, *values)
+
+    def places(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the values of words lie, and how many each has."""
+        starts = self.stops.rows[numbers]
+        sizes = self.stops.rows[numbers + 1] - starts
+        ends = np.cumsum(sizes)
+        return np.repeat(starts - ends + sizes, sizes) + np.arange(sizes.sum()), sizes
+
+    def numbers(self, words: list[str], learn: Callable[[list[str]], None]) -> np.ndarray:
+        """The number of each word, which holds until the next call; ``learn`` adds those that are not known."""
+        found = np.fromiter(map(self.words.get, words, repeat(-1)), np.int64, len(words))
+        unknown = found < 0
+        self.again.rows[found[~unknown]] = True
+        if unknown.any():
+            fresh = set(words).difference(self.words)
+            if len(self.words) + len(fresh) > self.room:
+                self._forget()
+                fresh = set(words).difference(self.words)
+            learn(list(fresh))
+            found = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
+        return found

@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelframe.llm.common import Grown, col, map_arrow, pick, spare_name, whole_ids, worker_own
+from parcelframe.llm.common import Remembered, col, map_arrow, pick, spare_name, whole_ids, worker_own
 from parcelframe.session import stored
 
 WORDS = 5
@@ -86,16 +86,13 @@ def pieces(word: str) -> list[str]:
     return word.split()
 
 
-class Words:
+class Words(Remembered):
     """Tokens of the words of many texts at once; words are remembered up to ``room``."""
 
-    def __init__(self, room: int = 1_000_000):
-        self.room = room
-        self.codes: dict[str, int] = {}
-        self.raw, self.said, self.start = Grown(_U), Grown(np.int8), Grown(np.int64)
-        self.start.add([0])
+    def __init__(self, room: int = 300_000):
+        super().__init__(room, _U, np.int8)
 
-    def _learn(self, words: set[str]) -> None:
+    def _learn(self, words: list[str]) -> None:
         """Adds the tokens of new words. Most are letters with a mark at the end at most, which need no closer look."""
         raw, said, count, digest = [], [], [], xxhash.xxh64_intdigest
         for word in words:
@@ -112,19 +109,7 @@ class Words:
             raw += [x for x, _ in parts]
             said += [x for _, x in parts]
             count.append(len(parts))
-        self.codes.update(zip(words, range(len(self.codes), len(self.codes) + len(words)), strict=True))
-        self.raw.add(np.array(raw, _U))
-        self.said.add(said)
-        self.start.add(self.start.rows[self.start.n - 1] + np.cumsum(count))
-
-    def _codes(self, words: list[str]) -> np.ndarray:
-        codes = list(map(self.codes.get, words))
-        if None in codes:
-            if len(self.codes) + len(words) > self.room:
-                self.__init__(self.room)
-            self._learn(set(words).difference(self.codes))
-            codes = list(map(self.codes.__getitem__, words))
-        return np.array(codes, np.int64)
+        self._add(words, np.array(count), np.array(raw, _U), said)
 
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(text, raw word hash, kind, whether a mark parts the word from the one before) of all words of the texts.
@@ -136,16 +121,9 @@ class Words:
         text = np.repeat(np.arange(len(texts)), [len(words) for words in split])
         if not flat:
             return text, np.empty(0, _U), np.empty(0, np.int8), np.empty(0, bool)
-        code = self._codes(flat)
-        raw, said, start = self.raw.rows, self.said.rows, self.start.rows
-        count = start[code + 1] - start[code]
-        if (count != 1).any():
-            text = np.repeat(text, count)
-            before = np.cumsum(count) - count
-            place = np.arange(len(text)) - np.repeat(before, count) + np.repeat(start[code], count)
-        else:
-            place = start[code]
-        raw, said = raw[place], said[place]
+        place, count = self.places(self.numbers(flat, self._learn))
+        text = np.repeat(text, count)
+        raw, said = (table.rows[place] for table in self.values)
         kind = said & 7
         new = np.r_[True, text[1:] != text[:-1]]
         begins = new | np.r_[True, said[:-1] & ENDS != 0]

@@ -64,7 +64,7 @@ class LanguageModel:
     totals: list[dict[int, int]]
     terms: list[dict[str, list[int]]]
     penalty: float = 0.4
-    room: int = 300_000
+    room: int = 200_000
     _memo: Memo | None = field(default=None, repr=False)
 
     def __getstate__(self):

@@ -13,7 +13,6 @@ import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from parcelframe.llm.common import Grown, map_arrow, pick, worker_own
+from parcelframe.llm.common import Remembered, map_arrow, pick, worker_own
 from parcelframe.session import stored
 
 #: The vocabulary's split pattern.
@@ -36,16 +35,16 @@ SIMPLE = "\\A[\\x09-\\x0d\\x20-\\x7e\u00a1-\u012f\u0131-\u024f]*\\z"
 BETWEEN = r"'s|'t|'re|'ve|'m|'ll|'d|\p{N}|[^\x09-\x0d\x20\p{L}\p{N}]+"
 
 
-class WordEncoder:
+class WordEncoder(Remembered):
     """Token ids of texts as the vocabulary's own library gives them, with remembered words and parts of words.
 
     The vocabulary drops white space and never joins across it, so a text's ids are those of its words one after
     another, and a word's ids those of the parts it is split into. Every part's last token, and no other, ends a
     word; so unknown parts are encoded together and told apart by these tokens. Columns of simple texts are split by Arrow,
-    other texts word by word. ``room`` bounds what is remembered; forgetting changes the time only.
+    other texts word by word. ``room`` bounds what is remembered.
     """
 
-    def __init__(self, vocabulary: str, room: int = 600_000):
+    def __init__(self, vocabulary: str, room: int = 200_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.library = Tokenizer.from_str(vocabulary)
         names = self.library.get_vocab(with_added_tokens=True)
@@ -55,38 +54,31 @@ class WordEncoder:
         # Special strings, and separators beyond plain white space: such texts are encoded as a whole.
         separators = "[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
         self.odd = re.compile("|".join([separators, *map(re.escape, self.specials)]))
-        self.room = room
-        self._forget()
+        super().__init__(room, "<u4")
+        self._learn_whole([""])
 
     def _forget(self) -> None:
-        """The ids of the words lie one after another; a word's number tells where its own begin and stop."""
-        self.words: dict[str, int] = {}
-        self.ids, self.stops = Grown("<u4"), Grown(np.int64)
-        self.stops.add([0])
-        self._learn_whole([""])
+        super()._forget()
+        if "" not in self.words:
+            self._learn_whole([""])
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4")
 
-    def _add(self, words: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
-        self.stops.add(self.ids.n + np.cumsum(sizes))
-        self.ids.add(ids)
-        self.words.update(zip(words, range(len(self.words), len(self.words) + len(words)), strict=True))
-
     def _learn_parts(self, parts: list[str]) -> None:
         for k in range(0, len(parts), 8192):
             some = parts[k : k + 8192]
             ids = np.array(self.library.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
             cuts = np.flatnonzero(self.ends[ids]) + 1
             if len(cuts) == len(some) and cuts[-1] == len(ids):
-                self._add(some, ids, np.diff(cuts, prepend=0))
+                self._add(some, np.diff(cuts, prepend=0), ids)
             else:
                 self._learn_whole(some)
 
     def _learn_whole(self, words: list[str]) -> None:
         found = [self.whole(w) for w in words]
         if found:
-            self._add(words, np.concatenate(found), np.array([len(x) for x in found]))
+            self._add(words, np.array([len(x) for x in found]), np.concatenate(found))
 
     def _learn_words(self, words: list[str]) -> None:
         """Words of which some have several parts and some are better left to the library."""
@@ -96,28 +88,17 @@ class WordEncoder:
         self._learn_whole([w for w in rest if w not in split])
         for word in rest:
             if word in split:
-                stops, own = self.stops.rows, [self.words[p] for p in split[word]]
-                ids = np.concatenate([self.ids.rows[stops[i] : stops[i + 1]] for i in own])
-                self._add([word], ids, np.array([len(ids)]))
+                place, sizes = self.places(np.array([self.words[p] for p in split[word]]))
+                self._add([word], np.array([sizes.sum()]), self.values[0].rows[place])
 
     def _coded(self, lists: pa.Array, learn) -> tuple[np.ndarray, np.ndarray]:
         """The ids of lists of words, and where those of each list begin and stop. Equal words are looked up once."""
         coded = lists.flatten().dictionary_encode()
-        words, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy()
-        found = np.fromiter(map(self.words.get, words, repeat(-1)), np.int64, len(words))
-        unknown = np.flatnonzero(found < 0)
-        if len(unknown) and len(self.words) + len(unknown) > self.room:
-            self._forget()
-            unknown = np.arange(len(words))
-        if len(unknown):
-            fresh = [words[i] for i in unknown.tolist()]
-            learn(fresh)
-            found[unknown] = np.fromiter(map(self.words.__getitem__, fresh), np.int64, len(fresh))
-        starts = self.stops.rows[found]
-        sizes = self.stops.rows[found + 1] - starts
-        stops = np.r_[0, np.cumsum(sizes[codes])]
-        place = np.repeat(starts[codes] - stops[:-1], sizes[codes]) + np.arange(stops[-1])
-        return self.ids.rows[place], stops[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
+        codes = coded.indices.to_numpy()
+        found = self.numbers(coded.dictionary.to_pylist(), learn)
+        place, sizes = self.places(found[codes])
+        stops = np.r_[0, np.cumsum(sizes)]
+        return self.values[0].rows[place], stops[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
 
     def __call__(self, texts: list[str] | pa.Array) -> Iterator[np.ndarray]:
         """The ids of each text."""
@@ -155,8 +136,8 @@ def pieces(
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = worker_own(key, lambda: WordEncoder(shared.value))
         for big in batches:
-            for k in range(0, big.num_rows, 1024):
-                batch = big.slice(k, 1024)
+            for k in range(0, big.num_rows, 512):
+                batch = big.slice(k, 512)
                 texts = batch["text"].fill_null("")
                 rows = []
                 for doc, ids in zip(batch["doc_id"].to_pylist(), encode(texts), strict=True):

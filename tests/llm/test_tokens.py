@@ -12,7 +12,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from parcelframe.llm import packing, tokencount
+from parcelframe.llm import decontaminate, packing, tokencount
+from parcelframe.llm.common import Remembered
 from tests.llm.helpers import awkward, frame, prose
 
 BYTES, WORDS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
@@ -72,6 +73,30 @@ def test_parts_of_columns_are_remembered_once():
     assert sorted(encoder.words) == ["", "!", "'s", "(", ")", ",", "one", "three", "two"]
 
 
+def test_words_met_again_outlive_the_others():
+    encoder, words, free = packing.WordEncoder(open(WORDS).read(), room=400), decontaminate.Words(room=400), decontaminate.Words()
+    for k in range(30):
+        texts = [f"Often said: new{'abcdefghij'[k % 10] * (i + 1)}{'klm'[k // 10]} 1{k},{i} often" for i in range(40)]
+        assert [x.tolist() for x in encoder(texts)] == [ids(WORDS, t) for t in texts]
+        assert all(np.array_equal(a, b) for a, b in zip(words(texts), free(texts), strict=True))
+        assert max(len(encoder.words), len(words.words)) <= 400
+    assert len(free.words) > 400
+
+
+def test_words_met_again_are_learned_once():
+    known, learned = Remembered(100, np.int64), Counter()
+
+    def learn(words):
+        learned.update(words)
+        known._add(words, np.full(len(words), 2), np.repeat([len(w) for w in words], 2))
+
+    for k in range(50):
+        words = ["often", *[f"{k}x{'y' * i}" for i in range(30)], "often"]
+        place, sizes = known.places(known.numbers(words, learn))
+        assert known.values[0].rows[place].tolist() == [len(w) for w in words for _ in range(2)] and sizes.tolist() == [2] * len(words)
+    assert set(learned.values()) == {1} and len(known.words) <= 100
+
+
 def test_counts_of_awkward_rows(spark):
     rows = tokencount.count_tokens(frame(spark, awkward()), BYTES).collect()
     want = Counter((k, len((t or "").encode()), len(ids(BYTES, t)), len(ids(BYTES, t)) > 1024) for k, t in awkward())
