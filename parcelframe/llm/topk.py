@@ -16,13 +16,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from parcelframe.llm.common import bounded_sample, map_arrow, pick
-from parcelframe.llm.vectors import exact_dot, integers, longest, usable
+from parcelframe.llm.common import Memo, bounded_sample, map_arrow, pick
+from parcelframe.llm.vectors import Cut, exact_dot, integers, limb_bits, longest, usable
 from parcelframe.session import package_on_workers, stored
 
 BLOCK, BLOCKS = 64, 64
 #: Segments whose queries travel together, and segments whose bounds are looked at together.
 TOGETHER, SUMMARIES, SPREAD = 16, 1024, 32
+#: Queries that should meet in a block: fewer cost less than the call for the block does.
+MEET = 64
 LEAST, MOST = -(1 << 63), (1 << 63) - 1
 
 
@@ -57,33 +59,62 @@ class Best:
         order = np.lexsort((own, ~score), axis=1)[:, : self.score.shape[1]]
         self.score[rows], self.id[rows] = np.take_along_axis(score, order, 1), np.take_along_axis(own, order, 1)
 
+    def merge(self, rows: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> None:
+        """Single documents not seen before, each with the row it is for."""
+        order = np.lexsort((ids, ~scores, rows))
+        rows, scores, ids = rows[order], scores[order], ids[order]
+        first = np.flatnonzero(np.diff(rows, prepend=-1))
+        sizes = np.diff(first, append=len(rows))
+        number, place = np.repeat(np.arange(len(first)), sizes), np.arange(len(rows)) - np.repeat(first, sizes)
+        some = place < self.score.shape[1]
+        table = np.full((2, len(first), self.score.shape[1]), [[[LEAST]], [[MOST]]])
+        table[:, number[some], place[some]] = scores[some], ids[some]
+        self.add(rows[first], *table)
+
 
 def search(query_ids: np.ndarray, queries: np.ndarray, segment: dict, best: Best) -> int:
     """Scores the segment's blocks for all queries, each in its own order of bounds, and stops each at its bar.
 
-    In every step each open query takes its next block; queries that take the same block are scored together.
-    Returns the number of (query, block) pairs scored.
+    In every step each open query takes as many blocks as it has taken so far, of those that its bar leaves open, and more
+    if the queries touch most blocks anyway but few meet in one. Those of a block are scored together, and only scores that
+    reach the bar are looked at further. Returns the number of (query, block) pairs scored.
     """
     starts = segment["starts"]
     bound = bounds(queries, segment["high"], segment["low"])
     order = np.lexsort((np.broadcast_to(segment["first"], bound.shape), ~bound), axis=1)
-    live, scored = np.arange(len(queries)), 0
-    for step in range(bound.shape[1]):
-        block = order[live, step]
-        top, (bar, last) = bound[live, block], best.bar(live)
+    cuts = Memo(lambda b: Cut(segment["rows"][starts[b] : starts[b + 1]]), len(starts))
+    # Queries of large integers take more products, so they are scored apart from the others.
+    large = np.abs(queries).max(1) >> limb_bits(queries.shape[1]) > 0
+    asked = [Cut(np.where((large == x)[:, None], queries, 0)) for x in (False, True)]
+    live, taken, scored = np.arange(len(queries)), 0, 0
+    while taken < bound.shape[1]:
+        step = max(1, taken)
+        if taken and 2 * step * len(live) >= bound.shape[1]:
+            step = max(step, MEET * bound.shape[1] // len(live))
+        block = order[live, taken : taken + step]
+        taken += block.shape[1]
+        top, (bar, last) = np.take_along_axis(bound[live], block, 1), best.bar(live)
         # A block whose bound is just the k-th score may still hold a smaller id.
-        open_ = (top > bar) | ((top == bar) & (segment["first"][block] < last))
+        open_ = (top > bar[:, None]) | ((top == bar[:, None]) & (segment["first"][block] < last[:, None]))
         # Bounds only fall, but a later block of the same bound may start with no smaller id: these come in order of ids.
-        live, block = live[open_], block[open_]
-        if not len(live):
+        some = open_.any(1)
+        at, block = np.nonzero(open_)[0], block[open_]
+        if not len(at):
             break
-        for b in np.unique(block):
-            rows = live[block == b]
+        meet = 2 * block + large[live[at]]
+        by = np.argsort(meet, kind="stable")
+        found, ends = [], np.flatnonzero(np.diff(meet[by], append=-1)) + 1
+        for mine in np.split(by, ends[:-1]):
+            b, rows = block[mine[0]], at[mine]
             ids = segment["ids"][starts[b] : starts[b + 1]]
-            scores = _clamped(exact_dot(queries[rows], segment["rows"][starts[b] : starts[b + 1]]))
-            own = query_ids[rows][:, None] == ids
-            best.add(rows, np.where(own, LEAST, scores), np.where(own, MOST, ids))
-            scored += len(rows)
+            scores = _clamped(asked[meet[mine[0]] % 2].dot(cuts[b], live[rows]))
+            i, j = np.nonzero(scores >= bar[rows, None])
+            found.append((rows[i], scores[i, j], ids[j]))
+        row, score, ids = map(np.concatenate, zip(*found, strict=True))
+        better = ((score > bar[row]) | (ids < last[row])) & (ids != query_ids[live[row]])
+        best.merge(live[row[better]], score[better], ids[better])
+        scored += len(at)
+        live = live[some]
     return scored
 
 

@@ -37,9 +37,9 @@ def _peak(a: np.ndarray) -> int:
     return max(abs(int(a.min())), abs(int(a.max()))) if a.size else 0
 
 
-def _limbs(a: np.ndarray, width: int) -> list[np.ndarray]:
-    """The integers in base 2**width, lowest limb first, at least two; the top limb has the sign."""
-    count = max(2, -(-_peak(a).bit_length() // width))
+def _limbs(a: np.ndarray, width: int, peak: int) -> list[np.ndarray]:
+    """The integers in base 2**width, lowest limb first; the top limb has the sign. Small integers are one limb."""
+    count = max(1, -(-peak.bit_length() // width))
     low = [(a >> width * k) & ((1 << width) - 1) for k in range(count - 1)]
     return [x.astype(np.float64) for x in (*low, a >> width * (count - 1))]
 
@@ -49,22 +49,37 @@ def fits(length: int, a: int, b: int) -> bool:
     return max(length, 1) * a * b < 1 << 60
 
 
-def exact_dot(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """All dot products of the rows of ``a`` and ``b`` (longs), exactly.
+def limb_bits(length: int) -> int:
+    """The width of limbs with which sums of ``length`` products stay below 2**53."""
+    return (52 - (max(length, 1) - 1).bit_length()) // 2
+
+
+class Cut:
+    """Rows of longs, cut into limbs once for many exact dot products.
 
     Limbs are so narrow that a sum of their products stays below 2**53, where float64 matrix products are exact in any
     order of addition. The products are put together in longs, or in Python's integers if a long may not hold them.
     """
-    length = max(a.shape[1], 1)
-    width = (52 - (length - 1).bit_length()) // 2
-    total = 0
-    wide = not fits(length, _peak(a), _peak(b))
-    other = [y.T.copy() for y in _limbs(b, width)]
-    for i, x in enumerate(_limbs(a, width)):
-        for j, y in enumerate(other):
-            product = (x @ y).astype(np.int64)
-            total = total + ((product.astype(object) if wide else product) << width * (i + j))
-    return total
+
+    def __init__(self, rows: np.ndarray):
+        self.length, self.peak, self.width = rows.shape[1], _peak(rows), limb_bits(rows.shape[1])
+        self.limbs = _limbs(rows, self.width, self.peak)
+
+    def dot(self, other: Cut, rows: np.ndarray | slice = slice(None)) -> np.ndarray:
+        """The dot products of these rows, or some of them, with all of the other's."""
+        total = 0
+        wide = not fits(self.length, self.peak, other.peak)
+        for i, x in enumerate(self.limbs):
+            part = x[rows]
+            for j, y in enumerate(other.limbs):
+                product = (part @ y.T).astype(np.int64)
+                total = total + ((product.astype(object) if wide else product) << self.width * (i + j))
+        return total
+
+
+def exact_dot(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """All dot products of the rows of ``a`` and ``b`` (longs), exactly."""
+    return Cut(a).dot(Cut(b))
 
 
 def squares(a: np.ndarray) -> np.ndarray:

@@ -10,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from parcelframe.llm import codes, topk, trie
-from parcelframe.llm.vectors import exact_dot, squares
+from parcelframe.llm.vectors import exact_dot, limb_bits, squares
 
 NAN, INF = float("nan"), float("inf")
 VECTORS = "vec_id long, embedding array<float>, label int, score double, segment long, vector string, salt int, `query.id` int"
@@ -52,6 +52,15 @@ def test_dot_products_are_exact(a_bits, b_bits, n, length, seed):
     assert squares(a).tolist() == [sum(x * x for x in row) for row in a.tolist()]
 
 
+@pytest.mark.parametrize("length", [1, 2, 5, 64])
+def test_dot_products_at_the_ends_of_limbs(length):
+    width = limb_bits(length)
+    ends = [x for bits in (1, 10, width, 2 * width) if bits < 62 for x in ((1 << bits) - 1, 1 << bits, -(1 << bits), 1 - (1 << bits))]
+    a = np.array([[x] * length for x in ends], np.int64)
+    for rows in (a, *a[:, None]):
+        assert (exact_dot(rows, a) == rows.astype(object) @ a.T.astype(object)).all()
+
+
 def search_by_hand(rows, every, k, scale):
     best = {}
     for i, e, _ in plain(rows, scale):
@@ -88,6 +97,44 @@ def test_blocks_are_pruned_and_ties_kept():
     assert best.id.tolist() == [[1, 2, 3, 4, 10, 11]]
 
 
+@pytest.mark.parametrize("spread", [0, 1, 300])
+def test_queries_meet_in_blocks(monkeypatch, spread):
+    """Vectors without any order, of which bounds leave out nothing, take few products, and scores and ties are right."""
+    rng = np.random.default_rng(spread)
+    rows, ids = rng.integers(-spread, spread + 1, (64 * 64, 48)), rng.permutation(64 * 64)
+    segment, found = topk._segment(ids[:2048], rows[:2048], 50, 10)
+    other, _ = topk._segment(ids[2048:], rows[2048:], 50, 10)
+    products, clamped = [], topk._clamped
+    monkeypatch.setattr(topk, "_clamped", lambda scores: products.append(scores.shape) or clamped(scores))
+    n = len(segment["query_ids"])
+    best = topk.Best(n, 10, segment["floor"], segment["last"])
+    scored = topk.search(segment["query_ids"], segment["queries"], other, best)
+    assert len(products) < 4 * len(other["first"]) and (spread < 300 or scored == n * len(other["first"]))
+    best.add(np.arange(n), np.array([x["score"] for x in found.to_pylist()]).reshape(n, 10), np.array([x["vec_id"] for x in found.to_pylist()]).reshape(n, 10))
+    scores = segment["queries"] @ rows.T
+    for q, own, mine, score in zip(segment["query_ids"], scores, best.id, best.score, strict=True):
+        order = np.lexsort((ids, -own))
+        order = order[ids[order] != q][:10]
+        assert mine.tolist() == ids[order].tolist() and score.tolist() == own[order].tolist()
+
+
+def test_queries_of_large_integers():
+    """A few huge vectors among small ones: scores beyond a long become the nearest long, ties go to smaller ids."""
+    rng = np.random.default_rng(4)
+    rows, ids = rng.integers(-500, 501, (600, 8)), rng.permutation(600)
+    for q, bits in ((0, 61), (20, 40), (40, 27), (7, 61)):
+        rows[ids == q] = rng.integers(-(1 << bits), 1 << bits, 8)
+    home, _ = topk._segment(ids[:300], rows[:300], 20, 10)
+    both = np.concatenate([home["queries"], rows[300:][ids[300:] % 20 == 0]]), np.concatenate([home["query_ids"], ids[300:][ids[300:] % 20 == 0]])
+    best = topk.Best(len(both[1]), 10)
+    for part in (home, topk._segment(ids[300:], rows[300:], 20, 10)[0]):
+        topk.search(both[1], both[0], part, best)
+    for q, own, mine, score in zip(both[1].tolist(), both[0].tolist(), best.id.tolist(), best.score.tolist(), strict=True):
+        scores = ((max(topk.LEAST, min(topk.MOST, sum(x * y for x, y in zip(own, o, strict=True)))), i) for i, o in zip(ids.tolist(), rows.tolist(), strict=True) if i != q)
+        want = sorted(scores, key=lambda x: (-x[0], x[1]))[:10]
+        assert list(zip(score, mine, strict=True)) == want
+
+
 def test_many_small_segments(spark, monkeypatch):
     """Segments of a few rows, made on the driver, give what one large segment gives."""
     rows = plain(random_rows(3, 90, 5), 1024)
