@@ -108,7 +108,7 @@ def search(query_ids: np.ndarray, queries: np.ndarray, segment: dict, best: Best
             b, rows = block[mine[0]], at[mine]
             ids = segment["ids"][starts[b] : starts[b + 1]]
             scores = _clamped(asked[meet[mine[0]] % 2].dot(cuts[b], live[rows]))
-            i, j = np.nonzero(scores >= bar[rows, None])
+            i, j = np.divmod(np.flatnonzero(scores >= bar[rows, None]), len(ids))
             found.append((rows[i], scores[i, j], ids[j]))
         row, score, ids = map(np.concatenate, zip(*found, strict=True))
         better = ((score > bar[row]) | (ids < last[row])) & (ids != query_ids[live[row]])

@@ -67,13 +67,14 @@ class Cut:
 
     def dot(self, other: Cut, rows: np.ndarray | slice = slice(None)) -> np.ndarray:
         """The dot products of these rows, or some of them, with all of the other's."""
-        total = 0
+        total = None
         wide = not fits(self.length, self.peak, other.peak)
         for i, x in enumerate(self.limbs):
             part = x[rows]
             for j, y in enumerate(other.limbs):
                 product = (part @ y.T).astype(np.int64)
-                total = total + ((product.astype(object) if wide else product) << self.width * (i + j))
+                product = product.astype(object) if wide else product
+                total = product if total is None else total + (product << self.width * (i + j))
         return total
 
 
