@@ -103,3 +103,15 @@ def test_a_repeated_delivery_is_cleaned_once(spark):
     out = work_folder(spark, "once")
     ingest.append_available(ingest.stream_clean_once(stream, ["link", "posting_ts"], "posting_ts"), out, work_folder(spark, "progress")).awaitTermination()
     assert spark.read.parquet(out).count() == 2
+
+
+def test_large_keys_keep_every_digit(spark, tmp_path):
+    from checks import catalog
+
+    keys = [1, 59_941, 59_942, 150_000, 9_000_000, 2**62, 2**63 - 1]
+    rows = spark.createDataFrame([(k, "a", 1.0) for k in keys] + [(None, "a", 1.0)], "o_orderkey long, o_orderstatus string, o_totalprice double")
+    rows.write.parquet(str(tmp_path / "orders.parquet"))
+    row = catalog.QUERIES["exact_bigint_quantiles"](spark, str(tmp_path)).first()
+    values = [k * 153722867280912 + 9007199254740993 for k in keys]
+    for name, p in (("p25", "0.25"), ("p50", "0.50"), ("p99", "0.99")):
+        assert (row[f"{name}_low"], row[f"{name}_high"]) == by_hand(values, p)[:2]
