@@ -2,7 +2,6 @@
 
 import uuid
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -158,19 +157,17 @@ def publish_each_batch(stream: DataFrame, out: str, checkpoint: str) -> Streamin
 def latest_each_batch(stream: DataFrame, keys: Sequence[str], order: Sequence[str], out: str, checkpoint: str) -> StreamingQuery:
     """The latest row of each key while rows arrive, as a published table.
 
-    The state of the stream is one row per key, the last in ``order``; a batch brings out the keys it has changed, which replace
-    their rows in the table. Null keys are a key like any other.
+    The table itself is what is remembered: each batch is joined to it by one aggregation that spills, so no executor holds the
+    keys in memory, and a batch that is run again changes nothing. The columns of ``order`` are part of the table. Null keys are a
+    key like any other.
     """
     rest = [c for c in stream.columns if c not in keys]
-    latest = stream.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("last")).select(*keys, "last.*")
 
     def merge(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         if published_version(spark, out) is not None:
-            old = read_published(spark, out)
-            new = batch.select(*[F.col(k).alias(f"new_{k}") for k in keys])
-            same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"new_{k}")) for k in keys))
-            batch = old.join(new, same, "left_anti").unionByName(batch)
-        publish(batch, out, f"batch-{number}")
+            batch = read_published(spark, out).unionByName(batch)
+        latest = batch.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("last")).select(*keys, "last.*")
+        publish(latest, out, f"batch-{number}")
 
-    return latest.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(merge).trigger(availableNow=True).start()
+    return stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(merge).trigger(availableNow=True).start()

@@ -115,3 +115,15 @@ def test_large_keys_keep_every_digit(spark, tmp_path):
     values = [k * 153722867280912 + 9007199254740993 for k in keys]
     for name, p in (("p25", "0.25"), ("p50", "0.50"), ("p99", "0.99")):
         assert (row[f"{name}_low"], row[f"{name}_high"]) == by_hand(values, p)[:2]
+
+
+def test_latest_rows_keep_no_state_of_the_stream(spark):
+    folder, out, progress = (work_folder(spark, name) for name in ("events", "latest", "progress"))
+    schema = "link string, seq int, status string"
+    for rows in ([("a", 2, "x"), (None, None, "p")], [("a", 1, "z"), (None, 1, "q"), ("b", None, "y")]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(folder)
+    events = ingest.stream_files(spark, folder, spark.createDataFrame([], schema).schema, files_per_batch=1)
+    query = ingest.latest_each_batch(events, ["link"], ["seq"], out, progress)
+    query.awaitTermination()
+    assert not query.lastProgress["stateOperators"]
+    assert {tuple(r) for r in ingest.read_published(spark, out).collect()} == {("a", 2, "x"), (None, 1, "q"), ("b", None, "y")}
