@@ -10,6 +10,10 @@ of HTML 4 and numeric ones are decoded. An element that is not closed runs to th
 Elements of one name that fulfil nothing and lie directly in each other are one counted entry. The fold takes time in
 proportion to the tags times the open entries. Decoding calls a method of the Java library that Spark brings,
 which the optimizer takes for nondeterministic: filter the pages before extraction, not after it.
+
+A tidy page needs no fold: in it every element is closed in order, as one pattern tells, so that patterns for whole elements find
+what the fold would find. Pages that are not tidy, nested deeper than the patterns, or that have elements of a first step
+in each other, are folded.
 """
 
 from collections.abc import Callable, Sequence
@@ -41,6 +45,42 @@ _TOKEN = (
 _TAG_NAME = r"^</?([a-zA-Z][^\s/>]*+)"
 _BLANKS = " \t\n\r\f\x0b\x1c\x1d\x1e\x1f\x85                　"
 _CUT = "﷐﷑﷐"
+
+# Levels of open elements that the patterns for tidy pages follow.
+_LEVELS = 32
+# What follows "<" where it begins no element; a look at the next letter spares most of the trials.
+_UNSEEN = r"!--.*?(?:-->|\z)|[!?][^>]*+(?:>|\z)|(?=s)(?:" + "|".join(
+    rf"{name}\b{_ATTRIBUTES}>.*?(?:</{name}\s*+>|\z)" for name in _HIDDEN
+) + ")"
+_VOID_NAME = rf"(?=[{''.join(sorted({name[0] for name in _VOID}))}])(?:{'|'.join(_VOID)})(?=[\s/>])"
+_NAME = r"[a-z][a-z0-9:_-]*+(?=[\s/>])"
+
+
+def _tidy() -> str:
+    """A page in which each element is closed in order, by its own tag; the tags' values hold no angle brackets."""
+    plain = r"""(?:[^<>"'=]++|=\s*+(?:"[^"<>]*+"|'[^'<>]*+')?+)*+>"""
+    inside = f"(?:[^<]++|<(?:{_UNSEEN}|{_VOID_NAME}{plain}))*+"
+    for k in range(_LEVELS):
+        element = rf"(?<n{k}>{_NAME}){plain}(?:(?<=/>)|{inside}</\k<n{k}>\s*+>)"
+        inside = f"(?:[^<]++|<(?!/)(?:{_UNSEEN}|{_VOID_NAME}{plain}|{element}))*+"
+    return rf"(?is)\A{inside}\z"
+
+
+def _rest(group: int) -> str:
+    """What follows the first tag of an element of a tidy page, up to its end; the group has the element's name."""
+    same, other = rf"\{group}(?=[\s/>])[^>]*+>", rf"{_UNSEEN}|(?!/?\{group}[\s/>])[^>]*+>"
+    rest = f"(?:[^<]++|<(?:{other}))*+"
+    for _ in range(_LEVELS):
+        rest = rf"(?:[^<]++|<(?:{other}|{same}(?:(?<=/>)|{rest}</\{group}\s*+>)))*+"
+    return rf"(?:(?<=/>)|{rest}</\{group}\s*+>)"
+
+
+_TIDY = _tidy()
+# An element that would end one of its name around it.
+_BESIDE = rf"(?is)<({'|'.join(_SIBLINGS)})(?=[\s/>])[^>]*+(?<!/)>(?:[^<]++|<(?:{_UNSEEN}|(?!/?\1[\s/>])))*+<\1[\s/>]"
+_CHILD = rf"(?is)\G(?:\A<[^>]*+>)?+(?:[^<]++|<(?:{_UNSEEN}))*+(<(?:{_VOID_NAME}[^>]*+>|({_NAME})[^>]*+>{_rest(2)}))"
+_NO_TEXT = rf"(?is)<(?:{_UNSEEN}|(?!br[\s/>])[^>]*+>)"
+_FIRST_ANCHOR = rf"(?is)\A<[^>]*+>(?:[^<]++|<(?:{_UNSEEN}|(?!a[\s/>])[^>]*+>))*+(<a(?=[\s/>])[^>]*+>)"
 # Bits of a long that one fold can use.
 _STEPS_AT_ONCE = 60
 
@@ -219,11 +259,99 @@ class _Steps:
         return F.filter(found, lambda e: _has(e["mask"], self.last[path]))
 
 
-def _scan(df: DataFrame, html: str, keep, paths: Sequence[Sequence[Step]]) -> tuple[DataFrame, list[Column]]:
-    """Per page: ``kept`` columns, ``html``, its ``tokens`` and ``shown`` texts; and per path a column of what was found."""
+def _literal(text: str) -> str:
+    return "".join(c if c.isalnum() or not c.isascii() else f"\\{c}" for c in text)
+
+
+class _Whole:
+    """Whole elements of tidy pages, as texts from their first tag to their last; ``steps`` are the first ones of the paths."""
+
+    def __init__(self, steps: Sequence[Step]):
+        marks: dict[str, set[str]] = {}
+        for element, mark in steps:
+            marks.setdefault(element, set()).add(mark[1] if mark else "")
+        self.starts = "|".join(rf"{_literal(element)}(?=[\s/>]){self._holding(of)}" for element, of in marks.items())
+        void = [_literal(element) for element in marks if element in _VOID]
+        other = [_literal(element) for element in marks if element not in _VOID]
+        whole = [rf"<(?:{'|'.join(void)})(?=[\s/>])[^>]*+>"] if void else []
+        whole += [rf"<({'|'.join(other)})(?=[\s/>])[^>]*+>{_rest(2)}"] if other else []
+        self.pattern = rf"(?:[^<]++|<(?:{_UNSEEN}|(?!{self.starts})[^>]*+>))++|({'|'.join(whole)})"
+
+    @staticmethod
+    def _holding(marks: set[str]) -> str:
+        """The rest of a tag that has one of the marks somewhere."""
+        if "" in marks:
+            return ""
+        begin = "".join(sorted({_literal(mark[0]) for mark in marks}))
+        one = "|".join(map(_literal, sorted(marks)))
+        return rf"(?-i:(?:[^>{begin}]++|(?!{one})[{begin}])*+(?:{one}))"
+
+    def of(self, page: Column, inside: bool = False) -> Column:
+        """Elements that may fulfil one of the steps, in page order; those ``inside`` an element are without itself."""
+        begin = r"\A<[^>]*+>|" if inside else ""
+        return F.filter(F.regexp_extract_all(page, F.lit(f"(?is){begin}{self.pattern}"), F.lit(1)), lambda e: e != "")
+
+    def nested(self, elements: Column) -> Column:
+        """Whether one of them may have another one inside."""
+        return F.exists(elements, lambda e: e.rlike(rf"(?is)\A<[^>]*+>(?:[^<]++|<(?!{self.starts}))*+<(?:{self.starts})"))
+
+
+def _fits(element: Column, step: Step) -> Column:
+    name, mark = step
+    if name != name.lower():
+        return F.lit(False)
+    fits = element.rlike(rf"(?i)\A<{_literal(name)}[\s/>]")
+    return F.contains(element, F.lit(mark[1])) & fits & F.contains(_quoted(element, mark[0]), F.lit(mark[1])) if mark else fits
+
+
+def _fitting(elements: Column, step: Step) -> Column:
+    return F.filter(elements, lambda e: _fits(e, step))
+
+
+def _at_path(elements: Column, path: Sequence[Step]) -> Column:
+    """The whole elements at a path, whose first steps are among the given ones."""
+    found = _fitting(elements, path[0])
+    for step in path[1:]:
+        inside = F.transform(found, lambda e: F.regexp_extract_all(e, F.lit(_CHILD), F.lit(1)))
+        found = _fitting(F.flatten(inside), step)
+    return found
+
+
+def _whole_text(element: Column) -> Column:
+    """Visible text of a whole element with outer blanks trimmed."""
+    raw = F.regexp_replace(F.regexp_replace(element, _NO_TEXT, _CUT), r"<[^>]*+>", "\n")
+    method = F.lit("org.apache.commons.text.StringEscapeUtils"), F.lit("unescapeHtml4")
+    raw = F.when(F.contains(element, F.lit("&")), F.java_method(*method, raw)).otherwise(raw)
+    return F.btrim(F.replace(F.replace(raw, F.lit(_CUT), F.lit("")), F.lit("\xa0"), F.lit(" ")), F.lit(_BLANKS))
+
+
+def _first_text(elements: Column, nth: int = 1) -> Column:
+    return F.coalesce(_with(F.get(elements, F.lit(nth - 1)), _whole_text), F.lit(""))
+
+
+def _scan(
+    df: DataFrame, html: str, keep, paths: Sequence[Sequence[Step]], inner: Sequence[Sequence[Step]] = ()
+) -> tuple[DataFrame, list[Column], list[Column]]:
+    """Per page: ``kept`` columns, ``html``, its ``tokens`` and ``shown`` texts; and per path a column of what was found.
+
+    ``whole`` has the elements of the paths' first steps where the page is tidy, and is null where it is not; then, and only then,
+    the page has tokens. The last columns are the whole elements at each path. Paths of ``inner`` are looked for
+    within those; they have one step.
+    """
     kept = F.struct(*keep) if keep else F.struct(F.lit(0).alias("none"))
     scanned = df.select(kept.alias("kept"), F.coalesce(F.col(html), F.lit("")).alias("html"))
-    scanned = scanned.withColumn("tokens", F.regexp_extract_all("html", F.lit(_TOKEN), F.lit(0)))
+    first = _Whole([path[0] for path in paths])
+    page = F.col("html")
+    tidy = page.rlike(_TIDY) & ~page.rlike(_BESIDE) & ~F.contains(page, F.lit(_CUT))
+    scanned = scanned.withColumn("whole", F.when(tidy, first.of(page)))
+    again = first.nested(F.col("whole"))
+    if inner:
+        below = _Whole([path[0] for path in inner])
+        again = again | F.exists("whole", lambda e: below.nested(below.of(e, inside=True)))
+    scanned = scanned.withColumn("whole", F.when(~again, F.col("whole")))
+    wholes = [_at_path(F.col("whole"), path) for path in paths]
+    paths = [*paths, *inner]
+    scanned = scanned.withColumn("tokens", F.when(F.col("whole").isNull(), F.regexp_extract_all("html", F.lit(_TOKEN), F.lit(0))))
     columns: list[Column] = []
     start, part = 0, 0
     while start < len(paths):
@@ -242,7 +370,11 @@ def _scan(df: DataFrame, html: str, keep, paths: Sequence[Sequence[Step]]) -> tu
         is_break = F.lower(F.regexp_extract(token, _TAG_NAME, 1)) == "br"
         return F.when(is_break, "\n").when(F.startswith(token, F.lit("<")) & (token != "<"), "").otherwise(token)
 
-    return scanned.withColumn("shown", _decoded(F.transform("tokens", shown))), columns
+    return scanned.withColumn("shown", _decoded(F.transform("tokens", shown))), columns, wholes
+
+
+def _either(whole: Column, folded: Column) -> Column:
+    return F.when(F.col("whole").isNotNull(), whole).otherwise(folded)
 
 
 def _text(element: Column) -> Column:
@@ -265,8 +397,11 @@ def extract_fields(df: DataFrame, html: str = "html", rules: dict[str, FieldRule
     """One text column per rule; a missing field is the empty text."""
     rules = rules or listing_rules()
     paths = {name: rule for name, rule in rules.items() if isinstance(rule, PathText)}
-    scanned, found = _scan(df, html, keep, [rule.path for rule in paths.values()])
-    at = {name: _nth_text(column, rule.nth) for (name, rule), column in zip(paths.items(), found, strict=True)}
+    scanned, found, whole = _scan(df, html, keep, [rule.path for rule in paths.values()])
+    at = {
+        name: _either(_first_text(elements, rule.nth), _nth_text(column, rule.nth))
+        for (name, rule), column, elements in zip(paths.items(), found, whole, strict=True)
+    }
     columns = [(at[name] if name in at else rule(F.col("html"))).alias(name) for name, rule in rules.items()]
     return _beside_kept(scanned, keep, columns)
 
@@ -274,13 +409,17 @@ def extract_fields(df: DataFrame, html: str = "html", rules: dict[str, FieldRule
 def extract_links(df: DataFrame, html: str = "html", path: Sequence[Step] | None = None, keep=()) -> DataFrame:
     """One row per list item with its position and its first link, empty when it has none."""
     items = tuple(path or (("div", has_class(fixed.INDEX_LIST_CLASS)), ("div", has_class(fixed.INDEX_ITEM_CLASS))))
-    scanned, (found,) = _scan(df, html, keep, [items])
+    scanned, (found,), (whole,) = _scan(df, html, keep, [items])
 
     def first_link(item):
         inside = F.slice(F.col("tokens"), item["at"] + 1, item["until"] - item["at"] - 1)
         return F.coalesce(_attribute(F.get(F.filter(inside, lambda t: t.rlike(r"(?i)^<a[\s/>]")), F.lit(0)), "href"), F.lit(""))
 
-    links = scanned.select("kept", _decoded(F.transform(found, first_link)).alias("links"))
+    def first_anchor(item):
+        return _attribute(F.regexp_extract(item, _FIRST_ANCHOR, 1), "href")
+
+    found = _either(F.transform(whole, first_anchor), F.transform(found, first_link))
+    links = scanned.select("kept", _decoded(found).alias("links"))
     return links.select(*(["kept.*"] if keep else []), F.posexplode("links").alias("position", "link"))
 
 
@@ -289,11 +428,16 @@ def extract_details(df: DataFrame, html: str = "html", keep=()) -> DataFrame:
     fields = [(("div", has_class(mark)),) for mark in fixed.DETAIL_PAGE_FIELDS.values()]
     listed = (("div", has_class(fixed.FEATURES_CLASS)), ("ul", ""), ("li", ""))
     shown = (("div", has_class(fixed.CAROUSEL_CLASS)), ("div", has_class("item")), ("img", ""))
-    scanned, found = _scan(df, html, keep, [*fields, listed, shown])
+    scanned, found, whole = _scan(df, html, keep, [*fields, listed, shown])
     *texts, features, images = found
+    *whole_texts, whole_features, whole_images = whole
     sources = F.transform(images, lambda e: _attribute(F.get(F.col("tokens"), e["at"] - 1), "src"))
-    columns = [_nth_text(column).alias(name) for name, column in zip(fixed.DETAIL_PAGE_FIELDS, texts, strict=True)]
-    columns.append(F.transform(features, _text).alias("features"))
+    sources = _either(F.transform(whole_images, lambda e: _attribute(e, "src")), sources)
+    columns = [
+        _either(_first_text(elements), _nth_text(column)).alias(name)
+        for name, column, elements in zip(fixed.DETAIL_PAGE_FIELDS, texts, whole_texts, strict=True)
+    ]
+    columns.append(_either(F.transform(whole_features, _whole_text), F.transform(features, _text)).alias("features"))
     columns.append(_decoded(F.filter(sources, lambda s: s != "")).alias("image_urls"))
     return _beside_kept(scanned, keep, columns)
 
@@ -303,8 +447,9 @@ def extract_amenities(df: DataFrame, html: str = "html", marks: dict[str, str] |
     marks = {"schools": "nearby-schools"} if marks is None else marks
     paths = [(("div", has_class(mark)), ("div", has_class("item"))) for mark in marks.values()]
     inner = [(("div", has_class("name")),), (("div", has_class("distance")),)]
-    scanned, found = _scan(df, html, keep, [*paths, *inner])
+    scanned, found, whole = _scan(df, html, keep, paths, inner)
     *items, names, distances = found
+    below = _Whole([path[0] for path in inner])
 
     def first_inside(item, parts):
         return _nth_text(F.filter(parts, lambda e: (e["at"] > item["at"]) & (e["at"] < item["until"])))
@@ -314,8 +459,15 @@ def extract_amenities(df: DataFrame, html: str = "html", marks: dict[str, str] |
             column, lambda item: F.struct(first_inside(item, names).alias("name"), first_inside(item, distances).alias("distance"))
         )
 
+    def whole_places(elements):
+        def place(parts):
+            texts = (_first_text(_fitting(parts, path[0])) for path in inner)
+            return F.struct(*(text.alias(name) for name, text in zip(("name", "distance"), texts, strict=True)))
+
+        return F.transform(F.transform(elements, lambda item: below.of(item, inside=True)), place)
+
     kind = "array<struct<name:string,distance:string>>"
-    at = dict(zip(marks, items, strict=True))
+    at = {name: _either(whole_places(elements), places(column)) for name, column, elements in zip(marks, items, whole, strict=True)}
     kinds = dict.fromkeys([*fixed.AMENITY_KINDS, *marks])
-    held = [x for name in kinds for x in (F.lit(name), (places(at[name]) if name in at else F.array()).cast(kind))]
+    held = [x for name in kinds for x in (F.lit(name), (at[name] if name in at else F.array()).cast(kind))]
     return _beside_kept(scanned, keep, [F.create_map(*held).alias("nearby_amenities")])

@@ -86,3 +86,24 @@ def test_more_rules_than_one_fold_takes_and_clashing_names(spark):
 def test_plans_hold_no_python(spark):
     for use in (pages.extract_fields, pages.extract_links, pages.extract_details, pages.extract_amenities):
         assert "Python" not in use(_page(spark))._jdf.queryExecution().executedPlan().toString()
+
+
+def test_tidy_pages_are_not_folded_and_give_the_same(spark, monkeypatch):
+    tidy = """<!DOCTYPE html><html><body><!-- <div> --><h1 class='head-title'>A &amp; B</h1><div class="col-item"><div class="infor-note">1<br>&lt;2</div></div>
+    <div class="description-content"><p title="x">a<script>"</div>"</script></p><DIV>b</DIV>c</div><div class="features"><ul><li>d</li><li><b>e</b></li></ul></div>
+    <div class="carousel"><div class="item"><img src='f.jpg'/></div></div><div class="nearby-schools"><div class="item"><p><span class="no"></span></p>
+    <div class="name">g</div></div></div><div class="property-list"><div class="row-item"><b><a href="/1?a&amp;b">h</a></b></div></div></body></html>"""
+    pages_ = [tidy, tidy.replace("</p>", ""), tidy.replace("<li>d</li>", "<li>d"), tidy.replace("<b>e</b>", "<li>e</li>"), tidy.replace('title="x"', 'title="a>b"')]
+    pages_ += [tidy.replace("<DIV>b</DIV>", "<div class='description-content'>b</div>"), "<b>" * 33 + tidy + "</b>" * 33, tidy.replace("</h1>", "</h2>"), "", None]
+    df = spark.createDataFrame(list(enumerate(pages_)), "id int, html string").coalesce(1)
+    uses = (pages.extract_fields, pages.extract_details, pages.extract_amenities, pages.extract_links)
+
+    def found():
+        return [[str(r) for r in use(df, keep=["id"]).orderBy("id").collect()] for use in uses]
+
+    paths = [(("div", pages.has_class("description-content")),)]
+    folded = [r["id"] for r in pages._scan(df, "html", ["id"], paths)[0].filter("tokens is not null").select("kept.id").orderBy("id").collect()]
+    assert folded == [1, 2, 3, 4, 5, 6, 7]
+    fast = found()
+    monkeypatch.setattr(pages, "_TIDY", "(?!)")
+    assert found() == fast
