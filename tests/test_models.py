@@ -132,3 +132,22 @@ def test_monthly_means_from_daily_totals(spark, data, tmp_path):
     )
     direct = clean.groupBy(F.month("posting_ts").alias("posting_month")).agg(F.avg(F.col("price_per_m2").cast("double")).alias("avg_price"))
     assert ingest.month_means_of_days(days).exceptAll(direct).count() == 0
+
+
+def test_few_partitions_are_spread_over_all_cores(spark, parts, monkeypatch):
+    cores, seen = spark.sparkContext.defaultParallelism, []
+    made = models.regressor
+
+    class Watched:
+        def __init__(self, *chosen):
+            self.own = made(*chosen)
+
+        def fit(self, df):
+            seen.append((df.rdd.getNumPartitions(), df.count()))
+            return self.own.fit(df)
+
+    monkeypatch.setattr(models, "regressor", Watched)
+    few = parts[0].coalesce(1)
+    models.train_one(few, features.LOG_FULL, "tree", SMALL["tree"])
+    models.train_one(few.repartition(cores + 3), features.LOG_FULL, "tree", SMALL["tree"])
+    assert seen == [(cores, few.count()), (cores + 3, few.count())]
